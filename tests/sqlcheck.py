@@ -1,0 +1,88 @@
+"""Runs registered queries beside their SQL twins: python tests/sqlcheck.py [sf] [name ...]"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+if os.path.isdir("/opt/oracle"):
+    sys.path.append("/opt/oracle")
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    def cell(value):
+        if isinstance(value, float):
+            return "nan" if math.isnan(value) else repr(value)
+        return repr(value)
+    return [columns[i] for i in order], sorted(tuple(cell(row[i]) for i in order) for row in rows)
+
+
+def compare(spark, connection, query, sql, sf_dir):
+    frame = query(spark, sf_dir)
+    ours = canonical(frame.columns, [tuple(r) for r in frame.collect()])
+    result = connection.execute(sql)
+    theirs = canonical([d[0] for d in result.description], result.fetchall())
+    return ours, theirs
+
+
+def main() -> int:
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as entry
+
+    scale, names = (sys.argv[1] if len(sys.argv) > 1 else "0.01"), sys.argv[2:]
+    sf_dir = f"/root/testdata/sf{scale}"
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.log.level", "ERROR")
+        .getOrCreate()
+    )
+    connection, failed = duck(sf_dir), []
+    queries, oracles = entry.queries(), entry.oracle_sql()
+    print(f"{len(queries)} queries, {len(oracles)} with SQL, missing {set(queries) - set(oracles)}")
+    for name in names or queries:
+        began = time.time()
+        try:
+            ours, theirs = compare(spark, connection, queries[name], oracles[name], sf_dir)
+        except Exception as problem:
+            print(f"ERROR {name}: {str(problem)[:1500]}", flush=True)
+            failed.append(name)
+            continue
+        same = ours == theirs
+        print(f"{'ok   ' if same else 'DIFF '} {name} {len(ours[1])} rows {time.time() - began:.1f}s", flush=True)
+        if not same:
+            failed.append(name)
+            print("   columns", ours[0], theirs[0], "rows", len(ours[1]), len(theirs[1]))
+            odd = [(a, b) for a, b in zip(ours[1], theirs[1]) if a != b][:2]
+            for a, b in odd:
+                print("   ours  ", str(a)[:600], "\n   theirs", str(b)[:600])
+    print("failed:", failed)
+    return len(failed)
+
+
+if __name__ == "__main__":
+    sys.exit(main())
