@@ -274,10 +274,8 @@ def even_positions(spark, sf_dir):
 
 def position_gaps(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    gaps = documents.select(
-        "doc_id",
-        S.position_gaps(S.even_positions("n_chars", NUM_UNITS), NUM_UNITS).alias("gaps"),
-    )
+    sampled = documents.select("doc_id", S.even_positions("n_chars", NUM_UNITS).alias("positions"))
+    gaps = sampled.select("doc_id", S.position_gaps("positions").alias("gaps"))
     return gaps.select(
         "doc_id", F.array_min("gaps").alias("min_gap"), F.array_max("gaps").alias("max_gap")
     )

@@ -1,8 +1,9 @@
 """Even sampling of positions and items, as Column builders.
 
-The number of samples is known when the plan is built, so every builder spells
-the slots out one by one. Unlike ``transform``/``filter`` lambdas these
-expressions stay inside whole-stage code generation.
+Arrays are built by ``transform`` over the slots. Spelling the slots out would keep
+16 of them inside whole-stage code and halve the time of the bare positions, but
+with 32 the generated method passes the size the JVM still compiles and the query
+runs a hundred times slower.
 """
 
 from __future__ import annotations
@@ -18,12 +19,17 @@ def _check_samples(num_samples: int) -> None:
         raise ValueError(f"num_samples must be > 0, got {num_samples}")
 
 
-def position(total, slot: int, num_samples: int) -> Column:
+def position(total, slot, num_samples: int) -> Column:
     """Position of one slot: ``slot * total / num_samples`` rounded half to even,
-    at most ``total - 1``. No check of ``total``."""
-    total = as_column(total).cast("bigint")
-    exact = (total * F.lit(slot).cast("bigint")) / F.lit(num_samples)
-    return F.least(F.rint(exact).cast("bigint"), total - 1)
+    at most ``total - 1``. No check of ``total``; exact below 2**53."""
+    size = as_column(total).cast("double")
+    exact = size * as_column(slot).cast("double") / F.lit(float(num_samples))
+    return F.least(F.rint(exact), size - 1.0).cast("bigint")
+
+
+def _positions(total: Column, num_samples: int) -> Column:
+    slots = F.array(*[F.lit(float(i)) for i in range(num_samples)])
+    return F.transform(slots, lambda slot: position(total, slot, num_samples))
 
 
 def even_positions(total, num_samples: int) -> Column:
@@ -34,9 +40,10 @@ def even_positions(total, num_samples: int) -> Column:
     """
     _check_samples(num_samples)
     total = as_column(total)
-    slots = F.array(*[position(total, i, num_samples) for i in range(num_samples)])
     message = F.concat(F.lit("total must be > 0, got "), total.cast("string"))
-    return F.when(total > 0, slots).when(total.isNotNull(), F.raise_error(message))
+    return F.when(total > 0, _positions(total, num_samples)).when(
+        total.isNotNull(), F.raise_error(message)
+    )
 
 
 def pad_array(items, length: int) -> Column:
@@ -63,34 +70,39 @@ def pick_even(items, num_samples: int, declared=None) -> Column:
     items = as_column(items)
     size = F.size(items)
     if declared is None:
-        slots = [position(size, i, num_samples) for i in range(num_samples)]
-        picked = F.array(*[F.get(items, s.cast("int")) for s in slots])
-        return F.when(size > 0, picked)
-    declared = as_column(declared)
-    slots = [position(declared, i, num_samples) for i in range(num_samples)]
-    kept = [F.when(s < size, s) for s in slots]
-    # Positions ascend, so the kept ones are a prefix and its last is the greatest.
-    last = F.greatest(*kept) if num_samples > 1 else kept[0]
-    picked = F.array(*[F.get(items, F.coalesce(s, last).cast("int")) for s in kept])
+        declared = size
+        kept = _positions(size, num_samples)
+    else:
+        declared = as_column(declared)
+        kept = F.filter(_positions(declared, num_samples), lambda at: at < size)
+        kept = pad_array(kept, num_samples)
+    picked = F.transform(kept, lambda at: F.get(items, at.cast("int")))
     return F.when((size > 0) & (declared > 0), picked)
 
 
 def slots_at(rank, total, num_samples: int) -> Column:
     """Array of the slots whose position is ``rank``: empty for most rows, more
-    than one where a short group repeats a row."""
+    than one where a short group repeats a row.
+
+    From ``num_samples`` rows on, positions lie at least one apart and only the slot
+    nearest to the rank can have it; shorter groups try all slots.
+    """
     _check_samples(num_samples)
-    rank = as_column(rank)
-    total = as_column(total)
-    hits = [
-        F.when(position(total, i, num_samples) == rank, F.lit(i)).otherwise(F.lit(-1))
-        for i in range(num_samples)
-    ]
-    return F.array_remove(F.array(*hits), -1)
+    rank, total = as_column(rank), as_column(total)
+    nearest = F.rint(rank.cast("double") * float(num_samples) / total.cast("double")).cast("int")
+    hit = (nearest < num_samples) & (position(total, nearest, num_samples) == rank)
+    every = F.array(*[F.lit(i) for i in range(num_samples)])
+    return (
+        F.when(total < num_samples, F.filter(every, lambda i: position(total, i, num_samples) == rank))
+        .when(hit, F.array(nearest))
+        .otherwise(F.array().cast("array<int>"))
+    )
 
 
-def position_gaps(positions, num_samples: int) -> Column:
+def position_gaps(positions) -> Column:
     """Array of the differences between neighbouring positions."""
     positions = as_column(positions)
-    return F.array(
-        *[F.get(positions, F.lit(i + 1)) - F.get(positions, F.lit(i)) for i in range(num_samples - 1)]
+    pairs = F.size(positions) - 1
+    return F.zip_with(
+        F.slice(positions, F.lit(2), pairs), F.slice(positions, F.lit(1), pairs), lambda b, a: b - a
     )

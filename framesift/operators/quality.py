@@ -79,19 +79,22 @@ def ngram_counts(
     their texts unfold, so the n-grams, several times the size of the texts, are
     counted where they arise and never shuffled.
     """
-    def tagged(column: str, side: int, n: int) -> Column:
+    def tagged(words: str, side: int, n: int) -> Column:
         tags = F.lit(side).alias("side"), F.lit(n).alias("n")
-        return F.transform(
-            ngrams(tokens(F.col(column)), n), lambda gram: F.struct(*tags, gram.alias("gram"))
-        )
+        return F.transform(ngrams(F.col(words), n), lambda gram: F.struct(*tags, gram.alias("gram")))
 
     unfolded = F.concat(
-        *[tagged(candidate, 1, n) for n in range(1, order + 1)],
-        *[tagged(reference, 2, n) for n in range(1, order + 1)],
+        *[tagged("_words", 1, n) for n in range(1, order + 1)],
+        *[tagged("_given_words", 2, n) for n in range(1, order + 1)],
     )
-    grams = pairs.select(key, *by, candidate, reference).repartition(key).select(
-        key, *by, F.explode(unfolded).alias("_g")
+    placed = pairs.select(key, *by, candidate, reference).repartition(key)
+    words = placed.select(
+        key,
+        *by,
+        tokens(F.col(candidate)).alias("_words"),
+        tokens(F.col(reference)).alias("_given_words"),
     )
+    grams = words.select(key, *by, F.explode(unfolded).alias("_g"))
     side = F.col("_g.side")
     counts = grams.groupBy(key, *by, F.col("_g.n").alias("n"), F.col("_g.gram").alias("_gram")).agg(
         F.count(F.when(side == 1, 1)).alias("_made"), F.count(F.when(side == 2, 1)).alias("_given")
