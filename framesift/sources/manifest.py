@@ -16,6 +16,14 @@ from framesift.workspace import ship_package, stage
 URI = "video_uri"
 _LIST_ROWS = 5_000
 
+# Standard CSV quoting, and no trimming of URIs.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def list_assets(
     spark: SparkSession, root: str, suffix: str = ".mp4", limit: int | None = None
@@ -83,7 +91,7 @@ def select_assets(
 
 def write_manifest(manifest: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with a header, in URI order over the sorted file names."""
-    manifest.select(URI).orderBy(URI).write.mode(mode).csv(path, header=True, escape='"')
+    manifest.select(URI).orderBy(URI).write.mode(mode).csv(path, **CSV_OPTIONS)
 
 
 def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -91,7 +99,7 @@ def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> D
 
     ``limit`` keeps the first rows in file order. 0 keeps none.
     """
-    table = spark.read.csv(path, header=True, escape='"')
+    table = spark.read.csv(path, **CSV_OPTIONS)
     if limit is None:
         return table.select(URI)
     placed = table.select(

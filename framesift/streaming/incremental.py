@@ -16,7 +16,7 @@ from framesift.plans.captioning import (
     task_count,
     write_ledger,
 )
-from framesift.sources.manifest import URI, spread
+from framesift.sources.manifest import CSV_OPTIONS, URI, spread
 from framesift.sources.results import CAPTION_COLUMNS
 from framesift.sources.storage import open_uri
 
@@ -48,7 +48,7 @@ def caption_arrivals(
 
     arrivals = (
         spark.readStream.schema(f"{URI} string")
-        .options(header=True, escape='"', enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+        .options(**CSV_OPTIONS, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
         .csv(manifests)
     )
     return (

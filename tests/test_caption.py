@@ -1,0 +1,179 @@
+import os
+import uuid
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from framesift.config import RunConfig
+from framesift.operators import caption as C
+from framesift.operators import quality as Q
+from framesift.operators.models import Model, get_model
+from framesift.sources.results import CAPTION_SCHEMA
+
+
+@pytest.fixture(scope="module")
+def decoded(spark):
+    return spark.range(0, 100, numPartitions=3).select(
+        F.concat(F.lit("/v/"), "id", F.lit(".mp4")).alias("path"),
+        F.concat(F.lit("v"), "id").alias("video_id"),
+        F.when(F.col("id") % 10 != 7, F.array(F.col("id").cast("string"), F.lit(" end\n")))
+        .alias("frames"),
+        (F.col("id") + 1).alias("num_frames"),
+        F.col("id").cast("double").alias("duration_sec"),
+    )
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def expected():
+    return sorted(
+        [(f"/v/{i}.mp4", f"v{i}", None if i % 10 == 7 else f"{i + 1} {i}  end", i + 1, float(i))
+         for i in range(100)],
+        key=str,
+    )
+
+
+@pytest.mark.parametrize("backend", ["batch", "request"])
+@pytest.mark.parametrize("batch_size, partitions", [(1, 1), (2, 3), (8, 4), (1000, 7)])
+def test_result_does_not_depend_on_batches(decoded, backend, batch_size, partitions):
+    caption = C.get_backend(backend)
+    captioned = caption(decoded.repartition(partitions), batch_size=batch_size)
+    assert rows(captioned) == expected()
+
+
+def test_backends_share_the_result_schema(decoded):
+    plain = decoded.drop("path")
+    names = [f.simpleString() for f in StructType.fromDDL(CAPTION_SCHEMA).fields]
+    for caption in C.BACKENDS.values():
+        assert [f.simpleString() for f in caption(plain).schema.fields] == names
+
+
+def test_batch_sizes(spark):
+    batches = [pa.record_batch({"x": pa.array(range(n), pa.int64())}) for n in (3, 10, 1, 0, 6)]
+    tables = list(C.rebatch(batches, 4))
+    assert [t.num_rows for t in tables] == [4, 4, 4, 4, 4]
+    assert sum((t.column("x").to_pylist() for t in tables), []) == sum(
+        (b.column("x").to_pylist() for b in batches), []
+    )
+    assert [t.num_rows for t in C.rebatch(batches, 7)] == [7, 7, 6]
+    assert list(C.rebatch([], 7)) == []
+
+
+def loads_into(folder):
+    def load():
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as mark:
+            mark.write(str(os.getpid()))
+        return lambda batch: ["x"] * len(batch["num_frames"])
+
+    return load
+
+
+def test_one_load_per_worker(decoded, folder):
+    model = Model(uuid.uuid4().hex, loads_into(folder))
+    many = decoded.repartition(16)
+    assert C.caption_batches(many, model).where("caption = 'x'").count() == 90
+    C.caption_batches(many, model).collect()
+    pids = [open(os.path.join(folder, name)).read() for name in os.listdir(folder)]
+    assert len(pids) == len(set(pids)) <= 4
+
+
+def test_planning_loads_no_model(decoded, folder):
+    C.caption_batches(decoded, Model("never", loads_into(folder))).schema
+    assert os.listdir(folder) == []
+
+
+def test_wrong_number_of_answers_fails(spark):
+    lazy = Model("short", lambda: lambda batch: ["only one"])
+    assets = spark.createDataFrame([("a", b"x"), ("b", b"y")], "path string, bytes binary").coalesce(1)
+    with pytest.raises(Exception):
+        C.caption_assets(assets, model=lazy, batch_size=2).collect()
+    decoded = spark.sql("SELECT 'a' video_id, array('u') frames, 1L num_frames, 1D duration_sec")
+    with pytest.raises(Exception):
+        C.caption_batches(decoded.union(decoded).coalesce(1), lazy, batch_size=2).collect()
+
+
+def test_engine_takes_requests(spark, decoded):
+    class Engine:
+        def generate(self, requests):
+            return [
+                f"{len(r['messages'][0]['content'])} {r['sampling_params']['max_tokens']}"
+                for r in requests
+            ]
+
+    captioned = C.caption_requests(decoded.where("frames IS NOT NULL"), Model("engine", Engine))
+    assert {r.caption for r in captioned.collect()} == {"17 64"}
+
+
+@pytest.mark.parametrize("threads, batch_size", [(1, 1), (3, 4), (2, 50)])
+def test_one_pass_over_files(spark, folder, threads, batch_size):
+    for i in range(20):
+        with open(f"{folder}/{i}.txt", "w") as out:
+            out.write(" ".join(f"w{j}" for j in range(i)))
+    assets = spark.range(21).select(F.concat(F.lit(folder + "/"), "id", F.lit(".txt")).alias("path"))
+    options = dict(threads=threads, batch_size=batch_size)
+    with pytest.raises(Exception, match="cannot fetch"):
+        C.caption_assets(assets, **options).collect()
+    found = C.caption_assets(assets, on_fetch_error="quarantine", **options).collect()
+    by_id = {int(r.video_id): r for r in found}
+    assert len(found) == 21
+    assert by_id[0].error_type == "no_units"
+    assert by_id[20].error_type == "fetch_failed:FileNotFoundError"
+    assert all(by_id[i].caption == f"{i} w0 w{i - 1}" for i in range(1, 17))
+    with pytest.raises(Exception, match="cannot decode"):
+        C.caption_assets(assets.where("path LIKE '%/0.txt'"), on_error="fail", **options).collect()
+
+
+def test_names_are_checked():
+    with pytest.raises(ValueError, match="unknown backend"):
+        C.get_backend("telepathy")
+    with pytest.raises(ValueError, match="unknown model"):
+        get_model("none")
+
+
+def test_profile_only_when_asked():
+    assert C.gpu_profile(RunConfig()) is None
+    profile = C.gpu_profile(RunConfig(gpus_per_task=0.5))
+    assert profile.taskResources["gpu"].amount == 0.5
+    assert profile.executorResources["gpu"].amount == 1
+
+
+def test_frames_as_bytes(spark):
+    frames = spark.createDataFrame(
+        [("a", [bytes([0, 255]), bytes([255, 0])], 9, 1.0)],
+        "video_id string, frames array<binary>, num_frames bigint, duration_sec double",
+    )
+    assert C.caption_batches(frames, "frame-mean").first().caption == "9 127.5"
+
+
+def test_agreement_of_copies(spark):
+    first = spark.createDataFrame([("a", "x")] * 500 + [("b", "y"), ("c", "z")], "path string, caption string")
+    second = spark.createDataFrame([("a", "x")] * 500 + [("b", "Y"), ("d", None)], "path string, caption string")
+    found = {r.path: tuple(r)[1:] for r in Q.backend_agreement(first, second).collect()}
+    assert found == {
+        "a": (500, 500, True, True), "b": (1, 1, True, False),
+        "c": (1, 0, False, True), "d": (0, 1, False, False),
+    }
+
+
+def test_degenerate_captions(spark):
+    same = spark.range(100).select(F.lit("a video").alias("caption"))
+    row = Q.caption_variety(same).first()
+    assert (row.captions, row.distinct_captions, row.degenerate) == (100, 1, True)
+
+
+def test_bleu_by_hand(spark):
+    pairs = spark.createDataFrame(
+        [(1, "the the the the the the the", "the cat is on the mat"), (2, "a b c d e", "a b c d f")],
+        "k int, c string, r string",
+    )
+    one = Q.bleu(pairs.where("k = 1"), "k", "c", "r").first()
+    assert np.isclose(one.precision_1, 2 / 7) and one.bleu == 0 and one.brevity == 1
+    two = Q.bleu(pairs.where("k = 2"), "k", "c", "r").first()
+    assert np.isclose(two.bleu, (4 / 5 * 3 / 4 * 2 / 3 * 1 / 2) ** 0.25)
+    same = pairs.withColumn("c", F.col("r"))
+    assert np.isclose(Q.bleu(same, "k", "c", "r").first().bleu, 1.0)
