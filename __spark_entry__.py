@@ -32,6 +32,7 @@ from framesift.operators.caption import (  # noqa: E402
 from framesift.operators.decode import decode_assets, readable, rejected  # noqa: E402
 from framesift.operators.groups import sample_groups  # noqa: E402
 from framesift.operators.readers import RawFrameReader  # noqa: E402
+from framesift.operators.units import unit_rows  # noqa: E402
 from framesift.plans import captioning, runs  # noqa: E402
 from framesift.sinks.captions import preview_rows, write_captions  # noqa: E402
 from framesift.sources import manifest as M  # noqa: E402
@@ -292,8 +293,9 @@ def pad_array(spark, sf_dir):
 
 
 def pick_even_items(spark, sf_dir):
-    picked = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.posexplode(S.pick_even("embedding", NUM_UNITS)).alias("slot", "value")
+    embeddings = table(spark, sf_dir, "embeddings")
+    picked = unit_rows(
+        embeddings.select("vec_id", S.pick_even("embedding", NUM_UNITS).alias("units")), "units", "value"
     )
     return picked.select("vec_id", "slot", F.col("value").cast("double").alias("value"))
 
@@ -301,10 +303,9 @@ def pick_even_items(spark, sf_dir):
 def pick_truncated(spark, sf_dir):
     """Embeddings that declare more units than they hold."""
     declared = F.lit(64) + F.col("label") * 4
-    picked = table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        F.posexplode(S.pick_even("embedding", NUM_UNITS, declared)).alias("slot", "value"),
-    )
+    embeddings = table(spark, sf_dir, "embeddings")
+    units = S.pick_even("embedding", NUM_UNITS, declared).alias("units")
+    picked = unit_rows(embeddings.select("vec_id", units), "units", "value")
     return picked.select("vec_id", "slot", F.col("value").cast("double").alias("value"))
 
 
@@ -395,10 +396,8 @@ def decode_frames(spark, sf_dir):
         F.concat(heads, pixels).alias("bytes"),
     )
     decoded = readable(decode_assets(assets, RawFrameReader(size=2), NUM_UNITS))
-    frames = decoded.select(
-        "video_id", "num_frames", "duration_sec", F.posexplode("frames").alias("slot", "frame")
-    )
-    return frames.withColumn("frame", F.hex("frame"))
+    columns = "video_id", "num_frames", "duration_sec", "frames"
+    return unit_rows(decoded.select(*columns), name="frame").withColumn("frame", F.hex("frame"))
 
 
 def sample_words(spark, sf_dir):
@@ -407,7 +406,7 @@ def sample_words(spark, sf_dir):
 
 
 def sample_word_rows(spark, sf_dir):
-    return word_assets(spark, sf_dir).select("doc_id", F.posexplode("frames").alias("slot", "word"))
+    return unit_rows(word_assets(spark, sf_dir).select("doc_id", "frames"), name="word")
 
 
 def sample_turns(spark, sf_dir):

@@ -87,14 +87,18 @@ def ngram_counts(
         *[tagged("_words", 1, n) for n in range(1, order + 1)],
         *[tagged("_given_words", 2, n) for n in range(1, order + 1)],
     )
-    placed = pairs.select(key, *by, candidate, reference).repartition(key)
+    spark = pairs.sparkSession
+    # A fixed number of tasks: the short texts would else be coalesced before they unfold.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = pairs.select(key, *by, candidate, reference).repartition(tasks, key)
     words = placed.select(
         key,
         *by,
         tokens(F.col(candidate)).alias("_words"),
         tokens(F.col(reference)).alias("_given_words"),
     )
-    grams = words.select(key, *by, F.explode(unfolded).alias("_g"))
+    # The outer form, lest Spark infer a filter that builds all n-grams once more.
+    grams = words.select(key, *by, F.explode_outer(unfolded).alias("_g")).where("_g IS NOT NULL")
     side = F.col("_g.side")
     counts = grams.groupBy(key, *by, F.col("_g.n").alias("n"), F.col("_g.gram").alias("_gram")).agg(
         F.count(F.when(side == 1, 1)).alias("_made"), F.count(F.when(side == 2, 1)).alias("_given")

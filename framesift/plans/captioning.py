@@ -54,16 +54,19 @@ def caption_manifest(
     store: tuple[DataFrame, str, str] | None = None,
     opener: Callable = open_uri,
 ) -> DataFrame:
-    """Lazy captions of the URIs in ``manifest``: one row per URI with ``path``, the
-    result columns and ``error_type``.
+    """Captions of the URIs in ``manifest``, not yet computed: one row per URI with
+    ``path``, the result columns and ``error_type``.
 
     ``store`` names a content table with its key and content columns; without it
-    tasks open the URIs. The batch backend fetches, decodes and captions in one
+    tasks open the URIs. A content table decides the tasks itself, by the size of
+    what it holds, unless ``partitions`` is set. The batch backend fetches, decodes and captions in one
     pass. The request backend hands requests on, and so decodes first.
     """
     check_config(config)
     if store is not None:
         assets = fetch_from_store(manifest, *store, on_error=config.on_fetch_error)
+        if config.partitions:
+            assets = assets.repartition(config.partitions)
     else:
         assets = manifest.select(F.col(URI).alias("path"))
     profile = gpu_profile(config)

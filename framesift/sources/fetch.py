@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framesift.sources.manifest import URI
+from framesift.sources.manifest import HOT_COPIES, URI, count_copies, repeat_copies, split_copies
 from framesift.sources.storage import open_uri
-from framesift.workspace import ship_package
+from framesift.workspace import ship_package, stage
 
 # Bytes after which a task hands a batch of fetched assets on.
 BATCH_BYTES = 64 << 20
@@ -59,22 +59,35 @@ def fetch_uris(
 
 
 def fetch_from_store(
-    manifest: DataFrame, store: DataFrame, key: str, content: str, on_error: str = "fail"
+    manifest: DataFrame,
+    store: DataFrame,
+    key: str,
+    content: str,
+    on_error: str = "fail",
+    hot_copies: int = HOT_COPIES,
 ) -> DataFrame:
     """``path`` and ``bytes`` of every URI listed, from a table with unique ``key``.
 
-    The store is first cut down to the wanted keys, so its content moves at most
-    once and not at all where the manifest is small enough for Spark to broadcast.
-    The second join keeps that partitioning and moves the manifest only. Copies of
-    one URI all fall on the manifest side, which adaptive execution splits.
+    Copies are counted first, so every URI is looked up once and no key of the join
+    is hot. The store is cut down to the listed keys before its content moves; Spark
+    broadcasts them where the counted table is small enough. Copies are made from
+    the found row; a URI with more than ``hot_copies`` is split over many tasks.
     """
     check_error_mode(on_error)
-    wanted = manifest.select(F.col(URI).alias("path"))
+    wanted = stage(count_copies(manifest), "wanted").withColumnRenamed(URI, "path")
     stored = store.select(F.col(key).alias("path"), F.col(content).cast("binary").alias("bytes"))
-    held = stored.join(wanted.distinct(), "path", "left_semi").withColumn("_held", F.lit(True))
-    joined = wanted.join(held, "path", "left")
+
+    def looked_up(listed: DataFrame) -> DataFrame:
+        held = stored.join(listed.select("path"), "path", "left_semi")
+        return listed.join(held.withColumn("_held", F.lit(True)), "path", "left")
+
+    found = repeat_copies(looked_up(wanted.where(F.col("copies") <= hot_copies)))
+    hot = wanted.where(F.col("copies") > hot_copies)
+    if not hot.isEmpty():
+        found = found.unionByName(repeat_copies(split_copies(looked_up(hot), hot_copies)))
     missing = F.col("_held").isNull()
     if on_error == "quarantine":
-        return joined.select("path", "bytes", F.when(missing, "not_found").alias("error_type"))
+        return found.select("path", "bytes", F.when(missing, "not_found").alias("error_type"))
     message = F.concat(F.lit("not in the store: "), F.coalesce("path", F.lit("null")))
-    return joined.select("path", F.when(missing, F.raise_error(message)).otherwise(F.col("bytes")).alias("bytes"))
+    checked = F.when(missing, F.raise_error(message)).otherwise(F.col("bytes"))
+    return found.select("path", checked.alias("bytes"))

@@ -16,6 +16,10 @@ from framesift.workspace import ship_package, stage
 URI = "video_uri"
 _LIST_ROWS = 5_000
 
+# Copies that are made from one fetched row in place. Their content is not shuffled;
+# of a URI with more of them, one row per so many copies is.
+HOT_COPIES = 100
+
 # Standard CSV quoting, and no trimming of URIs.
 CSV_OPTIONS = {
     "header": True,
@@ -141,7 +145,32 @@ def read_shard(spark: SparkSession, path: str, shard: int) -> DataFrame:
     return spark.read.schema(schema).parquet(path).where(F.col("shard") == shard).select(URI)
 
 
+def count_copies(manifest: DataFrame) -> DataFrame:
+    """Every URI once, with its number of copies. Copies merge before the shuffle, so
+    joins on the result know no hot URI."""
+    return manifest.groupBy(URI).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def split_copies(counted: DataFrame, most: int = HOT_COPIES) -> DataFrame:
+    """Rows with more than ``most`` copies as several rows, spread over all tasks."""
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(most).cast("bigint"))
+    split = counted.withColumn("_start", F.explode_outer(starts))
+    part = F.least(F.lit(most).cast("bigint"), F.col("copies") - F.col("_start"))
+    spark = counted.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    return split.withColumn("copies", part).drop("_start").repartition(tasks)
+
+
+def repeat_copies(counted: DataFrame) -> DataFrame:
+    """One row per copy again. Rows should hold no more than a task's worth."""
+    copies = F.explode_outer(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return counted.select("*", copies.alias("_copy")).drop("copies", "_copy")
+
+
 def remaining(manifest: DataFrame, done: DataFrame, path: str = "path") -> DataFrame:
-    """Manifest rows whose URI is not listed in ``done``."""
+    """Manifest rows, copies included, whose URI is not listed in ``done``."""
     finished = done.select(F.col(path).alias(URI)).distinct()
-    return manifest.join(finished, URI, "left_anti")
+    left = count_copies(manifest).join(finished, URI, "left_anti")
+    return repeat_copies(split_copies(left))

@@ -31,12 +31,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: later uses neither recompute it nor
     depend on the executors that made it."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,6 +49,16 @@ def _hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged. Only when no frame built on them is
+    needed any more."""
+    dropped = 0
+    while _staged:
+        filesystem, target = _hadoop_path(spark, _staged.pop())
+        dropped += bool(filesystem.delete(target, True))
+    return dropped
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     filesystem, target = _hadoop_path(spark, path)
     return filesystem.exists(target)

@@ -135,6 +135,30 @@ def test_store_errors_and_copies(spark):
         fetch_from_store(listed.where("video_uri = 'c'"), store, "url", "html").collect()
 
 
+@pytest.mark.parametrize("hot_copies", [1, 10, 10_000])
+def test_hot_uri_is_split_and_whole(spark, hot_copies):
+    listed = spark.range(3000, numPartitions=5).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 50))
+        .alias("video_uri")
+    )
+    store = listed.distinct().select("video_uri", F.concat(F.lit("of "), "video_uri").alias("c"))
+    fetched = fetch_from_store(listed, store, "video_uri", "c", hot_copies=hot_copies)
+    counts = {r.path: (r["n"], bytes(r.b)) for r in
+              fetched.groupBy("path").agg(F.count("*").alias("n"), F.min("bytes").alias("b")).collect()}
+    expected = {r.video_uri: r["count"] for r in listed.groupBy("video_uri").count().collect()}
+    assert counts == {u: (n, f"of {u}".encode()) for u, n in expected.items()}
+    if hot_copies == 10:
+        tasks = fetched.where("path = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) == 4 and max(t["count"] for t in tasks) <= 300
+
+
+def test_split_copies(spark):
+    counted = spark.createDataFrame([("a", 25), ("b", 10), ("c", 1)], "video_uri string, copies bigint")
+    split = M.split_copies(counted, 10)
+    assert sorted(map(tuple, split.collect())) == [("a", 5), ("a", 10), ("a", 10), ("b", 10), ("c", 1)]
+    assert M.repeat_copies(split).groupBy("video_uri").count().where("video_uri = 'a'").first()["count"] == 25
+
+
 def tarball(path, members):
     with tarfile.open(path, "w:gz") as archive:
         folder = tarfile.TarInfo("dir.mp4")
