@@ -32,7 +32,18 @@ class RunConfig:
     at once follows from the executors and ``gpus_per_task``."""
 
     gpus_per_task: float = 0.0
-    """GPU share one captioning task reserves; 0 asks for no resource profile."""
+    """Share of ``resource`` one captioning task reserves; 0 asks for no resource
+    profile."""
+
+    resource: str = "gpu"
+    """Executor resource the captioning stage needs: GPUs, or a label the cluster
+    gives the machines it should be pinned to."""
+
+    placement: str = "fused"
+    """``fused``: one stage fetches, decodes and captions, so units never leave their
+    task. ``staged``: samples are written first and captioned by a job of their own,
+    which keeps decoding off the GPU machines and lets captioning start over without
+    decoding again."""
 
     decode_threads: int = 2
     """Assets read ahead of the model inside one task."""

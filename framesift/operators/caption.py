@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -40,20 +40,19 @@ _CAPTIONED_DDL = (
 
 
 def gpu_profile(config: RunConfig):
-    """Resource profile of the captioning stage, or None when no GPU is asked for.
+    """Resource profile of the captioning stage, or None when none is asked for.
 
-    Executors of the stage hold the GPUs; fetching and decoding on their own run in
-    the session's default profile. Needs a cluster manager with stage-level
-    scheduling, so local sessions must leave ``gpus_per_task`` at 0.
+    Needs a cluster manager with stage-level scheduling, so local sessions must
+    leave ``gpus_per_task`` at 0.
     """
     if config.gpus_per_task <= 0:
         return None
     from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder
     from pyspark.resource import TaskResourceRequests
 
-    per_executor = max(1, int(np.ceil(config.gpus_per_task)))
-    executor = ExecutorResourceRequests().resource("gpu", per_executor)
-    task = TaskResourceRequests().cpus(1).resource("gpu", config.gpus_per_task)
+    per_executor = max(1, math.ceil(config.gpus_per_task))
+    executor = ExecutorResourceRequests().resource(config.resource, per_executor)
+    task = TaskResourceRequests().cpus(1).resource(config.resource, config.gpus_per_task)
     return ResourceProfileBuilder().require(executor).require(task).build
 
 

@@ -15,12 +15,15 @@ from framesift.workspace import ship_package
 _ARROW_UNITS = {"string": pa.string(), "binary": pa.binary()}
 
 
-def decode_assets(fetched: DataFrame, reader="text", num_samples: int = NUM_UNITS) -> DataFrame:
+def decode_assets(
+    fetched: DataFrame, reader="text", num_samples: int = NUM_UNITS, on_error: str = "drop"
+) -> DataFrame:
     """Sampled units of every asset: ``path, video_id, frames, num_frames,
     duration_sec, error_type``.
 
-    Unreadable assets keep their row, with an error type and null units. A row with
-    an ``error_type`` from the fetch passes through unread. Frames are large; where
+    Unreadable assets keep their row, with an error type and null units, or stop the
+    job if ``on_error`` is ``fail``. A row with an ``error_type`` from the fetch passes
+    through unread. Frames are large; where
     nothing else needs them, ``caption_assets`` decodes without handing them on.
     """
     reader = get_reader(reader)
@@ -50,6 +53,8 @@ def decode_assets(fetched: DataFrame, reader="text", num_samples: int = NUM_UNIT
                         row.update(frames=units, num_frames=total, duration_sec=duration)
                         size += sum(map(len, units))
                     except Exception as problem:
+                        if on_error == "fail":
+                            raise RuntimeError(f"cannot decode {row['path']!r}") from problem
                         row["error_type"] = error_type(problem)
                 rows.append(row)
                 if size >= BATCH_BYTES:

@@ -26,7 +26,7 @@ from framesift.sources.manifest import (
     write_shards,
 )
 from framesift.sources.storage import open_uri
-from framesift.workspace import exists
+from framesift.workspace import exists, stage
 
 # Assets of one task: little enough to redo when an executor is lost.
 ASSETS_PER_TASK = 1_000
@@ -44,6 +44,8 @@ def check_config(config: RunConfig) -> None:
     get_reader(config.reader)
     get_model(config.model)
     check_error_mode(config.on_fetch_error)
+    if config.placement not in ("fused", "staged"):
+        raise ValueError(f"placement must be 'fused' or 'staged', got {config.placement!r}")
     if config.on_error not in ("drop", "fail"):
         raise ValueError(f"on_error must be 'drop' or 'fail', got {config.on_error!r}")
 
@@ -59,8 +61,9 @@ def caption_manifest(
 
     ``store`` names a content table with its key and content columns; without it
     tasks open the URIs. A content table decides the tasks itself, by the size of
-    what it holds, unless ``partitions`` is set. The batch backend fetches, decodes and captions in one
-    pass. The request backend hands requests on, and so decodes first.
+    what it holds, unless ``partitions`` is set. The fused batch backend fetches,
+    decodes and captions in one pass. The request backend hands requests on, and so
+    decodes first; ``staged`` does that for both, and writes the samples.
     """
     check_config(config)
     if store is not None:
@@ -70,7 +73,7 @@ def caption_manifest(
     else:
         assets = manifest.select(F.col(URI).alias("path"))
     profile = gpu_profile(config)
-    if config.backend == "batch":
+    if config.backend == "batch" and config.placement == "fused":
         return caption_assets(
             assets,
             reader=config.reader,
@@ -85,11 +88,9 @@ def caption_manifest(
         )
     if store is None:
         assets = fetch_uris(manifest, opener, on_error=config.on_fetch_error)
-    decoded = decode_assets(assets, config.reader, config.num_units)
-    if config.on_error == "fail":
-        message = F.concat(F.lit("cannot decode "), F.col("path"))
-        broken = F.col("error_type").isNotNull()
-        decoded = decoded.withColumn("error_type", F.when(broken, F.raise_error(message)))
+    decoded = decode_assets(assets, config.reader, config.num_units, config.on_error)
+    if config.placement == "staged":
+        decoded = stage(decoded, "samples")
     return get_backend(config.backend)(
         decoded, model=config.model, batch_size=config.batch_size, profile=profile
     ).select("path", "video_id", "caption", "num_frames", "duration_sec", "error_type")

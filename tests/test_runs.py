@@ -56,6 +56,28 @@ def test_run(spark, folder, manifest, backend, shards):
     assert count_rows(spark, output) == 12
 
 
+@pytest.mark.parametrize("backend", ["batch", "request"])
+def test_staged_samples_give_the_same(spark, folder, manifest, backend):
+    config = RunConfig(backend=backend, placement="staged", on_fetch_error="quarantine")
+    captioning.run(spark, manifest, folder + "/out", config)
+    assert captions(spark, folder + "/out") == EXPECTED
+    assert spark.read.parquet(folder + "/out_rejected").count() == 2
+
+
+@pytest.mark.parametrize("backend", ["batch", "request"])
+def test_strict_run_stops_at_a_bad_asset(spark, folder, manifest, backend):
+    config = RunConfig(backend=backend, on_fetch_error="quarantine", on_error="fail")
+    with pytest.raises(Exception, match="cannot decode"):
+        captioning.run(spark, manifest, folder + "/out", config)
+    with pytest.raises(Exception, match="cannot fetch"):
+        captioning.run(spark, manifest, folder + "/out", RunConfig(backend=backend))
+    assert not os.path.exists(folder + "/out")
+    with open(folder + "/lost.csv", "w") as out:
+        out.write(f"video_uri\n{folder}/in/99.txt\n{folder}/in/03.txt\n")
+    captioning.run(spark, folder + "/lost.csv", folder + "/out", config)
+    assert captions(spark, folder + "/out") == [("03", "3 w0 w2")]
+
+
 def test_limits(spark, folder, manifest):
     captioning.run(spark, manifest, folder + "/two", CONFIG, limit=3)
     assert captions(spark, folder + "/two") == EXPECTED[:2]
@@ -116,7 +138,7 @@ def test_model_runs_once_per_asset(spark, folder, manifest):
 
 
 @pytest.mark.parametrize("change", [{"backend": "b"}, {"reader": "r"}, {"model": "m"},
-                                    {"on_error": "e"}, {"on_fetch_error": "f"}])
+                                    {"on_error": "e"}, {"placement": "p"}, {"on_fetch_error": "f"}])
 def test_settings_are_checked_before_any_job(spark, folder, change):
     with pytest.raises(ValueError):
         captioning.run(spark, folder + "/absent.csv", folder + "/o", RunConfig(**change))
