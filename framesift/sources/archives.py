@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framesift.operators.ordering import running_total
-from framesift.sources.fetch import BATCH_BYTES
+from framesift.sources.fetch import BATCH_BYTES, column_sized
 from framesift.sources.storage import open_raw
 from framesift.workspace import ship_package
 
@@ -41,7 +41,7 @@ def archive_members(
                     for member in archive:
                         if not (member.isfile() and member.name.lower().endswith(ending)):
                             continue
-                        data = archive.extractfile(member).read()
+                        data = column_sized(archive.extractfile(member).read())
                         rows.append({"archive": name, "member": member.name, "bytes": data})
                         size += len(data)
                         if size >= BATCH_BYTES:

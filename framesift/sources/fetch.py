@@ -15,6 +15,9 @@ from framesift.workspace import ship_package, stage
 # Bytes after which a task hands a batch of fetched assets on.
 BATCH_BYTES = 64 << 20
 
+# Most bytes of one asset that a binary column and its Arrow batch can hold.
+MAX_BYTES = 2_000_000_000
+
 _FETCHED = pa.schema([("path", pa.string()), ("bytes", pa.binary()), ("error_type", pa.string())])
 
 
@@ -23,13 +26,20 @@ def check_error_mode(mode: str) -> None:
         raise ValueError(f"on_error must be 'fail' or 'quarantine', got {mode!r}")
 
 
+def column_sized(data: bytes) -> bytes:
+    if len(data) > MAX_BYTES:
+        raise OverflowError(f"{len(data)} bytes do not fit a column")
+    return data
+
+
 def fetch_uris(
     manifest: DataFrame, opener: Callable = open_uri, on_error: str = "fail"
 ) -> DataFrame:
     """``path`` and ``bytes`` of every URI listed, copies included.
 
     ``fail`` stops the job at an asset that cannot be read; ``quarantine`` keeps
-    its row with null bytes and adds ``error_type``.
+    its row with null bytes and adds ``error_type``. An asset too large for a column
+    counts as unreadable here; ``caption_assets`` can read it by path.
     """
     check_error_mode(on_error)
     ship_package(manifest.sparkSession)
@@ -41,7 +51,7 @@ def fetch_uris(
             for uri in batch.column(0).to_pylist():
                 try:
                     with opener(uri) as stream:
-                        data, error = stream.read(), None
+                        data, error = column_sized(stream.read()), None
                 except Exception as problem:
                     if failing:
                         raise RuntimeError(f"cannot fetch {uri!r}") from problem

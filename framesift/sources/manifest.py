@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import os
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +12,13 @@ from pyspark.sql import functions as F
 
 from framesift.functions.assets import has_suffix
 from framesift.operators.ordering import first_n
-from framesift.sources.storage import list_folder, walk_files
+from framesift.sources.storage import list_folder
 from framesift.workspace import ship_package, stage
 
 URI = "video_uri"
 _LIST_ROWS = 5_000
+_LISTING = pa.schema([("path", pa.string()), ("length", pa.int64()), ("is_folder", pa.bool_())])
+_LISTING_DDL = "path string, length bigint, is_folder boolean"
 
 # Copies that are made from one fetched row in place. Their content is not shuffled;
 # of a URI with more of them, one row per so many copies is.
@@ -34,50 +38,35 @@ def list_assets(
 ) -> DataFrame:
     """Files below ``root`` whose name ends in ``suffix`` (any case), with length.
 
-    The folders directly below ``root`` are walked by tasks of their own, so the
-    driver never holds the listing. A positive ``limit`` keeps the first paths in
-    sorted order; None or 0 keeps all.
+    One job per level of the folder tree lists all its folders in parallel, so
+    neither the driver nor the task of a big subtree ever holds the listing. A
+    positive ``limit`` keeps the first paths in sorted order; None or 0 keeps all.
     """
     ship_package(spark)
     root = root if "://" in root or root.startswith("file:") else os.path.abspath(root)
-
-    def children(batches):
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                yield from _listing_batches(list_folder(uri), ["path", "length", "is_folder"])
-
-    def files(batches):
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                yield from _listing_batches(walk_files(uri), ["path", "length"])
-
-    top = stage(
-        spark.createDataFrame([(root,)], "path string").mapInArrow(
-            children, "path string, length bigint, is_folder boolean"
-        ),
-        "listing",
-    )
-    folders = top.where("is_folder").select("path").repartition(spark.sparkContext.defaultParallelism)
-    found = (
-        top.where("not is_folder")
-        .select("path", "length")
-        .unionByName(folders.mapInArrow(files, "path string, length bigint"))
-        .where(has_suffix("path", suffix))
-    )
+    tasks = spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([(root,)], "path string")
+    levels = []
+    while True:
+        level = stage(folders.mapInArrow(_children, _LISTING_DDL), "listing")
+        levels.append(level.where("not is_folder").select("path", "length"))
+        folders = level.where("is_folder").select("path")
+        if folders.isEmpty():
+            break
+        folders = folders.repartition(tasks)
+    found = reduce(DataFrame.unionByName, levels).where(has_suffix("path", suffix))
     return first_n(found, ["path"], limit) if limit else found
 
 
-def _listing_batches(rows, names):
-    types = {"path": pa.string(), "length": pa.int64(), "is_folder": pa.bool_()}
-    schema = pa.schema([(name, types[name]) for name in names])
-    chunk = []
-    for row in rows:
-        chunk.append(dict(zip(names, row)))
-        if len(chunk) == _LIST_ROWS:
-            yield pa.RecordBatch.from_pylist(chunk, schema=schema)
-            chunk = []
-    if chunk:
-        yield pa.RecordBatch.from_pylist(chunk, schema=schema)
+def _children(batches):
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            entries = list_folder(folder)
+            while chunk := list(itertools.islice(entries, _LIST_ROWS)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*chunk), _LISTING.types)],
+                    schema=_LISTING,
+                )
 
 
 def manifest_of(paths: DataFrame, column: str = "path") -> DataFrame:
@@ -90,12 +79,13 @@ def select_assets(
     """Manifest of the URIs in ``column`` that end in ``suffix`` (any case); a
     positive ``limit`` keeps the first in sorted order."""
     manifest = manifest_of(candidates, column).where(has_suffix(URI, suffix))
-    return first_n(manifest, [URI], limit) if limit else manifest
+    return limit_manifest(manifest, limit) if limit else manifest
 
 
 def write_manifest(manifest: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header, in URI order over the sorted file names."""
-    manifest.select(URI).orderBy(URI).write.mode(mode).csv(path, **CSV_OPTIONS)
+    """CSV with a header, in URI order over the sorted file names. Copies of a URI may
+    fill several files."""
+    _numbered(manifest).orderBy(URI, "_copy").select(URI).write.mode(mode).csv(path, **CSV_OPTIONS)
 
 
 def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -117,7 +107,12 @@ def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> D
 
 def limit_manifest(manifest: DataFrame, limit: int) -> DataFrame:
     """First URIs in sorted order, for manifests without a file order."""
-    return first_n(manifest, [URI], limit)
+    return first_n(_numbered(manifest), [URI, "_copy"], limit).select(URI)
+
+
+def _numbered(manifest: DataFrame) -> DataFrame:
+    """Copies of a URI told apart, so that a sort can put them into different tasks."""
+    return manifest.select(URI, F.monotonically_increasing_id().alias("_copy"))
 
 
 def spread(manifest: DataFrame, partitions: int) -> DataFrame:

@@ -39,14 +39,3 @@ def list_folder(uri: str) -> Iterator[tuple[str, int | None, bool]]:
     filesystem, path, prefix = resolve(uri)
     for info in filesystem.get_file_info(fs.FileSelector(path, recursive=False)):
         yield prefix + info.path, info.size, info.type == fs.FileType.Directory
-
-
-def walk_files(uri: str) -> Iterator[tuple[str, int | None]]:
-    """All files below a folder, holding one folder's listing at a time."""
-    folders = [uri]
-    while folders:
-        for child, length, is_folder in list_folder(folders.pop()):
-            if is_folder:
-                folders.append(child)
-            else:
-                yield child, length

@@ -75,6 +75,28 @@ def test_spread_does_not_gather_copies(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) <= 110
 
 
+def test_copies_do_not_share_a_file(spark, folder):
+    copies = spark.range(0, 4000, numPartitions=8).select(F.lit("/one").alias("video_uri"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        M.write_manifest(copies, folder + "/m")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = spark.read.csv(folder + "/m", header=True).select("video_uri", "_metadata.file_path")
+    sizes = [r["count"] for r in rows.groupBy("file_path").count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) > 1
+    assert M.limit_manifest(copies, 7).count() == 7
+
+
+def test_too_large_for_a_column(spark, monkeypatch):
+    from framesift.sources import fetch
+
+    monkeypatch.setattr(fetch, "MAX_BYTES", 3)
+    assert fetch.column_sized(b"abc") == b"abc"
+    with pytest.raises(OverflowError):
+        fetch.column_sized(b"abcd")
+
+
 def test_shards_are_even_and_whole(spark, folder):
     copies = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, "/hot").otherwise(F.concat(F.lit("/"), "id")).alias("video_uri")
