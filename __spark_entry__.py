@@ -239,8 +239,7 @@ def archive_rows(spark, sf_dir):
 
 
 def archive_target(spark, sf_dir):
-    """Sources of documents as archives, taken until half the smallest table's
-    worth of members exists."""
+    """Sources of documents as archives, taken until enough members exist."""
     counts = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("archive")).agg(
         F.count(F.lit(1)).alias("members")
     )
@@ -462,7 +461,8 @@ def caption_documents(spark, sf_dir):
 
 def caption_fetched(spark, sf_dir):
     """Fetch, decode and caption in one pass, with unreadable assets marked."""
-    return caption_assets(document_bytes(spark, sf_dir), batch_size=BATCH).drop("path")
+    assets = document_bytes(spark, sf_dir)
+    return caption_assets(assets, batch_size=BATCH, threads=0).drop("path")
 
 
 # --- Sinks and whole runs ----------------------------------------------------
@@ -566,20 +566,31 @@ def caption_variety(spark, sf_dir):
     return quality.caption_variety(captions, ["lang"])
 
 
-def caption_bleu(spark, sf_dir):
-    """Every turn scored against the turn that answers it."""
+def answered_turns(spark, sf_dir):
+    """Every turn with the turn that answers it."""
     turns = table(spark, sf_dir, "conversations")
     answers = turns.select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")
     )
-    pairs = turns.join(answers, ["conv_id", "turn"]).select(
+    return turns.join(answers, ["conv_id", "turn"]).select(
         F.concat_ws("/", "conv_id", "turn").alias("key"), "role", "text", "reference"
     )
+
+
+def caption_bleu(spark, sf_dir):
+    pairs = answered_turns(spark, sf_dir)
     scored = quality.bleu(pairs, "key", "text", "reference", by=["role"])
     rounded = [F.round(c, 9).alias(c) for c in scored.columns[3:]]
     return scored.select("role", "words", "reference_words", *rounded)
 
 
+def caption_cider(spark, sf_dir):
+    """N-grams of more than 50 pairs are taken as common ones."""
+    pairs = answered_turns(spark, sf_dir)
+    scored = quality.cider(pairs, "key", "text", "reference", hot_pairs=50)
+    return scored.select("key", F.round("cider", 9).alias("cider"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return caption_documents(spark, "/root/testdata/sf0.001")
 
@@ -597,7 +608,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         caption_fetched, write_and_read, preview, result_count, run_captions,
         run_captions_request, run_rejected, incremental_captions, remaining_manifest,
         shard_and_merge, run_throughput, backend_pivot, sweep_grid, sweep_best,
-        caption_variety, caption_bleu,
+        caption_variety, caption_bleu, caption_cider,
     ]
     return {query.__name__: query for query in registered}
 
@@ -660,6 +671,15 @@ _EVENT_SAMPLE = f"""
 """
 
 
+_PAIRS = """
+    pairs AS (
+        SELECT a.conv_id || '/' || a.turn AS key, a.role, a.text, b.text AS reference
+        FROM conversations a JOIN conversations b
+          ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
+    )
+"""
+
+
 def _ngrams(n: int) -> str:
     unfolded = f"""
         SELECT key, role, unnest([array_to_string(w[i:i + {n - 1}], ' ')
@@ -667,20 +687,20 @@ def _ngrams(n: int) -> str:
         FROM (SELECT key, role, string_split(lower({{0}}), ' ') AS w FROM pairs)
     """
     return f"""
-        SELECT role, {n} AS n, sum(made) AS grams, sum(given) AS reference_grams,
-               sum(least(made, given)) AS matches
-        FROM (SELECT key, role, gram, count(*) FILTER (side = 1) AS made,
-                     count(*) FILTER (side = 2) AS given
-              FROM (SELECT *, 1 AS side FROM ({unfolded.format("text")})
-                    UNION ALL SELECT *, 2 AS side FROM ({unfolded.format("reference")}))
-              GROUP BY key, role, gram)
-        GROUP BY role
+        SELECT key, role, {n} AS n, gram, count(*) FILTER (side = 1) AS made,
+               count(*) FILTER (side = 2) AS given
+        FROM (SELECT *, 1 AS side FROM ({unfolded.format("text")})
+              UNION ALL SELECT *, 2 AS side FROM ({unfolded.format("reference")}))
+        GROUP BY key, role, gram
     """
 
 
+_GRAMS = "grams AS (" + " UNION ALL ".join(_ngrams(n) for n in range(1, 5)) + ")"
+
+
 def _bleu() -> str:
-    def total(n, column):
-        return f"coalesce(sum({column}) FILTER (n = {n}), 0)::BIGINT"
+    def total(n, value):
+        return f"coalesce(sum({value}) FILTER (n = {n}), 0)::BIGINT"
 
     def precision(n):
         return f"(CASE WHEN g{n} > 0 THEN m{n}::DOUBLE / g{n} ELSE 0 END)"
@@ -688,18 +708,12 @@ def _bleu() -> str:
     brevity = "(CASE WHEN g1 >= r1 THEN 1.0 WHEN g1 > 0 THEN exp(1 - r1::DOUBLE / g1) ELSE 0 END)"
     logs = " + ".join(f"ln({precision(n)})" for n in range(1, 5))
     lowest = f"least({', '.join(precision(n) for n in range(1, 5))})"
-    orders = " UNION ALL ".join(_ngrams(n) for n in range(1, 5))
+    sums = ", ".join(
+        f"{total(n, 'made')} AS g{n}, {total(n, 'least(made, given)')} AS m{n}" for n in range(1, 5)
+    )
     return f"""
-        WITH pairs AS (
-            SELECT a.conv_id || '/' || a.turn AS key, a.role, a.text, b.text AS reference
-            FROM conversations a JOIN conversations b
-              ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
-        ), totals AS (
-            SELECT role, {", ".join(f"{total(n, 'grams')} AS g{n}, {total(n, 'matches')} AS m{n}"
-                                    for n in range(1, 5))},
-                   {total(1, "reference_grams")} AS r1
-            FROM ({orders}) GROUP BY role
-        )
+        WITH {_PAIRS}, {_GRAMS},
+             totals AS (SELECT role, {sums}, {total(1, "given")} AS r1 FROM grams GROUP BY role)
         SELECT role, g1 AS words, r1 AS reference_words,
                {", ".join(f"round({precision(n)}, 9) AS precision_{n}" for n in range(1, 5))},
                round({brevity}::DOUBLE, 9) AS brevity,
@@ -709,6 +723,21 @@ def _bleu() -> str:
     """
 
 
+_CIDER = f"""
+    WITH {_PAIRS}, {_GRAMS},
+         seen AS (SELECT n, gram, count(*) AS pairs FROM grams WHERE given > 0 GROUP BY n, gram),
+         weighted AS (
+             SELECT key, n, made * w AS a, given * w AS b
+             FROM (SELECT g.key, g.n, g.made, g.given,
+                          ln((SELECT count(*) FROM pairs)::DOUBLE / coalesce(s.pairs, 1)) AS w
+                   FROM grams g LEFT JOIN seen s ON g.n = s.n AND g.gram = s.gram)),
+         cosines AS (SELECT key, n, sum(a * b) AS ab, sqrt(sum(a * a)) * sqrt(sum(b * b)) AS l
+                     FROM weighted GROUP BY key, n)
+    SELECT key, round(sum(CASE WHEN l > 0 THEN ab / l ELSE 0 END) / 4, 9) AS cider
+    FROM cosines GROUP BY key
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     positions = f"[{_position('n_chars', NUM_UNITS)} for i in range({NUM_UNITS})]"
     image = '{"type":"image"}'
@@ -888,6 +917,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT lang, string_split(text, ' ')[1] AS caption FROM documents)
             GROUP BY lang""",
         "caption_bleu": _bleu(),
+        "caption_cider": _CIDER,
     }
     same = {
         "manifest_scan_limit": "limit_first_n",

@@ -46,7 +46,7 @@ class RunConfig:
     decoding again."""
 
     decode_threads: int = 2
-    """Assets read ahead of the model inside one task."""
+    """Threads that read assets ahead of the model inside one task; 0 reads in line."""
 
     partitions: int | None = None
     """Tasks of the fetch, decode and caption stage; None fits them to the manifest."""

@@ -194,7 +194,11 @@ def as_engine(model: Callable) -> Callable:
 
 
 def read_ahead(function: Callable, items: Iterable, threads: int) -> Iterator:
-    """Results in order, computed by a few threads that stay just ahead."""
+    """Results in order, computed by a few threads that stay just ahead. No threads
+    are used for 0: readers that hold the interpreter lock gain nothing from them."""
+    if threads <= 0:
+        yield from map(function, items)
+        return
     with ThreadPoolExecutor(max_workers=threads) as pool:
         pending: deque = deque()
         for item in items:

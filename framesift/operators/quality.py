@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framesift.workspace import stage
+
 
 def backend_agreement(first: DataFrame, second: DataFrame, key: str = "path") -> DataFrame:
     """Per asset the rows of both results and whether their captions agree.
@@ -68,16 +70,15 @@ def ngrams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
 
 
-def ngram_counts(
+def pair_ngrams(
     pairs: DataFrame, key: str, candidate: str, reference: str, by: Sequence[str] = (), order: int = 4
 ) -> DataFrame:
-    """Per ``by`` group and n-gram length up to ``order``: n-grams of the candidates,
-    of the references, and matches.
+    """Per pair of texts the n-grams up to ``order`` words of both: ``n``, ``gram`` and
+    how often the candidate (``made``) and the reference (``given``) hold it.
 
-    Matches are clipped within a pair: an n-gram counts at most as often as the
-    reference holds it. ``key`` must be unique. The pairs are hashed on it before
-    their texts unfold, so the n-grams, several times the size of the texts, are
-    counted where they arise and never shuffled.
+    ``key`` must be unique. The pairs are hashed on it before their texts unfold, so
+    the n-grams, several times the size of the texts, are counted where they arise
+    and not shuffled.
     """
     def tagged(words: str, side: int, n: int) -> Column:
         tags = F.lit(side).alias("side"), F.lit(n).alias("n")
@@ -87,9 +88,8 @@ def ngram_counts(
         *[tagged("_words", 1, n) for n in range(1, order + 1)],
         *[tagged("_given_words", 2, n) for n in range(1, order + 1)],
     )
-    spark = pairs.sparkSession
     # A fixed number of tasks: the short texts would else be coalesced before they unfold.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = pairs.select(key, *by, candidate, reference).repartition(tasks, key)
     words = placed.select(
         key,
@@ -100,23 +100,22 @@ def ngram_counts(
     # The outer form, lest Spark infer a filter that builds all n-grams once more.
     grams = words.select(key, *by, F.explode_outer(unfolded).alias("_g")).where("_g IS NOT NULL")
     side = F.col("_g.side")
-    counts = grams.groupBy(key, *by, F.col("_g.n").alias("n"), F.col("_g.gram").alias("_gram")).agg(
-        F.count(F.when(side == 1, 1)).alias("_made"), F.count(F.when(side == 2, 1)).alias("_given")
-    )
-    return counts.groupBy(*by, "n").agg(
-        F.sum("_made").alias("grams"),
-        F.sum("_given").alias("reference_grams"),
-        F.sum(F.least("_made", "_given")).alias("matches"),
+    return grams.groupBy(key, *by, F.col("_g.n").alias("n"), F.col("_g.gram").alias("gram")).agg(
+        F.count(F.when(side == 1, 1)).alias("made"), F.count(F.when(side == 2, 1)).alias("given")
     )
 
 
 def bleu(
     pairs: DataFrame, key: str, candidate: str, reference: str, by: Sequence[str] = (), order: int = 4
 ) -> DataFrame:
-    """Corpus BLEU of the candidates, per ``by`` group: clipped n-gram precisions up
-    to ``order``, brevity penalty and score. The score is 0 where some order has no
-    match."""
-    counts = ngram_counts(pairs, key, candidate, reference, by, order)
+    """Corpus BLEU of the candidates, per ``by`` group: n-gram precisions up to
+    ``order``, brevity penalty and score. Within a pair an n-gram matches at most as
+    often as the reference holds it. The score is 0 where some order has no match."""
+    counts = pair_ngrams(pairs, key, candidate, reference, by, order).groupBy(*by, "n").agg(
+        F.sum("made").alias("grams"),
+        F.sum("given").alias("reference_grams"),
+        F.sum(F.least("made", "given")).alias("matches"),
+    )
 
     def at(n: int, column: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(column))), F.lit(0))
@@ -144,3 +143,42 @@ def bleu(
         brevity.alias("brevity"),
         F.coalesce(brevity * F.exp(logs / order), F.lit(0.0)).alias("bleu"),
     )
+
+
+def cider(
+    pairs: DataFrame,
+    key: str,
+    candidate: str,
+    reference: str,
+    order: int = 4,
+    hot_pairs: int = 1_000_000,
+) -> DataFrame:
+    """CIDEr of every pair: the cosine of both texts' n-gram counts, weighted by how
+    rare an n-gram is among the references, as the mean over n-gram lengths.
+
+    An n-gram of more than ``hot_pairs`` references is no join key: there are few of
+    those, and their staged table is small enough for Spark to broadcast.
+    """
+    total = pairs.count()
+    grams = stage(pair_ngrams(pairs, key, candidate, reference, order=order), "ngrams")
+    # Partial counts are made before the shuffle, so a common n-gram is no hot key here.
+    seen = grams.where("given > 0").groupBy("n", "gram").agg(F.count(F.lit(1)).alias("pairs"))
+    seen = stage(seen, "ngram-pairs")
+    common = stage(seen.where(F.col("pairs") > hot_pairs), "common-ngrams")
+    if common.isEmpty():
+        weighted = grams.join(seen, ["n", "gram"], "left")
+    else:
+        rare = grams.join(common, ["n", "gram"], "left_anti").join(
+            seen.where(F.col("pairs") <= hot_pairs), ["n", "gram"], "left"
+        )
+        weighted = rare.unionByName(grams.join(common, ["n", "gram"]))
+    weight = F.ln(F.lit(float(total)) / F.coalesce("pairs", F.lit(1)))
+    made, given = F.col("made") * weight, F.col("given") * weight
+    sums = weighted.groupBy(key, "n").agg(
+        F.sum(made * given).alias("_both"),
+        F.sum(made * made).alias("_made"),
+        F.sum(given * given).alias("_given"),
+    )
+    lengths = F.sqrt(F.col("_made")) * F.sqrt(F.col("_given"))
+    cosine = F.when(lengths > 0, F.col("_both") / lengths).otherwise(0.0)
+    return sums.groupBy(key).agg((F.sum(cosine) / order).alias("cider"))

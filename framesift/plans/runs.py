@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,10 +20,12 @@ RUN_SCHEMA = (
 )
 
 
-def run_once(run_job: Callable[[RunConfig, str], dict], config: RunConfig, output: str) -> dict:
+def run_once(
+    spark: SparkSession, manifest, output: str, config: RunConfig, limit: int | None = None, **options
+) -> dict:
     """Statistics of one run; a failed run has an error text and no elapsed time."""
     try:
-        return run_job(config, output) | {"error": None}
+        return run(spark, manifest, output, config, limit, **options) | {"error": None}
     except Exception as problem:
         return {
             "backend": config.backend,
@@ -31,7 +33,7 @@ def run_once(run_job: Callable[[RunConfig, str], dict], config: RunConfig, outpu
             "output": output,
             "batch_size": config.batch_size,
             "gpu_concurrency": config.gpu_concurrency,
-            "limit": None,
+            "limit": limit,
             "error": str(problem),
         }
 
@@ -134,8 +136,7 @@ def sweep(
     stats = []
     for config in sweep_configs(base, batch_sizes, concurrencies):
         folder = f"{config.output_path(output_root)}-b{config.batch_size}-c{config.gpu_concurrency}"
-        job = lambda c, out: run(spark, manifest, out, c, **options)
-        stats.append(run_once(job, config, folder))
+        stats.append(run_once(spark, manifest, folder, config, **options))
     return runs_table(spark, stats)
 
 
@@ -148,11 +149,11 @@ def compare(
     **options,
 ) -> DataFrame:
     """One run per backend with the same settings, as a run table."""
-    stats = []
-    for backend in backends:
-        config = replace(base, backend=backend)
-        job = lambda c, out: run(spark, manifest, out, c, **options)
-        stats.append(run_once(job, config, config.output_path(output_root)))
+    configs = [replace(base, backend=backend) for backend in backends]
+    stats = [
+        run_once(spark, manifest, config.output_path(output_root), config, **options)
+        for config in configs
+    ]
     return runs_table(spark, stats)
 
 

@@ -109,7 +109,7 @@ def test_engine_takes_requests(spark, decoded):
     assert {r.caption for r in captioned.collect()} == {"17 64"}
 
 
-@pytest.mark.parametrize("threads, batch_size", [(1, 1), (3, 4), (2, 50)])
+@pytest.mark.parametrize("threads, batch_size", [(0, 3), (1, 1), (3, 4), (2, 50)])
 def test_one_pass_over_files(spark, folder, threads, batch_size):
     for i in range(20):
         with open(f"{folder}/{i}.txt", "w") as out:
@@ -179,3 +179,26 @@ def test_bleu_by_hand(spark):
     assert np.isclose(two.bleu, (4 / 5 * 3 / 4 * 2 / 3 * 1 / 2) ** 0.25)
     same = pairs.withColumn("c", F.col("r"))
     assert np.isclose(Q.bleu(same, "k", "c", "r").first().bleu, 1.0)
+
+
+@pytest.mark.parametrize("hot_pairs", [0, 2, 1_000_000])
+def test_cider_by_hand(spark, hot_pairs):
+    texts = [("a b c", "a b d"), ("a x y", "a x y"), ("a q", "z z"), ("a", "a b d")]
+    pairs = spark.createDataFrame([(i, c, r) for i, (c, r) in enumerate(texts)], "k int, c string, r string")
+    found = {r.k: r.cider for r in Q.cider(pairs, "k", "c", "r", order=2, hot_pairs=hot_pairs).collect()}
+
+    def grams(text, n):
+        words = text.split(" ")
+        return [" ".join(words[i:i + n]) for i in range(len(words) - n + 1)]
+
+    for k, (made, given) in enumerate(texts):
+        total = 0
+        for n in (1, 2):
+            seen = [set(grams(r, n)) for _, r in texts]
+            weigh = lambda g: np.log(4 / max(sum(g in s for s in seen), 1))
+            every = sorted(set(grams(made, n)) | set(grams(given, n)))
+            a = np.array([grams(made, n).count(g) * weigh(g) for g in every])
+            b = np.array([grams(given, n).count(g) * weigh(g) for g in every])
+            size = np.linalg.norm(a) * np.linalg.norm(b)
+            total += a @ b / size if size else 0
+        assert np.isclose(found[k], total / 2)
