@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from framesift.config import MAX_NEW_TOKENS, NUM_UNITS, PROMPT, RunConfig
 from framesift.functions.assets import asset_id, strip_text
-from framesift.operators.models import get_model, loaded
+from framesift.operators.models import Model, get_model, loaded
 from framesift.operators.readers import error_type, get_reader, sample_asset
 from framesift.sources.results import CAPTION_COLUMNS
 from framesift.sources.storage import open_uri
@@ -73,14 +73,6 @@ def rebatch(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _answer_readable(table: pa.Table, units: pa.ChunkedArray, answer: Callable) -> pa.Array:
-    """One text per row of ``table``, null where there are no units to show the model."""
-    readable = units.is_valid()
-    part = table if units.null_count == 0 else table.filter(readable)
-    texts = iter([str(text) for text in answer(part)] if part.num_rows else [])
-    return pa.array([next(texts) if ok else None for ok in readable.to_pylist()], pa.string())
-
-
 def caption_batches(
     decoded: DataFrame, model="first-last", batch_size: int = 2, profile=None
 ) -> DataFrame:
@@ -89,7 +81,26 @@ def caption_batches(
     Every column but ``frames`` is kept, so a ``path`` beside the result columns
     comes through. Rows without units get no caption.
     """
-    model = get_model(model)
+    def ask(answer):
+        return lambda part: answer({c: part.column(c).to_numpy() for c in part.column_names})
+
+    return _captioned(
+        decoded, decoded, get_model(model), batch_size, lambda t: t.column("frames"), ask, profile
+    )
+
+
+def _captioned(
+    decoded: DataFrame,
+    shown: DataFrame,
+    model: Model,
+    batch_size: int,
+    units: Callable[[pa.Table], pa.ChunkedArray],
+    ask: Callable,
+    profile,
+) -> DataFrame:
+    """Captions of the rows ``shown`` to the model, beside what ``decoded`` holds but
+    its units. ``units`` finds these in a table; ``ask`` makes of the loaded model a
+    function from a table to its texts."""
     ship_package(decoded.sparkSession)
     kept = [field for field in decoded.schema.fields if field.name != "frames"]
     names = [field.name for field in kept]
@@ -98,12 +109,8 @@ def caption_batches(
         answer = None
         done: list[pa.Table] = []
         for table in rebatch(batches, batch_size):
-            answer = answer or loaded(model)
-
-            def answer_table(part):
-                return answer({c: part.column(c).to_numpy() for c in part.column_names})
-
-            texts = _answer_readable(table, table.column("frames"), answer_table)
+            answer = answer or ask(loaded(model))
+            texts = _answer_readable(table, units(table), answer)
             done.append(table.select(names).append_column("caption", texts))
             if sum(part.num_rows for part in done) >= _OUT_ROWS:
                 yield from pa.concat_tables(done).combine_chunks().to_batches()
@@ -112,14 +119,20 @@ def caption_batches(
             yield from pa.concat_tables(done).combine_chunks().to_batches()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", caption string"
-    captioned = decoded.mapInArrow(caption, schema, profile=profile)
-    return _final_columns(captioned, names)
+    captioned = shown.mapInArrow(caption, schema, profile=profile)
+    extra = [c for c in names if c not in CAPTION_COLUMNS]
+    return captioned.withColumn("caption", strip_text("caption")).select(*extra, *CAPTION_COLUMNS)
 
 
-def _final_columns(captioned: DataFrame, names: list[str]) -> DataFrame:
-    extra = [c for c in names if c not in CAPTION_COLUMNS]
-    columns = [strip_text("caption").alias(c) if c == "caption" else F.col(c) for c in CAPTION_COLUMNS]
-    return captioned.select(*extra, *columns)
+def _answer_readable(table: pa.Table, units: pa.ChunkedArray, answer: Callable) -> pa.Array:
+    """One text per row of ``table``, null where there are no units to show the model."""
+    readable = units.is_valid()
+    part = table if units.null_count == 0 else table.filter(readable)
+    texts = [str(text) for text in answer(part)] if part.num_rows else []
+    if len(texts) != part.num_rows:
+        raise ValueError(f"the model gave {len(texts)} texts for {part.num_rows} assets")
+    left = iter(texts)
+    return pa.array([next(left) if ok else None for ok in readable.to_pylist()], pa.string())
 
 
 def build_messages(num_units: int = NUM_UNITS, prompt: str = PROMPT) -> Column:
@@ -154,29 +167,21 @@ def caption_requests(
     prompt: str = PROMPT,
     profile=None,
 ) -> DataFrame:
-    """Request backend: rows become requests, an engine adds ``generated_text``, and
-    the result columns are projected back. Same result as ``caption_batches``.
+    """Request backend: rows become requests, an engine answers them, and the result
+    columns are projected back. Same result as ``caption_batches``.
 
     The engine is called with lists of request dicts; a plain model is wrapped.
     """
-    model = get_model(model)
     requests = build_requests(decoded, num_units, prompt)
-    ship_package(decoded.sparkSession)
-    kept = [field for field in decoded.schema.fields if field.name != "frames"]
-    names = [field.name for field in kept]
 
-    def generate(batches):
-        engine = None
-        for table in rebatch(batches, batch_size):
-            engine = engine or as_engine(loaded(model))
-            images = pc.struct_field(table.column("multi_modal_data"), "image")
-            texts = _answer_readable(table, images, lambda part: engine(part.to_pylist()))
-            answered = table.select(names).append_column("generated_text", texts)
-            yield from answered.combine_chunks().to_batches()
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    answered = requests.mapInArrow(generate, schema + ", generated_text string", profile=profile)
-    return _final_columns(answered.withColumnRenamed("generated_text", "caption"), names)
+    def units(table):
+        return pc.struct_field(table.column("multi_modal_data"), "image")
+
+    def ask(answer):
+        engine = as_engine(answer)
+        return lambda part: engine(part.to_pylist())
+
+    return _captioned(decoded, requests, get_model(model), batch_size, units, ask, profile)
 
 
 def as_engine(model: Callable) -> Callable:

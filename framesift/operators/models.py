@@ -17,6 +17,8 @@ _loaded: dict[str, Callable] = {}
 @dataclass(frozen=True)
 class Model:
     name: str
+    """Tells models apart within a worker, so no two may share one."""
+
     load: Callable[[], Callable]
     """Builds the model; runs once per Python worker."""
 
