@@ -12,6 +12,7 @@ import os
 import sys
 import tarfile
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -34,10 +35,9 @@ from framesift.operators.groups import sample_groups  # noqa: E402
 from framesift.operators.readers import RawFrameReader  # noqa: E402
 from framesift.operators.units import unit_rows  # noqa: E402
 from framesift.plans import captioning, runs  # noqa: E402
-from framesift.sinks.captions import preview_rows, write_captions  # noqa: E402
+from framesift.sinks import captions as sink  # noqa: E402
+from framesift.sources import archives, fetch  # noqa: E402
 from framesift.sources import manifest as M  # noqa: E402
-from framesift.sources.archives import archive_members, archives_until  # noqa: E402
-from framesift.sources.fetch import fetch_from_store, fetch_uris  # noqa: E402
 from framesift.sources.results import read_captions  # noqa: E402
 from framesift.streaming.incremental import arrived_captions, caption_arrivals  # noqa: E402
 from framesift.workspace import new_path, ship_package, write_text  # noqa: E402
@@ -158,13 +158,13 @@ def described(fetched, *extra):
     )
 
 
-def fetch_store(spark, sf_dir):
-    return described(fetch_from_store(page_manifest(spark, sf_dir), *page_store(spark, sf_dir)))
+def fetch_from_store(spark, sf_dir):
+    return described(fetch.fetch_from_store(page_manifest(spark, sf_dir), *page_store(spark, sf_dir)))
 
 
 def fetch_store_quarantine(spark, sf_dir):
     manifest, store = page_manifest(spark, sf_dir), secure_store(spark, sf_dir)
-    return described(fetch_from_store(manifest, *store, on_error="quarantine"), "error_type")
+    return described(fetch.fetch_from_store(manifest, *store, on_error="quarantine"), "error_type")
 
 
 def fetch_store_copies(spark, sf_dir):
@@ -172,7 +172,7 @@ def fetch_store_copies(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias(M.URI))
     customers = table(spark, sf_dir, "customer")
     store = customers.select(F.col("c_custkey").cast("string").alias("key"), "c_name")
-    fetched = fetch_from_store(events, store, "key", "c_name", on_error="quarantine")
+    fetched = fetch.fetch_from_store(events, store, "key", "c_name", on_error="quarantine")
     return fetched.groupBy("path").agg(
         F.count(F.lit(1)).alias("copies"),
         F.count("bytes").alias("fetched"),
@@ -180,13 +180,13 @@ def fetch_store_copies(spark, sf_dir):
     )
 
 
-def fetch_files(spark, sf_dir):
+def fetch_binary(spark, sf_dir):
     """Pages in text files, one hex line per page, fetched file by file."""
     root = new_path(spark, "files")
     lines = table(spark, sf_dir, "pages").select(F.hex(F.col("html").cast("binary")).alias("value"))
     lines.write.option("maxRecordsPerFile", 500).text(root)
     manifest = M.manifest_of(M.list_assets(spark, root, ".txt"))
-    fetched = fetch_uris(M.spread(manifest, spark.sparkContext.defaultParallelism))
+    fetched = fetch.fetch_uris(M.spread(manifest, spark.sparkContext.defaultParallelism))
     lines = fetched.select(F.explode(F.split(F.decode("bytes", "utf-8"), "\n")).alias("line"))
     pages = lines.where(F.col("line") != "").select(F.unhex("line").alias("bytes"))
     return pages.select(
@@ -194,12 +194,12 @@ def fetch_files(spark, sf_dir):
     )
 
 
-def fetch_files_quarantine(spark, sf_dir):
+def fetch_quarantine(spark, sf_dir):
     """A manifest of paths that do not exist: every one is set aside."""
     manifest = page_manifest(spark, sf_dir).select(
         F.concat(F.lit("/nowhere/"), F.sha2(M.URI, 256)).alias(M.URI)
     )
-    fetched = fetch_uris(manifest, on_error="quarantine")
+    fetched = fetch.fetch_uris(manifest, on_error="quarantine")
     return fetched.select("path", F.col("bytes").isNull().alias("lost"), "error_type")
 
 
@@ -229,8 +229,8 @@ def packed_pages(spark, sf_dir):
     return contents.mapInArrow(pack, "path string, bytes binary")
 
 
-def archive_rows(spark, sf_dir):
-    members = archive_members(packed_pages(spark, sf_dir), suffix=".html")
+def archive_members(spark, sf_dir):
+    members = archives.archive_members(packed_pages(spark, sf_dir), suffix=".html")
     return members.select(
         "member",
         F.octet_length("bytes").cast("bigint").alias("n_bytes"),
@@ -243,12 +243,12 @@ def archive_target(spark, sf_dir):
     counts = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("archive")).agg(
         F.count(F.lit(1)).alias("members")
     )
-    return archives_until(counts, target=LIMIT)
+    return archives.archives_until(counts, target=LIMIT)
 
 
 def result_readback(spark, sf_dir):
     path = new_path(spark, "captions")
-    write_captions(caption_batch(spark, sf_dir), path)
+    sink.write_captions(caption_batch(spark, sf_dir), path)
     write_text(spark, f"{path}/preview.csv", "not parquet")
     return read_captions(spark, path)
 
@@ -472,26 +472,26 @@ def write_and_read(spark, sf_dir):
     """Written twice with ``append``: every row comes back twice."""
     path = new_path(spark, "captions")
     captions = caption_batch(spark, sf_dir)
-    write_captions(captions, path)
-    write_captions(captions, path, mode="append")
+    sink.write_captions(captions, path)
+    sink.write_captions(captions, path, mode="append")
     return read_captions(spark, path)
 
 
-def preview(spark, sf_dir):
+def preview_rows(spark, sf_dir):
     path = new_path(spark, "captions")
-    write_captions(caption_batch(spark, sf_dir).orderBy("video_id"), path)
-    return preview_rows(spark, path, LIMIT)
+    sink.write_captions(caption_batch(spark, sf_dir).orderBy("video_id"), path)
+    return sink.preview_rows(spark, path, LIMIT)
 
 
 def result_count(spark, sf_dir):
     path = new_path(spark, "captions")
-    write_captions(caption_batch(spark, sf_dir), path)
+    sink.write_captions(caption_batch(spark, sf_dir), path)
     return read_captions(spark, path).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def whole_run(spark, sf_dir, backend="batch"):
+def whole_run(spark, sf_dir, **settings):
     output = new_path(spark, "run")
-    config = RunConfig(backend=backend, batch_size=BATCH, on_fetch_error="quarantine")
+    config = replace(RUN, **settings)
     manifest, store = page_manifest(spark, sf_dir), secure_store(spark, sf_dir)
     captioning.run(spark, manifest, output, config, store=store, shards=3)
     return output
@@ -502,7 +502,11 @@ def run_captions(spark, sf_dir):
 
 
 def run_captions_request(spark, sf_dir):
-    return read_captions(spark, whole_run(spark, sf_dir, "request"))
+    return read_captions(spark, whole_run(spark, sf_dir, backend="request"))
+
+
+def run_captions_staged(spark, sf_dir):
+    return read_captions(spark, whole_run(spark, sf_dir, placement="staged"))
 
 
 def run_rejected(spark, sf_dir):
@@ -598,15 +602,15 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         manifest_from_listing, list_labels, manifest_scan, manifest_scan_limit, limit_first_n,
-        fetch_store, fetch_store_quarantine, fetch_store_copies, fetch_files,
-        fetch_files_quarantine, archive_rows, archive_target, result_readback,
+        fetch_from_store, fetch_store_quarantine, fetch_store_copies, fetch_binary,
+        fetch_quarantine, archive_members, archive_target, result_readback,
         asset_id, even_positions, position_gaps, pad_array, pick_even_items, pick_truncated,
         frame_count_fallback, asset_probe, strip_text, final_projection,
         drop_failed, dead_letters, decode_text_assets, decode_frames, sample_words,
         sample_word_rows, sample_turns, sample_events, sample_events_hot,
         caption_batch, caption_request, build_request, backend_agreement, caption_documents,
-        caption_fetched, write_and_read, preview, result_count, run_captions,
-        run_captions_request, run_rejected, incremental_captions, remaining_manifest,
+        caption_fetched, write_and_read, preview_rows, result_count, run_captions,
+        run_captions_request, run_captions_staged, run_rejected, incremental_captions, remaining_manifest,
         shard_and_merge, run_throughput, backend_pivot, sweep_grid, sweep_best,
         caption_variety, caption_bleu, caption_cider,
     ]
@@ -772,7 +776,7 @@ def oracle_sql() -> dict[str, str]:
         "list_labels": "SELECT DISTINCT 'lang=' || lang AS label, true AS matches FROM documents",
         "manifest_scan": "SELECT url AS video_uri FROM pages",
         "limit_first_n": f"SELECT url AS video_uri FROM pages ORDER BY url LIMIT {LIMIT}",
-        "fetch_store": f"SELECT url AS path, {fetched} FROM pages",
+        "fetch_from_store": f"SELECT url AS path, {fetched} FROM pages",
         "fetch_store_quarantine": """
             SELECT url AS path, CASE WHEN url LIKE 'https:%' THEN octet_length(encode(html)) END
                        AS n_bytes,
@@ -783,11 +787,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(user_id AS VARCHAR) AS path, count(*) AS copies,
                    count(c_custkey) AS fetched, count(*) - count(c_custkey) AS missing
             FROM events LEFT JOIN customer ON user_id = c_custkey GROUP BY user_id""",
-        "fetch_files": f"SELECT {fetched} FROM pages",
-        "fetch_files_quarantine": """
+        "fetch_binary": f"SELECT {fetched} FROM pages",
+        "fetch_quarantine": """
             SELECT '/nowhere/' || sha256(url) AS path, true AS lost,
                    'fetch_failed:FileNotFoundError' AS error_type FROM pages""",
-        "archive_rows": f"""
+        "archive_members": f"""
             SELECT {member} AS member, {fetched} FROM pages WHERE url NOT LIKE '%/'""",
         "archive_target": f"""
             SELECT archive, members, members_so_far FROM (
@@ -880,7 +884,7 @@ def oracle_sql() -> dict[str, str]:
                    {document_errors} AS error_type
             FROM ({_WORDS}) JOIN (SELECT doc_id, text FROM documents) USING (doc_id)""",
         "write_and_read": f"SELECT * FROM ({_DOC_CAPTIONS}) UNION ALL SELECT * FROM ({_DOC_CAPTIONS})",
-        "preview": f"SELECT * FROM ({_DOC_CAPTIONS}) ORDER BY video_id LIMIT {LIMIT}",
+        "preview_rows": f"SELECT * FROM ({_DOC_CAPTIONS}) ORDER BY video_id LIMIT {LIMIT}",
         "result_count": "SELECT count(*) AS rows FROM documents",
         "run_captions": f"""
             SELECT video_id, {_CAPTION} AS caption, num_frames, duration_sec
@@ -925,5 +929,6 @@ def oracle_sql() -> dict[str, str]:
         "caption_request": "caption_batch",
         "caption_documents": "caption_batch",
         "run_captions_request": "run_captions",
+        "run_captions_staged": "run_captions",
     }
     return counts | {name: counts[twin] for name, twin in same.items()}
