@@ -12,7 +12,7 @@ from framesift.operators.ordering import join_groups, sorted_segments
 from framesift.workspace import stage
 
 # Rows one task may sort as a single group.
-HOT_ROWS = 4_000_000
+HOT_ROWS = 1_000_000
 
 
 def sample_groups(

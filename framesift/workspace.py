@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -64,16 +65,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(target)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """One small file on any storage Spark can write to."""
     filesystem, target = _hadoop_path(spark, path)
     stream = filesystem.create(target, True)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream.write(bytearray(data))
     finally:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode("utf-8"))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, so that models cached in
     its modules outlive single tasks."""
@@ -81,12 +86,14 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_framesift_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="framesift-ship-"), "framesift.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as bundle:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as bundle:
         for folder, _, names in os.walk(root):
             for name in names:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     bundle.write(path, os.path.relpath(path, os.path.dirname(root)))
-    context.addPyFile(archive)
+    shipped = new_path(spark, "package") + "/framesift.zip"
+    write_bytes(spark, shipped, packed.getvalue())
+    context.addPyFile(shipped)
     context._framesift_shipped = True

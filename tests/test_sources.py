@@ -113,6 +113,16 @@ def test_remaining(spark):
     assert sorted(map(str, uris(M.remaining(manifest, done)))) == ["None", "b", "b"]
 
 
+def test_remaining_spreads_copies(spark):
+    manifest = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("video_uri")
+    )
+    left = M.remaining(manifest, manifest.where("video_uri = 'u1'").withColumnRenamed("video_uri", "path"))
+    assert left.count() == 4999
+    hot = left.where("video_uri = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in hot) == 1667 and len(hot) == 4
+
+
 def test_fetch_keeps_copies_and_decompresses(spark, folder, tree):
     import gzip
 
