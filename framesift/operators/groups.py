@@ -58,7 +58,8 @@ def _sample_by_window(df, group, order, num_samples):
 
 def _sample_by_range(df, hot, group, order, num_samples):
     keys = [group, *order]
-    rows, segments = sorted_segments(df.select(*keys), order, by=[group])
+    size = hot.agg(F.sum("num_units")).first()[0]
+    rows, segments = sorted_segments(df.select(*keys), order, [group], size)
     sized = join_groups(segments, hot, [group])
     slots = F.array(
         *[

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 
 from framesift.workspace import stage
 
+# Rows of one range partition.
+ROWS_PER_TASK = 1_000_000
+
 # Rows up to which a first-n keeps its candidates in memory per task.
 TOP_N_ROWS = 100_000
 
@@ -27,7 +31,7 @@ def join_groups(
 
 
 def sorted_segments(
-    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), partitions: int | None = None
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), size: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Range-sort ``df`` by ``by`` and ``order`` into staged rows and segments.
 
@@ -36,17 +40,17 @@ def sorted_segments(
     smallest ``_row``, ``_rows`` its size and ``_before`` the number of rows of
     the group in earlier segments. A group of any size is spread over as many
     range partitions as it needs; per group only its segments meet in one task.
+    The number of partitions follows from ``size``, the rows of ``df``, which are
+    counted when it is not given.
 
     The order must be unique within a group. Range bounds are sampled anew each
     time a plan runs, so the sorted rows are written once and both results read
     that table.
     """
     keys = [F.col(c) for c in (*by, *order)]
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    rows = stage(
-        ranged.sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id()),
-        "sorted",
-    )
+    tasks = max(1, math.ceil((df.count() if size is None else size) / ROWS_PER_TASK))
+    ranged = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    rows = stage(ranged.withColumn("_row", F.monotonically_increasing_id()), "sorted")
     sizes = rows.groupBy(*by, F.shiftright("_row", 33).alias("_part")).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first")
     )

@@ -15,6 +15,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -119,12 +120,14 @@ class RawFrameReader:
             yield np.frombuffer(data, np.uint8, step, start).reshape(shape)
 
     def keep(self, unit: np.ndarray) -> bytes:
-        rows = triangle_weights(unit.shape[0], self.size)
-        columns = triangle_weights(unit.shape[1], self.size)
-        wide = np.rint(np.einsum("xw,hwc->hxc", columns, unit.astype(np.float64)))
-        return np.rint(np.einsum("yh,hxc->yxc", rows, wide)).astype(np.uint8).tobytes()
+        height, width, _ = unit.shape
+        across, down = triangle_weights(width, self.size), triangle_weights(height, self.size)
+        wide = np.tensordot(across, unit.astype(np.float64), axes=(1, 1))
+        both = np.tensordot(down, np.floor(wide + 0.5), axes=(1, 1))
+        return np.floor(both + 0.5).astype(np.uint8).tobytes()
 
 
+@lru_cache(maxsize=64)
 def triangle_weights(source: int, target: int) -> np.ndarray:
     """Bilinear resampling weights, target by source; widened when shrinking."""
     scale = source / target

@@ -88,21 +88,25 @@ def write_manifest(manifest: DataFrame, path: str, mode: str = "errorifexists")
     _numbered(manifest).orderBy(URI, "_copy").select(URI).write.mode(mode).csv(path, **CSV_OPTIONS)
 
 
-def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """The ``video_uri`` column of a CSV file or folder; other columns are not kept.
+def read_manifest(
+    spark: SparkSession, path: str, limit: int | None = None, kind: str = "csv"
+) -> DataFrame:
+    """The ``video_uri`` column of CSV or Parquet files; other columns are not kept.
 
     ``limit`` keeps the first rows in file order. 0 keeps none.
     """
-    table = spark.read.csv(path, **CSV_OPTIONS)
+    if kind == "csv":
+        table = spark.read.csv(path, **CSV_OPTIONS)
+        block, line = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    elif kind == "parquet":
+        table = spark.read.parquet(path)
+        block, line = F.lit(0), F.col("_metadata.row_index")
+    else:
+        raise ValueError(f"kind must be 'csv' or 'parquet', got {kind!r}")
     if limit is None:
         return table.select(URI)
-    placed = table.select(
-        URI,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
-    )
-    return first_n(placed, ["_file", "_block", "_line"], limit).select(URI)
+    place = [F.col("_metadata.file_path").alias("_file"), block.alias("_block"), line.alias("_line")]
+    return first_n(table.select(URI, *place), ["_file", "_block", "_line"], limit).select(URI)
 
 
 def limit_manifest(manifest: DataFrame, limit: int) -> DataFrame:

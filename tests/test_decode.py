@@ -81,6 +81,14 @@ def test_resize_keeps_flat_pictures_and_same_sizes():
         assert np.allclose(triangle_weights(source, target).sum(axis=1), 1)
 
 
+def test_resize_by_hand():
+    picture = np.arange(2 * 4, dtype=np.uint8).reshape(2, 4, 1) * 10
+    # Halving 4 columns weighs them 3:3:1 from the left and 1:3:3 from the right.
+    wide = [[(3 * a + 3 * b + c) / 7, (b + 3 * c + 3 * d) / 7]
+            for a, b, c, d in picture[:, :, 0].tolist()]
+    assert list(RawFrameReader(size=2).keep(picture)) == [int(x + 0.5) for row in wide for x in row]
+
+
 def test_bad_assets_are_set_aside(spark):
     assets = spark.createDataFrame(
         [("/a/good.txt", b"one two three", None), ("/a/empty.txt", b"", None),

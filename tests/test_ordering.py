@@ -7,6 +7,11 @@ from framesift.operators import ordering
 from framesift.operators.groups import sample_groups
 
 
+@pytest.fixture(autouse=True)
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_TASK", 300)
+
+
 @pytest.fixture()
 def skewed(spark):
     """One group, and the null group, hold a third of all rows each."""
@@ -46,7 +51,7 @@ def test_ties_still_fill_every_slot(spark):
 def test_hot_rows_never_meet_in_one_window(spark, skewed):
     plan = sample_groups(skewed, "g", ["o", "t"], 4, hot_rows=0)._jdf.queryExecution().toString()
     assert "row_number" in plan  # the branch of the other groups
-    rows, segments = ordering.sorted_segments(skewed.select("g", "o", "t"), ["o", "t"], ["g"], 8)
+    rows, segments = ordering.sorted_segments(skewed.select("g", "o", "t"), ["o", "t"], ["g"])
     sizes = [r._rows for r in segments.where("g = 0").collect()]
     assert len(sizes) > 1 and sum(sizes) == 1000
 

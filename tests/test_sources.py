@@ -63,6 +63,16 @@ def test_manifest_keeps_file_order_under_limit(spark, folder):
     assert uris(M.read_manifest(spark, path, limit=0)) == []
 
 
+def test_parquet_manifest(spark, folder):
+    names = [f"/x/{(i * 37) % 101}.mp4" for i in range(101)]
+    rows = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "video_uri string, i int")
+    rows.coalesce(1).sortWithinPartitions("i").write.parquet(folder + "/m")
+    assert uris(M.read_manifest(spark, folder + "/m", kind="parquet")) == names
+    assert uris(M.read_manifest(spark, folder + "/m", limit=9, kind="parquet")) == names[:9]
+    with pytest.raises(ValueError):
+        M.read_manifest(spark, folder + "/m", kind="xml")
+
+
 def test_empty_manifest(spark, folder):
     with open(folder + "/m.csv", "w") as out:
         out.write("video_uri\n")
