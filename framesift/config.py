@@ -17,11 +17,11 @@ class RunConfig:
     backend: str = "batch"
     """Name of a registered backend, see ``operators.caption``."""
 
-    reader: str = "text"
-    """Name of a registered asset reader, see ``operators.readers``."""
+    reader: object = "text"
+    """An asset reader or the name of a registered one, see ``operators.readers``."""
 
-    model: str = "first-last"
-    """Name of a registered model."""
+    model: object = "first-last"
+    """A ``Model`` or the name of a registered one, see ``operators.models``."""
 
     num_units: int = NUM_UNITS
     batch_size: int = 2

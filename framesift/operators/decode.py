@@ -83,5 +83,6 @@ def readable(decoded: DataFrame) -> DataFrame:
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
-    """Dead letters: which assets were left out, and why."""
+    """Dead letters: which assets were left out, and why. Decoding is repeated for every
+    frame that is built on it; to keep both kinds, write the decoded table first."""
     return decoded.where(F.col("error_type").isNotNull()).select("path", "video_id", "error_type")

@@ -36,8 +36,7 @@ def canonical(columns, rows):
     return [columns[i] for i in order], sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, connection, query, sql, sf_dir):
-    frame = query(spark, sf_dir)
+def compare(connection, frame, sql):
     ours = canonical(frame.columns, [tuple(r) for r in frame.collect()])
     result = connection.execute(sql)
     theirs = canonical([d[0] for d in result.description], result.fetchall())
@@ -67,7 +66,7 @@ def main() -> int:
     for name in names or queries:
         began = time.time()
         try:
-            ours, theirs = compare(spark, connection, queries[name], oracles[name], sf_dir)
+            ours, theirs = compare(connection, queries[name](spark, sf_dir), oracles[name])
         except Exception as problem:
             print(f"ERROR {name}: {str(problem)[:1500]}", flush=True)
             failed.append(name)

@@ -18,9 +18,11 @@ def connection():
 
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_equals_sql(spark, connection, name):
-    query, sql = entry.queries()[name], entry.oracle_sql()[name]
-    ours, theirs = sqlcheck.compare(spark, connection, query, sql, SF_DIR)
+    frame = entry.queries()[name](spark, SF_DIR)
+    ours, theirs = sqlcheck.compare(connection, frame, entry.oracle_sql()[name])
     assert ours == theirs
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_entry(spark):

@@ -144,6 +144,36 @@ def test_settings_are_checked_before_any_job(spark, folder, change):
         captioning.run(spark, folder + "/absent.csv", folder + "/o", RunConfig(**change))
 
 
+@pytest.mark.parametrize("settings", [{}, {"placement": "staged"}, {"backend": "request"}])
+def test_run_with_own_reader_and_model(spark, folder, manifest, settings):
+    class Letters:
+        unit_type = "binary"
+
+        def probe(self, data):
+            return 0, 2.5
+
+        def count(self, data):
+            return len(data)
+
+        def units(self, data):
+            return (data[i:i + 1] for i in range(len(data)))
+
+        def keep(self, unit):
+            return unit
+
+    def load():
+        return lambda batch: [b"".join(units).decode() for units in batch["frames"]]
+
+    config = RunConfig(
+        reader=Letters(), model=Model("letters" + str(settings), load), num_units=2,
+        on_fetch_error="quarantine", **settings
+    )
+    captioning.run(spark, manifest, folder + "/out", config)
+    found = {r.video_id: r for r in read_captions(spark, folder + "/out").collect()}
+    assert (found["02"].caption, found["02"].num_frames, found["02"].duration_sec) == ("w", 5, 2.5)
+    assert found["01"].caption == "w0"
+
+
 def test_task_count(spark):
     assert captioning.task_count(spark, 0) == 4
     assert captioning.task_count(spark, 1_000_000) == 1_000
