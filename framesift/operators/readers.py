@@ -23,6 +23,9 @@ import numpy as np
 from framesift.config import FRAME_SIZE
 
 
+_END = object()
+
+
 class Unreadable(Exception):
     """An asset that yields no sample; the message is its error type."""
 
@@ -37,13 +40,11 @@ def sample_asset(reader, data: bytes, num_samples: int):
     total = declared if declared > 0 else reader.count(data)
     if total <= 0:
         raise Unreadable("no_units")
-    spots = np.rint(np.arange(num_samples) * total / num_samples).astype(np.int64)
-    wanted, repeats = np.unique(np.minimum(spots, total - 1), return_counts=True)
     sampled: list = []
     units, start = reader.units(data), 0
-    for at, times in zip(wanted.tolist(), repeats.tolist()):
-        unit = next(islice(units, at - start, None), None)
-        if unit is None:
+    for at, times in wanted_positions(total, num_samples):
+        unit = next(islice(units, at - start, None), _END)
+        if unit is _END:
             break
         sampled.extend([reader.keep(unit)] * times)
         start = at + 1
@@ -53,6 +54,14 @@ def sample_asset(reader, data: bytes, num_samples: int):
     return sampled, total, float(duration)
 
 
+@lru_cache(maxsize=65_536)
+def wanted_positions(total: int, num_samples: int) -> list[tuple[int, int]]:
+    """The distinct even positions in ascending order, each with its number of slots."""
+    spots = np.rint(np.arange(num_samples) * total / num_samples).astype(np.int64)
+    distinct, times = np.unique(np.minimum(spots, total - 1), return_counts=True)
+    return list(zip(distinct.tolist(), times.tolist()))
+
+
 def error_type(problem: Exception) -> str:
     if isinstance(problem, Unreadable):
         return str(problem)
