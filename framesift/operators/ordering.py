@@ -15,8 +15,8 @@ from framesift.workspace import stage
 # Rows of one range partition.
 ROWS_PER_TASK = 1_000_000
 
-# Rows up to which a first-n keeps its candidates in memory per task.
-TOP_N_ROWS = 100_000
+# Rows up to which a first-n sends that many candidates of every task to one task.
+TOP_N_ROWS = 1_000
 
 
 def join_groups(
@@ -83,8 +83,8 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) ->
 def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in ``order``, which must be unique; 0 gives no rows.
 
-    Up to ``TOP_N_ROWS`` this is Spark's top-n. Beyond that no task could hold the
-    candidates, so rows are kept by their exact position in a range sort.
+    Up to ``TOP_N_ROWS`` this is Spark's top-n. Beyond that the candidates of all
+    tasks are too many for one, so rows are kept by their position in a range sort.
     """
     if n < 0:
         raise ValueError(f"n must be >= 0, got {n}")
