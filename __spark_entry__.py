@@ -54,12 +54,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- Building blocks ---------------------------------------------------------
 
 
-def word_assets(spark, sf_dir):
+def word_assets(spark, sf_dir, *extra):
     """Documents as sampled assets, with the units still as a column."""
     documents = table(spark, sf_dir, "documents")
-    words = documents.select("doc_id", "n_chars", F.split("text", " ").alias("words"))
+    words = documents.select("doc_id", "n_chars", *extra, F.split("text", " ").alias("words"))
     return words.select(
         "doc_id",
+        *extra,
         F.col("doc_id").cast("string").alias("video_id"),
         S.pick_even("words", NUM_UNITS).alias("frames"),
         F.size("words").cast("bigint").alias("num_frames"),
@@ -337,7 +338,7 @@ def strip_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id",
         A.strip_text(F.concat(around, "url", around)).alias("url"),
-        A.strip_text(F.concat(around, F.substring("html", 1, 200), around)).alias("head"),
+        F.md5(A.strip_text(F.concat(around, "html", around))).alias("html_md5"),
     )
 
 
@@ -563,10 +564,7 @@ def sweep_best(spark, sf_dir):
 
 
 def caption_variety(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select(
-        "lang", F.split("text", " ").alias("words")
-    )
-    captions = documents.select("lang", F.get("words", F.lit(0)).alias("caption"))
+    captions = caption_batches(word_assets(spark, sf_dir, "lang"), batch_size=BATCH)
     return quality.caption_variety(captions, ["lang"])
 
 
@@ -832,7 +830,7 @@ def oracle_sql() -> dict[str, str]:
                        AS duration_sec FROM documents""",
         "strip_text": f"""
             SELECT page_id, trim(concat({around}, url, {around}), {_WS}) AS url,
-                   trim(concat({around}, substr(html, 1, 200), {around}), {_WS}) AS head
+                   md5(trim(concat({around}, html, {around}), {_WS})) AS html_md5
             FROM pages""",
         "final_projection": f"SELECT video_id, num_frames, duration_sec FROM ({_WORDS})",
         "drop_failed": """
@@ -914,12 +912,11 @@ def oracle_sql() -> dict[str, str]:
                                              ORDER BY throughput DESC, event_id DESC) AS place
                 FROM ({_RATED}) WHERE error IS NULL AND throughput IS NOT NULL)
             WHERE place = 1""",
-        "caption_variety": """
+        "caption_variety": f"""
             SELECT lang, count(*) AS captions, count(DISTINCT caption) AS distinct_captions,
                    count(DISTINCT caption)::DOUBLE / count(*) AS variety,
                    count(DISTINCT caption)::DOUBLE / count(*) < 0.5 AS degenerate
-            FROM (SELECT lang, string_split(text, ' ')[1] AS caption FROM documents)
-            GROUP BY lang""",
+            FROM (SELECT lang, {_CAPTION} AS caption FROM ({_WORDS})) GROUP BY lang""",
         "caption_bleu": _bleu(),
         "caption_cider": _CIDER,
     }

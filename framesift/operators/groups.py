@@ -73,7 +73,9 @@ def _sample_by_range(df, hot, group, order, num_samples):
         .where((offset >= 0) & (offset < F.col("_rows")))
         .select((F.col("_first") + offset).alias("_row"), "num_units", "target.slot")
     )
-    wanted = rows.join(targets, "_row").drop("_row")
-    found = join_groups(df, wanted, keys)
+    # Staged, both are small tables of known size: Spark broadcasts them instead of
+    # shuffling the keys, and then the rows, of the hot groups once more.
+    wanted = rows.join(stage(targets, "targets"), "_row").drop("_row")
+    found = join_groups(df, stage(wanted, "wanted-rows"), keys)
     # One row per slot even where the order has ties.
     return found.dropDuplicates([group, "slot"])

@@ -94,7 +94,7 @@ def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     wanted = segments.where(F.col("_before") < n).select(
         F.col("_part"), (F.col("_first") + F.lit(n) - F.col("_before")).alias("_end")
     )
+    # One row per range partition, staged so that Spark sees it can be broadcast.
+    wanted = stage(wanted, "wanted-parts")
     rows = rows.withColumn("_part", F.shiftright("_row", 33))
-    return (
-        rows.join(wanted, "_part").where(F.col("_row") < F.col("_end")).select(*df.columns)
-    )
+    return rows.join(wanted, "_part").where(F.col("_row") < F.col("_end")).select(*df.columns)

@@ -92,7 +92,7 @@ def fetch_from_store(
         return listed.join(held.withColumn("_held", F.lit(True)), "path", "left")
 
     found = repeat_copies(looked_up(wanted.where(F.col("copies") <= hot_copies)))
-    hot = wanted.where(F.col("copies") > hot_copies)
+    hot = stage(wanted.where(F.col("copies") > hot_copies), "hot-wanted")
     if not hot.isEmpty():
         found = found.unionByName(repeat_copies(split_copies(looked_up(hot), hot_copies)))
     missing = F.col("_held").isNull()

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from framesift.operators import ordering
+from framesift.operators.groups import sample_groups
 from framesift.sources.fetch import fetch_from_store
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -77,3 +79,19 @@ def test_store_content_is_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # The manifest for the semi join, the content, the manifest for the left join.
     assert plan.count("SortMergeJoin") == 2 and exchanges(plan) == 3
+
+
+def test_hot_rows_are_looked_up_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_TASK", 100)
+    events = entry.table(spark, SF_DIR, "events").select("user_id", "ts", "event_id", "value")
+    plan = plan_of(sample_groups(events, "user_id", ["ts", "event_id"], 4, hot_rows=0))
+    # One shuffle is that of the other groups. Of the hot rows only those found are
+    # shuffled, to drop ties.
+    assert exchanges(plan) == 2 and "SortMergeJoin" not in plan
+
+
+def test_first_rows_by_range_are_not_shuffled_again(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "TOP_N_ROWS", 0)
+    pages = entry.table(spark, SF_DIR, "pages").select("url")
+    plan = plan_of(ordering.first_n(pages, ["url"], 20))
+    assert exchanges(plan) == 0 and "BroadcastHashJoin" in plan
