@@ -11,33 +11,30 @@ from framesift.workspace import stage
 
 
 def backend_agreement(first: DataFrame, second: DataFrame, key: str = "path") -> DataFrame:
-    """Per asset the rows of both results and whether their captions agree.
+    """Per asset the rows of both results and whether all its captions are the same.
 
-    Both sides meet in one aggregation, which merges the copies of an asset before
+    Both sides meet in one aggregation, which merges equal captions of an asset before
     they are shuffled; copies are never joined with each other.
     """
     both = first.select(key, "caption", F.lit(1).alias("_side")).unionByName(
         second.select(key, "caption", F.lit(2).alias("_side"))
     )
-
-    def on(side: int, value) -> Column:
-        return F.when(F.col("_side") == side, value)
-
-    merged = both.groupBy(key).agg(
-        F.count(on(1, F.lit(1))).alias("first_rows"),
-        F.count(on(2, F.lit(1))).alias("second_rows"),
-        F.min("caption").alias("_low"),
-        F.max("caption").alias("_high"),
-        F.count("caption").alias("_texts"),
+    texts = both.groupBy(key, "caption").agg(
+        F.count(F.when(F.col("_side") == 1, 1)).alias("_first"),
+        F.count(F.when(F.col("_side") == 2, 1)).alias("_second"),
+    )
+    merged = texts.groupBy(key).agg(
+        F.sum("_first").alias("first_rows"),
+        F.sum("_second").alias("second_rows"),
+        F.count(F.lit(1)).alias("_texts"),
+        F.count("caption").alias("_known"),
     )
-    rows = F.col("first_rows") + F.col("second_rows")
-    same_text = (F.col("_low") == F.col("_high")) & (F.col("_texts") == rows)
     return merged.select(
         key,
         "first_rows",
         "second_rows",
         (F.col("first_rows") == F.col("second_rows")).alias("rows_agree"),
-        F.coalesce(same_text, F.lit(False)).alias("captions_agree"),
+        ((F.col("_texts") == 1) & (F.col("_known") == 1)).alias("captions_agree"),
     )
 
 

@@ -49,7 +49,7 @@ def test_narrow_stages(spark, name, columns):
 @pytest.mark.parametrize(
     "name, shuffles",
     [("sample_turns", 1), ("sample_events", 1), ("frame_count_fallback", 1),
-     ("backend_agreement", 1), ("sweep_best", 1), ("caption_variety", 2)],
+     ("backend_agreement", 2), ("sweep_best", 1), ("caption_variety", 2)],
 )
 def test_shuffles(spark, name, shuffles):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
@@ -57,6 +57,12 @@ def test_shuffles(spark, name, shuffles):
     assert "Join" not in plan
 
 
+@pytest.mark.parametrize("name", ["backend_agreement", "caption_variety", "frame_count_fallback"])
+def test_aggregates_hash(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_words_are_sampled_once(spark):
     plan = plan_of(entry.sample_word_rows(spark, SF_DIR))
     assert len(re.findall(r"split\(", plan)) == 1
