@@ -6,7 +6,8 @@ A reader is a picklable object with
 * ``probe(data) -> (declared, duration)``: the unit count the asset declares, 0 if
   it does not say, and its duration in seconds,
 * ``count(data) -> int``: units counted without decoding them,
-* ``units(data)``: an iterator over the units in order,
+* ``units(data)``: the units in order, as a sequence where any can be had at once, or
+  as an iterator, which is read up to the last one wanted,
 * ``keep(unit)``: the stored form of a unit that was sampled.
 """
 
@@ -23,9 +24,6 @@ import numpy as np
 from framesift.config import FRAME_SIZE
 
 
-_END = object()
-
-
 class Unreadable(Exception):
     """An asset that yields no sample; the message is its error type."""
 
@@ -33,27 +31,33 @@ class Unreadable(Exception):
 def sample_asset(reader, data: bytes, num_samples: int):
     """(sampled units, number of source units, duration) of one asset.
 
-    Reads the units in order and stops at the last one wanted. The rule is that of
-    ``functions.sampling.pick_even`` with a declared count.
+    The rule is that of ``functions.sampling.pick_even`` with a declared count.
     """
     declared, duration = reader.probe(data)
     total = declared if declared > 0 else reader.count(data)
     if total <= 0:
         raise Unreadable("no_units")
     sampled: list = []
-    units, start = reader.units(data), 0
-    for at, times in wanted_positions(total, num_samples):
-        unit = next(islice(units, at - start, None), _END)
-        if unit is _END:
-            break
+    for unit, times in _found(reader.units(data), wanted_positions(total, num_samples)):
         sampled.extend([reader.keep(unit)] * times)
-        start = at + 1
     if not sampled:
         raise Unreadable("nothing_decoded")
     sampled.extend(sampled[-1:] * (num_samples - len(sampled)))
     return sampled, total, float(duration)
 
 
+def _found(units, wanted: list[tuple[int, int]]) -> Iterator[tuple]:
+    """The wanted units that exist, each with its number of slots."""
+    if hasattr(units, "__getitem__"):
+        yield from ((units[at], times) for at, times in wanted if at < len(units))
+        return
+    start = 0
+    for at, times in wanted:
+        for unit in islice(units, at - start, at - start + 1):
+            yield unit, times
+        start = at + 1
+
+
 @lru_cache(maxsize=65_536)
 def wanted_positions(total: int, num_samples: int) -> list[tuple[int, int]]:
     """The distinct even positions in ascending order, each with its number of slots."""
@@ -82,8 +86,8 @@ class TextReader:
     def count(self, data: bytes) -> int:
         return 0
 
-    def units(self, data: bytes) -> Iterator[str]:
-        return iter(data.decode("utf-8").split(" "))
+    def units(self, data: bytes) -> list[str]:
+        return data.decode("utf-8").split(" ")
 
     def keep(self, unit: str) -> str:
         return unit
@@ -122,11 +126,10 @@ class RawFrameReader:
         shape, _, _ = self._shape(data)
         return (len(data) - _RAW_HEADER.size) // int(np.prod(shape))
 
-    def units(self, data: bytes) -> Iterator[np.ndarray]:
+    def units(self, data: bytes) -> np.ndarray:
         shape, _, _ = self._shape(data)
-        step = int(np.prod(shape))
-        for start in range(_RAW_HEADER.size, len(data) - step + 1, step):
-            yield np.frombuffer(data, np.uint8, step, start).reshape(shape)
+        size = self.count(data) * int(np.prod(shape))
+        return np.frombuffer(data, np.uint8, size, _RAW_HEADER.size).reshape(-1, *shape)
 
     def keep(self, unit: np.ndarray) -> bytes:
         height, width, _ = unit.shape

@@ -69,6 +69,10 @@ def test_raw_frames():
     assert (len(units), total, duration) == (16, 5, 2.0)
     assert all(len(u) == 6 * 6 * 3 for u in units) and len(set(units)) == 5
     assert sample_asset(reader, RawFrameReader.pack(frames, 9, -1), 16)[1:] == (9, 0.0)
+    with pytest.raises(Unreadable, match="nothing_decoded"):
+        sample_asset(reader, RawFrameReader.pack(frames[:0], 9, -1), 16)
+    cut = RawFrameReader.pack(frames, 5, -1)[:-1]
+    assert len(set(sample_asset(reader, cut, 16)[0])) == 4
     with pytest.raises(Unreadable, match="not_raw_frames"):
         sample_asset(reader, b"x" * 64, 16)
 
