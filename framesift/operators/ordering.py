@@ -91,10 +91,8 @@ def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     if n <= TOP_N_ROWS:
         return df.orderBy(*order).limit(n)
     rows, segments = sorted_segments(df, order)
-    wanted = segments.where(F.col("_before") < n).select(
-        F.col("_part"), (F.col("_first") + F.lit(n) - F.col("_before")).alias("_end")
-    )
-    # One row per range partition, staged so that Spark sees it can be broadcast.
-    wanted = stage(wanted, "wanted-parts")
-    rows = rows.withColumn("_part", F.shiftright("_row", 33))
-    return rows.join(wanted, "_part").where(F.col("_row") < F.col("_end")).select(*df.columns)
+    taken = F.least(F.col("_rows"), F.lit(n) - F.col("_before"))
+    end = segments.where(F.col("_before") < n).agg(F.max(F.col("_first") + taken)).first()[0]
+    # Ascending in the sort order, ``_row`` cuts the table at one value, which Parquet
+    # statistics turn into files that are not opened. No rows at all have no end.
+    return rows.where(F.col("_row") < (end or 0)).select(*df.columns)

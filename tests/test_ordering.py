@@ -65,6 +65,11 @@ def test_first_n_by_range(spark, skewed, n, monkeypatch):
     assert sorted(top) == sorted(r.t for r in ranged.collect())
 
 
+def test_first_n_of_nothing_by_range(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "TOP_N_ROWS", -1)
+    assert ordering.first_n(spark.range(0), ["id"], 5).count() == 0
+
+
 def test_first_n_refuses_negative(spark):
     with pytest.raises(ValueError):
         ordering.first_n(spark.range(3), ["id"], -1)
