@@ -39,6 +39,9 @@ class RunConfig:
     """Executor resource the captioning stage needs: GPUs, or a label the cluster
     gives the machines it should be pinned to."""
 
+    decode_resource: str | None = None
+    """Executor resource, one per task, that pins decoding where samples are staged."""
+
     placement: str = "fused"
     """``fused``: one stage fetches, decodes and captions, so units never leave their
     task. ``staged``: samples are written first and captioned by a job of their own,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framesift.config import MAX_NEW_TOKENS, NUM_UNITS, PROMPT, RunConfig
+from framesift.config import MAX_NEW_TOKENS, NUM_UNITS, PROMPT
 from framesift.functions.assets import asset_id, strip_text
 from framesift.operators.models import Model, get_model, loaded
 from framesift.operators.readers import error_type, get_reader, sample_asset
@@ -39,23 +38,6 @@ _CAPTIONED_DDL = (
 )
 
 
-def gpu_profile(config: RunConfig):
-    """Resource profile of the captioning stage, or None when none is asked for.
-
-    Needs a cluster manager with stage-level scheduling, so local sessions must
-    leave ``gpus_per_task`` at 0.
-    """
-    if config.gpus_per_task <= 0:
-        return None
-    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder
-    from pyspark.resource import TaskResourceRequests
-
-    per_executor = max(1, math.ceil(config.gpus_per_task))
-    executor = ExecutorResourceRequests().resource(config.resource, per_executor)
-    task = TaskResourceRequests().cpus(1).resource(config.resource, config.gpus_per_task)
-    return ResourceProfileBuilder().require(executor).require(task).build
-
-
 def rebatch(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
     """Tables of exactly ``size`` rows, the last one of the partition excepted."""
     held, rows = [], 0

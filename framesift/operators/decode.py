@@ -16,7 +16,11 @@ _ARROW_UNITS = {"string": pa.string(), "binary": pa.binary()}
 
 
 def decode_assets(
-    fetched: DataFrame, reader="text", num_samples: int = NUM_UNITS, on_error: str = "drop"
+    fetched: DataFrame,
+    reader="text",
+    num_samples: int = NUM_UNITS,
+    on_error: str = "drop",
+    profile=None,
 ) -> DataFrame:
     """Sampled units of every asset: ``path, video_id, frames, num_frames,
     duration_sec, error_type``.
@@ -71,6 +75,7 @@ def decode_assets(
             decode,
             f"path string, frames array<{unit}>, num_frames bigint, duration_sec double, "
             "error_type string",
+            profile=profile,
         )
         .select("path", asset_id("path").alias("video_id"), "frames", "num_frames",
                 "duration_sec", "error_type")

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framesift.config import RunConfig
-from framesift.operators.caption import caption_assets, get_backend, gpu_profile
+from framesift.operators.caption import caption_assets, get_backend
 from framesift.operators.decode import decode_assets
 from framesift.operators.models import get_model
+from framesift.operators.placement import caption_profile, decode_profile
 from framesift.operators.readers import get_reader
 from framesift.sinks.captions import write_captions, write_preview
 from framesift.sources.fetch import check_error_mode, fetch_from_store, fetch_uris
@@ -72,7 +73,7 @@ def caption_manifest(
             assets = assets.repartition(config.partitions)
     else:
         assets = manifest.select(F.col(URI).alias("path"))
-    profile = gpu_profile(config)
+    profile = caption_profile(config)
     if config.backend == "batch" and config.placement == "fused":
         return caption_assets(
             assets,
@@ -88,7 +89,9 @@ def caption_manifest(
         )
     if store is None:
         assets = fetch_uris(manifest, opener, on_error=config.on_fetch_error)
-    decoded = decode_assets(assets, config.reader, config.num_units, config.on_error)
+    decoded = decode_assets(
+        assets, config.reader, config.num_units, config.on_error, decode_profile(config)
+    )
     if config.placement == "staged":
         decoded = stage(decoded, "samples")
     return get_backend(config.backend)(

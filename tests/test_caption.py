@@ -1,5 +1,6 @@
 import os
 import uuid
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from framesift.config import RunConfig
 from framesift.operators import caption as C
 from framesift.operators import quality as Q
 from framesift.operators.models import Model, get_model
+from framesift.operators.placement import caption_profile, decode_profile
 from framesift.sources.results import CAPTION_SCHEMA
 
 
@@ -136,12 +138,15 @@ def test_names_are_checked():
 
 
 def test_profile_only_when_asked():
-    assert C.gpu_profile(RunConfig()) is None
-    profile = C.gpu_profile(RunConfig(gpus_per_task=0.5))
+    assert caption_profile(RunConfig()) is None and decode_profile(RunConfig()) is None
+    profile = caption_profile(RunConfig(gpus_per_task=0.5))
     assert profile.taskResources["gpu"].amount == 0.5
     assert profile.executorResources["gpu"].amount == 1
-    pinned = C.gpu_profile(RunConfig(gpus_per_task=1, resource="gpu_node"))
-    assert list(pinned.executorResources) == ["gpu_node"]
+    pinned = RunConfig(gpus_per_task=1, resource="gpu_node", decode_resource="cpu_node")
+    assert list(caption_profile(pinned).executorResources) == ["gpu_node"]
+    assert decode_profile(pinned) is None
+    staged = decode_profile(replace(pinned, placement="staged"))
+    assert list(staged.executorResources) == ["cpu_node"]
 
 
 def test_frames_as_bytes(spark):
