@@ -152,7 +152,8 @@ def caption_requests(
     """Request backend: rows become requests, an engine answers them, and the result
     columns are projected back. Same result as ``caption_batches``.
 
-    The engine is called with lists of request dicts; a plain model is wrapped.
+    An engine has ``generate`` and gets lists of request dicts. A plain model gets its
+    usual batch, with the units taken out of the requests.
     """
     requests = build_requests(decoded, num_units, prompt)
 
@@ -160,24 +161,17 @@ def caption_requests(
         return pc.struct_field(table.column("multi_modal_data"), "image")
 
     def ask(answer):
-        engine = as_engine(answer)
-        return lambda part: engine(part.to_pylist())
-
-    return _captioned(decoded, requests, get_model(model), batch_size, units, ask, profile)
+        if hasattr(answer, "generate"):
+            return lambda part: answer.generate(part.to_pylist())
 
+        def ask_model(part):
+            fields = [c for c in part.column_names if c in CAPTION_COLUMNS]
+            batch = {c: part.column(c).to_numpy() for c in fields}
+            return answer(batch | {"frames": units(part).to_numpy()})
 
-def as_engine(model: Callable) -> Callable:
-    """A model with ``generate`` takes requests itself; others get their batch form."""
-    if hasattr(model, "generate"):
-        return model.generate
+        return ask_model
 
-    def engine(requests: list[dict]) -> list[str]:
-        fields = ("video_id", "num_frames", "duration_sec")
-        batch = {name: [request.get(name) for request in requests] for name in fields}
-        batch["frames"] = [request["multi_modal_data"]["image"] for request in requests]
-        return model(batch)
-
-    return engine
+    return _captioned(decoded, requests, get_model(model), batch_size, units, ask, profile)
 
 
 def read_ahead(function: Callable, items: Iterable, threads: int) -> Iterator:
