@@ -22,7 +22,7 @@ _LISTING_DDL = "path string, length bigint, is_folder boolean"
 
 # Copies that are made from one fetched row in place. Their content is not shuffled;
 # of a URI with more of them, one row per so many copies is.
-HOT_COPIES = 100
+HOT_COPIES = 32
 
 # Standard CSV quoting, and no trimming of URIs.
 CSV_OPTIONS = {
