@@ -7,6 +7,7 @@ units, the turns of a conversation and the events of a user are units in rows.
 
 from __future__ import annotations
 
+import importlib
 import io
 import os
 import sys
@@ -593,6 +594,20 @@ def caption_cider(spark, sf_dir):
     return scored.select("key", F.round("cider", 9).alias("cider"))
 
 
+def _present(name: str):
+    """A module of the llm part, or None where that part is not installed."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in (name, "framesift.llm"):
+            raise
+        return None
+
+
+_LLM = _present("framesift.llm.queries")
+_PIPELINE = _LLM and _present("corpus_pipeline")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return caption_documents(spark, "/root/testdata/sf0.001")
 
@@ -612,7 +627,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         shard_and_merge, run_throughput, backend_pivot, sweep_grid, sweep_best,
         caption_variety, caption_bleu, caption_cider,
     ]
-    return {query.__name__: query for query in registered}
+    found = {query.__name__: query for query in registered}
+    if _LLM:
+        found |= _LLM.QUERIES
+    if _PIPELINE:
+        found["pipeline"] = _PIPELINE.run
+    return found
 
 
 # --- SQL twins ---------------------------------------------------------------
@@ -928,4 +948,9 @@ def oracle_sql() -> dict[str, str]:
         "run_captions_request": "run_captions",
         "run_captions_staged": "run_captions",
     }
-    return counts | {name: counts[twin] for name, twin in same.items()}
+    counts |= {name: counts[twin] for name, twin in same.items()}
+    if _LLM:
+        counts |= _LLM.ORACLE_SQL
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        counts["pipeline"] = _PIPELINE.ORACLE_SQL
+    return counts
