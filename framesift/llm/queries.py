@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from framesift.llm import decontaminate
+from framesift.llm import decontaminate, jaccard, language, quality
 
 QUERIES = {
     query.__name__: query
     for query in (
         decontaminate.op3_benchmark_decontamination,
+        language.op4_language_id,
+        jaccard.op9_jaccard_join,
+        quality.op10_quality_classifier,
     )
 }
 
 ORACLE_SQL = {
     "op3_benchmark_decontamination": decontaminate.OP3_SQL,
+    "op9_jaccard_join": jaccard.OP9_SQL,
 }
