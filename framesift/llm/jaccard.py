@@ -5,14 +5,18 @@ sequence as one; without words it is empty and linked with nothing. Two document
 when ``100 * |x and y| >= THRESHOLD * |x or y|``. Shingles are 64-bit hashes, equal sets are
 found by a 64-bit digest.
 
-1. Every text gives the digest and the size of its set. Shingles that repeat within a batch
-   of texts are counted up to the ``HOT`` most frequent ones; they come last in the global
-   order of shingles, so that common passages are not what documents are brought together
-   by. The order decides nothing but cost.
-2. Linked sets share a shingle among their first ``n - ceil(t * n) + 1`` ones in that order.
-   Only these are shuffled, already combined on the map side: of the sets with one shingle
-   and of like size a task sends on the first one and one edge for each other. What meets
-   is joined to clusters, so that linked sets are always in one cluster.
+1. Every text gives the digest and the size of its set. Of the shingles, one in ``SAMPLE`` by
+   hash is looked up in all documents. Linked documents share at least ``THRESHOLD`` percent
+   of their shingles with another one; a set whose looked-up shingles are shared so rarely
+   that this has a probability below ``DOUBT`` (Hoeffding's bound) has no link. Small sets
+   are never left out that way.
+2. The texts of the remaining sets are moved, one for each set, and their sets are written.
+   Their shingles have one global order: by hash, but the ``HOT`` shingles that repeat most
+   within batches come last. The order decides nothing but cost. Linked sets share a shingle
+   among their first ``n - ceil(t * n) + 1`` ones. Only these are shuffled, already combined
+   on the map side: of the sets with one shingle and of like size a task sends on the first
+   one and one edge for each other. What meets is joined to clusters, so that linked sets
+   are always in one cluster.
 3. Every cluster is joined in a prefix tree of its sets: walking the tree, a set adds up its
    overlap once for all sets that share a path, and leaves subtrees out of reach by their
    sizes and by what remains. A cluster above ``BLOCK_SETS`` sets or ``BLOCK_SHINGLES``
@@ -20,7 +24,7 @@ found by a 64-bit digest.
 4. The links give components (``components.py``) and, for every set, their number.
 
 No task emits pairs: it emits, for each set, the smallest set it is connected with and its
-number of links. Only texts of clustered sets are moved, one for each set.
+number of links.
 
 Null and empty texts have an empty set. A null id is never a component's smallest id unless
 all are null; the component is then null. Repeated rows are documents of their own, linked
@@ -31,7 +35,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +42,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framesift.llm.components import components
-from framesift.llm.text import built, map_arrow, mixed, word_hashes
+from framesift.llm.text import map_arrow, mixed, word_hashes
 from framesift.workspace import stage
 
 SIZE = 5
 THRESHOLD = 75
+SAMPLE = 8
+DOUBT = 1e-15
 HOT = 1 << 17
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 4_000_000
@@ -81,53 +86,123 @@ def _long(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.uint64).view(np.int64))
 
 
+def _looked_up(shingles: np.ndarray) -> np.ndarray:
+    return shingles[: np.searchsorted(shingles, np.uint64((1 << 64) // SAMPLE))]
+
+
 def _set_rows(size: int):
     def rows(batches):
         for batch in batches:
-            keys, sizes, firsts, seen = [], [], [], set()
+            keys, sizes, samples = [], [], []
             for shingles in shingle_sets(batch.column(2), size):
-                key = set_digest(shingles) if len(shingles) else None
-                keys.append(key)
+                keys.append(set_digest(shingles) if len(shingles) else None)
                 sizes.append(len(shingles))
-                if key is not None and key not in seen:
-                    seen.add(key)
-                    firsts.append(shingles)
-            repeats = [None] * len(keys)
-            if firsts:
-                together = np.sort(np.concatenate(firsts))
-                starts = np.flatnonzero(np.r_[True, together[1:] != together[:-1]])
-                counts = np.diff(np.r_[starts, len(together)])
-                often = counts >= 3
-                if often.any():
-                    repeats[0] = {
-                        "shingles": together[starts[often]].view(np.int64),
-                        "counts": counts[often],
-                    }
+                samples.append(len(_looked_up(shingles)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(keys, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(
-                        repeats,
-                        pa.struct([("shingles", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]),
-                    ),
-                ],
-                ["id", "ref", "set_key", "n", "repeats"],
+                [*batch.columns[:2], *(pa.array(c, pa.int64()) for c in (keys, sizes, samples))],
+                ["id", "ref", "set_key", "n", "looked_up"],
             )
 
     return rows
 
 
-def _hot(rows: DataFrame, most: int):
+def _sampled_rows(size: int):
+    """(shingle, set, 0) for a shingle that one set in this task has; (shingle, a set, 1) for
+    one that several have, and (null, set, how many of its shingles these are)."""
+
+    def combined(shingles, keys):
+        shingles, keys = np.concatenate(shingles), np.concatenate(keys)
+        order = np.argsort(shingles, kind="stable")
+        shingles, keys = shingles[order], keys[order]
+        starts = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]])
+        counts = np.diff(np.r_[starts, len(shingles)])
+        several = np.repeat(counts > 1, counts)
+        names, times = np.unique(keys[several], return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([_long(shingles[starts]), pa.nulls(len(names), pa.int64())]),
+                pa.array(np.r_[keys[starts], names]),
+                pa.array(np.r_[counts > 1, times].astype(np.int32)),
+            ],
+            ["shingle", "set_key", "seen"],
+        )
+
+    def rows(batches):
+        shingles, keys, held, seen = [], [], 0, set()
+        for batch in batches:
+            for found in shingle_sets(batch.column(0), size):
+                if not len(found) or (key := set_digest(found)) in seen:
+                    continue
+                seen.add(key)
+                some = _looked_up(found)
+                shingles.append(some)
+                keys.append(np.full(len(some), key, np.int64))
+                held += len(some)
+                if held >= BUFFER:
+                    yield combined(shingles, keys)
+                    shingles, keys, held, seen = [], [], 0, set()
+        if held:
+            yield combined(shingles, keys)
+
+    return rows
+
+
+def _shared_counts(batches):
+    """(set, how many of its shingles another set has); the rows of a shingle come together.
+    The rows of the last shingle wait for the next batch: one for each map task at most."""
+    kept = None
+
+    def counted(shingle, key, seen):
+        starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+        run = np.cumsum(np.r_[True, shingle[1:] != shingle[:-1]]) - 1
+        shared = np.minimum.reduceat(key, starts) != np.maximum.reduceat(key, starts)
+        shared |= np.maximum.reduceat(seen, starts) > 0
+        names, times = np.unique(key[shared[run] & (seen == 0)], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(times)], ["set_key", "shared"])
+
+    for batch in batches:
+        shingle, key, seen = batch.columns
+        given = np.asarray(shingle.is_valid())
+        if not given.all():
+            none = pa.array(~given)
+            yield pa.RecordBatch.from_arrays(
+                [key.filter(none), seen.filter(none).cast(pa.int64())], ["set_key", "shared"]
+            )
+        some = [np.asarray(column.filter(pa.array(given))) for column in (shingle, key, seen)]
+        if kept is not None:
+            some = [np.r_[old, new] for old, new in zip(kept, some)]
+        if len(some[0]):
+            cut = int(np.searchsorted(some[0], some[0][-1]))
+            if cut:
+                yield counted(*(column[:cut] for column in some))
+            kept = [column[cut:] for column in some]
+    if kept is not None:
+        yield counted(*kept)
+
+
+def _may_link(shared: Column, looked_up: Column, threshold: int) -> Column:
+    least = threshold / 100 - F.sqrt(F.lit(-math.log(DOUBT) / 2) / looked_up)
+    return (looked_up == 0) | (shared / looked_up >= least)
+
+
+def _common(batches):
+    """Shingles of several sets of a batch, with their number."""
+    for batch in batches:
+        together = np.sort(np.concatenate([np.frombuffer(d, np.uint64) for d in batch.column(0).to_pylist()]))
+        starts = np.flatnonzero(np.r_[True, together[1:] != together[:-1]])
+        counts = np.diff(np.r_[starts, len(together)])
+        often = counts > 1
+        yield pa.RecordBatch.from_arrays(
+            [_long(together[starts[often]]), pa.array(counts[often])], ["shingle", "count"]
+        )
+
+
+def _hot(sets: DataFrame, most: int):
     """The most frequent shingles, sorted, and the place of each by rising frequency."""
-    repeats = rows.where(F.col("repeats").isNotNull()).select(
-        F.explode(F.arrays_zip("repeats.shingles", "repeats.counts")).alias("r")
-    )
     found = (
-        repeats.groupBy(F.col("r.shingles").alias("shingle"))
-        .agg(F.sum("r.counts").alias("count"))
+        map_arrow(sets.select("shingles"), _common, "shingle bigint, count bigint")
+        .groupBy("shingle")
+        .agg(F.sum("count").alias("count"))
         .orderBy(F.desc("count"), "shingle")
         .limit(most)
         .toPandas()
@@ -157,7 +232,7 @@ def _prefix(shingles: np.ndarray, hot, threshold: int) -> np.ndarray:
     return np.r_[rare, shingles[common][order[: length - len(rare)]]]
 
 
-def _prefix_rows(size: int, threshold: int, shared_hot):
+def _prefix_rows(threshold: int, shared_hot):
     """(shingle, size class, set) of the first set with both in this task, and an edge
     (null shingle) to it from every other one."""
     names = ["shingle", "size_class", "set_key", "first"]
@@ -183,12 +258,10 @@ def _prefix_rows(size: int, threshold: int, shared_hot):
 
     def rows(batches):
         hot = shared_hot.value
-        shingles, classes, keys, held, seen = [], [], [], 0, set()
+        shingles, classes, keys, held = [], [], [], 0
         for batch in batches:
-            for found in shingle_sets(batch.column(0), size):
-                if not len(found) or (key := set_digest(found)) in seen:
-                    continue
-                seen.add(key)
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = np.frombuffer(data, np.uint64)
                 some = _prefix(found, hot, threshold)
                 shingles.append(some)
                 classes.append(np.full(len(some), int(math.log(len(found)) / CLASS_WIDTH), np.int32))
@@ -196,7 +269,7 @@ def _prefix_rows(size: int, threshold: int, shared_hot):
                 held += len(some)
                 if held >= BUFFER:
                     yield combined(shingles, classes, keys)
-                    shingles, classes, keys, held, seen = [], [], [], 0, set()
+                    shingles, classes, keys, held = [], [], [], 0
         if held:
             yield combined(shingles, classes, keys)
 
@@ -413,21 +486,22 @@ def _join_tasks(threshold: int):
 
 
 def _wanted_sets(size: int):
-    """The sets of the rows whose text still has the wanted set, once for each task."""
+    """The sets of the rows whose text still has the wanted set, once in this task."""
 
     def rows(batches):
+        seen = set()
         for batch in batches:
-            found = []
-            texts, wanted = batch.column(0), batch.column(1).to_pylist()
-            for row, shingles in enumerate(shingle_sets(texts, size)):
-                found.append(
-                    shingles.tobytes()
-                    if len(shingles) and set_digest(shingles) == wanted[row]
-                    else None
-                )
+            keys = batch.column(1).to_pylist()
+            wanted, found = [], []
+            for row, shingles in enumerate(shingle_sets(batch.column(0), size)):
+                key = keys[row]
+                if len(shingles) and key not in seen and set_digest(shingles) == key:
+                    seen.add(key)
+                    wanted.append(row)
+                    found.append(shingles.tobytes())
+            some = batch.select([1, 2, 3]).take(pa.array(wanted, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), *batch.columns[2:], pa.array(found, pa.binary())],
-                ["set_key", "copies", "cluster", "blocks", "block", "shingles"],
+                [*some.columns, pa.array(found, pa.binary())], ["set_key", "copies", "n", "shingles"]
             )
 
     return rows
@@ -458,15 +532,45 @@ def linked_documents(
         map_arrow(
             docs.select("id", "ref", "content"),
             _set_rows(size),
-            f"id {id_type}, ref bigint, set_key bigint, n bigint,"
-            " repeats struct<shingles: array<bigint>, counts: array<bigint>>",
+            f"id {id_type}, ref bigint, set_key bigint, n bigint, looked_up bigint",
+        ),
+        "set-rows",
+    )
+    sampled = map_arrow(
+        docs.select("content"), _sampled_rows(size), "shingle bigint, set_key bigint, seen int"
+    )
+    shared = map_arrow(
+        sampled.repartition(F.coalesce("shingle", "set_key")).sortWithinPartitions("shingle"),
+        _shared_counts,
+        "set_key bigint, shared bigint",
+    )
+    per_set = stage(
+        rows.where(F.col("set_key").isNotNull())
+        .groupBy("set_key")
+        .agg(
+            F.count("*").alias("copies"),
+            F.min("ref").alias("wanted_ref"),
+            F.first("n").alias("n"),
+            F.first("looked_up").alias("looked_up"),
+            F.min("id").alias("least_id"),
+        )
+        .join(shared.groupBy("set_key").agg(F.sum("shared").alias("shared")), "set_key", "left"),
+        "sets",
+    )
+    may_link = _may_link(F.coalesce("shared", F.lit(0)), F.col("looked_up"), threshold)
+    wanted = per_set.where(may_link).select("wanted_ref", "set_key", "copies", "n")
+    sets = stage(
+        map_arrow(
+            docs.join(wanted, F.col("ref") == F.col("wanted_ref")).select("content", "set_key", "copies", "n"),
+            _wanted_sets(size),
+            "set_key bigint, copies bigint, n bigint, shingles binary",
         ),
-        "shingle-sets",
+        "shingles",
     )
-    shared_hot = spark.sparkContext.broadcast(_hot(rows, hot))  # at most HOT shingles
+    shared_hot = spark.sparkContext.broadcast(_hot(sets, hot))  # at most HOT shingles
     prefixes = map_arrow(
-        docs.select("content"),
-        _prefix_rows(size, threshold, shared_hot),
+        sets.select("set_key", "shingles"),
+        _prefix_rows(threshold, shared_hot),
         "shingle bigint, size_class int, set_key bigint, first bigint",
     )
     met = map_arrow(
@@ -480,53 +584,33 @@ def linked_documents(
     clusters = stage(
         clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()), "clusters"
     )
-
-    per_set = (
-        rows.where(F.col("set_key").isNotNull())
-        .groupBy("set_key")
-        .agg(
-            F.count("*").alias("copies"),
-            F.min("ref").alias("ref"),
-            F.first("n").alias("n"),
-            F.min("id").alias("least_id"),
-        )
-    )
-    sets = stage(
-        per_set.join(clusters, per_set["set_key"] == clusters["node"], "left").drop("node"), "sets"
+    clustered = clusters.join(
+        sets.select(F.col("set_key").alias("node"), "n").dropDuplicates(["node"]), "node"
     )
-    sized = (
-        sets.where(F.col("root").isNotNull())
-        .groupBy("root")
-        .agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-        .select(
-            "root",
-            F.greatest(
-                F.ceil(F.col("sets") / block_sets), F.ceil(F.col("shingles") / BLOCK_SHINGLES)
-            ).cast("int").alias("blocks"),
-        )
+    blocks = clustered.groupBy("root").agg(
+        F.greatest(
+            F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+        ).cast("int").alias("blocks")
     )
-    wanted = sets.join(sized, "root").select(
-        F.col("ref").alias("wanted_ref"),
-        "set_key",
-        "copies",
-        F.col("root").alias("cluster"),
+    placed = stage(
+        clusters.join(blocks, "root").select(
+            "node",
+            F.col("root").alias("cluster"),
+            "blocks",
+            F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+        ),
         "blocks",
-        F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int").alias("block"),
-    )
-    moved = docs.join(wanted, F.col("ref") == F.col("wanted_ref")).select(
-        "content", "set_key", "copies", "cluster", "blocks", "block"
     )
-    found = map_arrow(
-        moved,
-        _wanted_sets(size),
-        "set_key bigint, copies bigint, cluster bigint, blocks int, block int, shingles binary",
-    ).where(F.col("shingles").isNotNull())
-    tasks = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
-        "set_key",
-        "copies",
-        "block",
-        "shingles",
+    tasks = (
+        sets.join(placed, sets["set_key"] == placed["node"])
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
+            "set_key",
+            "copies",
+            "block",
+            "shingles",
+        )
     )
     verified = stage(
         map_arrow(
@@ -539,7 +623,7 @@ def linked_documents(
     linked = components(verified.select(F.col("set_key").alias("a"), F.col("root").alias("b")))
     counted = verified.groupBy("set_key").agg(F.sum("links").alias("links"))
     known = (
-        sets.join(linked, sets["set_key"] == linked["node"], "left")
+        per_set.join(linked, per_set["set_key"] == linked["node"], "left")
         .join(counted, "set_key", "left")
         .select(
             "set_key",
@@ -551,7 +635,7 @@ def linked_documents(
     known = stage(known, "components")
     smallest = known.groupBy("component").agg(F.min("least_id").alias("component_id"))
     known = known.join(smallest, "component").select("set_key", "component_id", "links")
-    return rows.drop("repeats").join(known, "set_key", "left").select(
+    return rows.join(known, "set_key", "left").select(
         "id",
         "ref",
         "set_key",
