@@ -2,7 +2,7 @@
 
 Every round is one aggregation and one join per star over the edges alone and is written to
 shared storage, so lineage stays short and lost executors cost one round. Nothing is
-collected but the number of edges that changed.
+collected but a checksum of the edges.
 """
 
 from __future__ import annotations
@@ -13,28 +13,20 @@ from pyspark.sql import functions as F
 from framesift.workspace import stage
 
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
-    """Neighbours move to the smallest one. ``small`` looks at smaller neighbours only,
-    the large star moves the larger ones."""
-    if small:  # each edge stands at its larger end
-        at = edges.select(
-            F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-        ).distinct()
-    else:
-        at = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        )
-    least = at.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    moved = at.join(least, "u")
-    if small:
-        moved = moved.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-            moved.select(F.col("u").alias("a"), F.col("m").alias("b"))
-        )
-    else:
-        moved = moved.where(F.col("v") > F.col("u")).select(
-            F.col("v").alias("a"), F.col("m").alias("b")
-        )
-    return moved.where(F.col("a") != F.col("b")).distinct()
+def _round(edges: DataFrame) -> DataFrame:
+    """Large star: the smaller end of every edge gives way to its own smallest neighbour.
+    Small star: all smaller neighbours of a node move to the smallest one."""
+    least = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    edges = edges.join(least, edges["b"] == least["node"], "left").select(
+        "a", F.coalesce("m", "b").alias("b")
+    )
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").where(F.col("b") != F.col("m"))
+    return (
+        moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        .unionByName(least.select("a", F.col("m").alias("b")))
+        .distinct()
+    )
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -58,5 +50,5 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _state(edges)) != before:
         before = now
-        edges = stage(_star(_star(edges, small=False), small=True), "edges")
+        edges = stage(_round(edges), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -42,7 +42,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framesift.llm.components import components
-from framesift.llm.text import map_arrow, mixed, word_hashes
+from framesift.llm.membership import Filter
+from framesift.llm.text import free_name, map_arrow, mixed, word_hashes
 from framesift.workspace import stage
 
 SIZE = 5
@@ -507,10 +508,6 @@ def _wanted_sets(size: int):
     return rows
 
 
-def _ref(id_column: Column, text: Column) -> Column:
-    return F.when(id_column.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(id_column))
-
-
 def linked_documents(
     df: DataFrame,
     key: str = "doc_id",
@@ -520,13 +517,13 @@ def linked_documents(
     block_sets: int = BLOCK_SETS,
     hot: int = HOT,
 ) -> DataFrame:
-    """For every row of ``df``: ``id``, ``ref`` (a hash of the id, or of the text of a null
-    id), ``set_key``, ``n`` (size of the set), ``component_id`` (smallest id reachable by
+    """For every row of ``df``: ``id``, ``ref`` (a hash of id and text), ``n`` (size of the
+    set), ``component`` (null for an empty set), ``component_id`` (smallest id reachable by
     links, itself included) and ``links`` (number of linked rows). Runs several jobs."""
     spark = df.sparkSession
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("content"))
     id_type = docs.schema["id"].dataType.simpleString()
-    docs = docs.withColumn("ref", _ref(F.col("id"), F.col("content")))
+    docs = docs.withColumn("ref", F.xxhash64("id", "content"))
 
     rows = stage(
         map_arrow(
@@ -559,9 +556,10 @@ def linked_documents(
     )
     may_link = _may_link(F.coalesce("shared", F.lit(0)), F.col("looked_up"), threshold)
     wanted = per_set.where(may_link).select("wanted_ref", "set_key", "copies", "n")
+    likely = docs.where(Filter(wanted, "wanted_ref").may_have("ref"))
     sets = stage(
         map_arrow(
-            docs.join(wanted, F.col("ref") == F.col("wanted_ref")).select("content", "set_key", "copies", "n"),
+            likely.join(wanted, F.col("ref") == F.col("wanted_ref")).select("content", "set_key", "copies", "n"),
             _wanted_sets(size),
             "set_key bigint, copies bigint, n bigint, shingles binary",
         ),
@@ -602,7 +600,8 @@ def linked_documents(
         "blocks",
     )
     tasks = (
-        sets.join(placed, sets["set_key"] == placed["node"])
+        sets.where(Filter(placed, "node").may_have("set_key"))
+        .join(placed, sets["set_key"] == placed["node"])
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
@@ -634,17 +633,49 @@ def linked_documents(
     )
     known = stage(known, "components")
     smallest = known.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = known.join(smallest, "component").select("set_key", "component_id", "links")
+    known = known.join(smallest, "component")
     return rows.join(known, "set_key", "left").select(
         "id",
         "ref",
-        "set_key",
         "n",
+        "component",
         F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("links", F.lit(0)).alias("links"),
     )
 
 
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` without those that are linked, over any number of links, with a row
+    of a smaller id (nulls last) or, at equal ids, of a smaller hash. Of repeated rows one
+    stays; rows with an empty set all stay. All columns as they are.
+
+    Rows that surely stay are not moved: only rows that the filter takes for dropped or
+    repeated ones pass the exact join."""
+    linked = stage(linked_documents(df, key, text, **options), "linked")
+    named = linked.where(F.col("component").isNotNull())
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("ref").alias("ref"))
+    first = named.groupBy("component").agg(F.min(order)["ref"].alias("first"))
+    marked = stage(
+        named.join(first, "component")
+        .groupBy(F.col("ref").alias("marked"))
+        .agg(F.max(F.col("ref") != F.col("first")).alias("dropped"), F.count("*").alias("times"))
+        .where(F.col("dropped") | (F.col("times") > 1)),
+        "marked",
+    )
+    ref = free_name(df, "ref")
+    rows = df.withColumn(ref, F.xxhash64(key, text))
+    likely = Filter(marked, "marked").may_have(ref)
+    exact = (
+        rows.where(likely)
+        .join(marked.withColumnsRenamed({c: free_name(df, f"_{c}") for c in marked.columns}),
+              F.col(ref) == F.col(free_name(df, "_marked")), "left")
+    )
+    dropped, times = F.col(free_name(df, "_dropped")), F.col(free_name(df, "_times"))
+    single = exact.where(dropped.isNull()).select(*rows.columns)
+    repeated = exact.where(~dropped & (times > 1)).select(*rows.columns).dropDuplicates([ref])
+    return rows.where(~likely).unionByName(single).unionByName(repeated).select(*df.columns)
+
+
 def op9_jaccard_join(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return linked_documents(docs).select(

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from framesift.llm import decontaminate, jaccard, language, quality
+from framesift.llm import (
+    decontaminate, jaccard, language, mixture, quality, rollup, scoring, search, secrets, slots,
+)
 
 QUERIES = {
     query.__name__: query
     for query in (
+        scoring.op1_lm_scoring,
+        secrets.op2_secret_scan,
         decontaminate.op3_benchmark_decontamination,
         language.op4_language_id,
+        mixture.op5_source_mixture,
+        slots.op6_token_slots,
+        search.op7_top_k_search,
+        rollup.op8_token_rollup,
         jaccard.op9_jaccard_join,
         quality.op10_quality_classifier,
     )
 }
 
 ORACLE_SQL = {
+    "op1_lm_scoring": scoring.OP1_SQL,
     "op3_benchmark_decontamination": decontaminate.OP3_SQL,
+    "op7_top_k_search": search.OP7_SQL,
+    "op8_token_rollup": rollup.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
 }

@@ -33,8 +33,9 @@ TO_ALNUM = bytes(b if b in _ALNUM_BYTES else 32 for b in TO_LOWER)
 #: Bytes hashed in one go, so that a text of any length needs bounded memory.
 PIECE = 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BETWEEN = {WORD: np.zeros(256, dtype=bool), ALNUM: np.ones(256, dtype=bool)}
+_BETWEEN[WORD][[0x20, *range(0x09, 0x0E)]] = True
+_BETWEEN[ALNUM][[*_ALNUM_BYTES, *UPPER.encode()]] = False
 
 
 def key_text(column: str) -> Column:
@@ -46,6 +47,14 @@ def fold(column: str, of: int) -> Column:
     return F.crc32(key_text(column)) % F.lit(of)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, whatever the case of its letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with this package importable in the workers."""
     ship_package(df.sparkSession)
@@ -93,8 +102,8 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``PIECE`` bytes that end with a row or, in long rows, at a space."""
+def _cuts(data: np.ndarray, offsets: np.ndarray, between: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``PIECE`` bytes that end with a row or, in long rows, between words."""
     at, row, last = int(offsets[0]), 0, len(offsets) - 1
     end = int(offsets[-1])
     while at < end:
@@ -104,25 +113,26 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
             stop = int(offsets[min(row + 1, last)])
             probe = at + PIECE
             while probe < stop:
-                spaces = np.flatnonzero(_SPACE[data[probe : probe + PIECE]])
-                if len(spaces):
-                    stop = probe + int(spaces[0])
+                gaps = np.flatnonzero(between[data[probe : min(probe + PIECE, stop)]])
+                if len(gaps):
+                    stop = probe + int(gaps[0])
                     break
                 probe += PIECE
         yield at, stop
         at = stop
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words ``WORD`` of a string column, A to Z lower-cased, and
-    the offsets of the rows in them."""
+def word_hashes(column: pa.Array, word: str = WORD) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (``WORD`` or ``ALNUM``) of a string column, A to Z
+    lower-cased, and the offsets of the rows in them."""
     data, offsets = utf8(column)
+    between = _BETWEEN[word]
     hashes, starts = [], []
     table = _LETTER.copy()
     table[np.arange(65, 91)] = _LETTER[np.arange(97, 123)]
-    for begin, end in _cuts(data, offsets):
+    for begin, end in _cuts(data, offsets, between):
         piece = data[begin:end]
-        inside = ~_SPACE[piece]
+        inside = ~between[piece]
         breaks = np.zeros(len(piece) + 1, dtype=bool)
         cut = offsets[(offsets >= begin) & (offsets <= end)] - begin
         breaks[cut] = True
