@@ -25,7 +25,6 @@ not read. Ids that would not fit 4 bytes don't occur.
 from __future__ import annotations
 
 import base64
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -48,18 +47,10 @@ PER_SHARD = 1 << 14
 MOST_TASKS = 10_000
 KEY = 20240229
 ROUNDS = 6
-#: Words whose ids a worker remembers.
-REMEMBERED = 300_000
-
-#: A space beside other white space: such texts are tokenised as a whole.
-_SPACES = re.compile(r" \s|\s ")
 
 
 class Tokenizer:
-    """Byte-level BPE by a file of ranks; ids as little-endian bytes.
-
-    What follows a space and has no white space next to it is tokenised apart from its
-    neighbours by ``PATTERN``, so ids are remembered by such words."""
+    """Byte-level BPE by a file of ranks; ids as little-endian bytes."""
 
     def __init__(self, ranks: bytes):
         import tiktoken
@@ -67,34 +58,14 @@ class Tokenizer:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.end = max(table.values()) + 1
         self.dtype = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
-        self.encoding = tiktoken.Encoding(
-            "ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}
-        )
-        self.words = _Words(self)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), dtype=self.dtype).tobytes()
+        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+        self.ids, self.text = encoding.encode_ordinary, encoding.decode
 
     def encode(self, text: str) -> bytes:
-        if text[0] == " " or text[-1] == " " or _SPACES.search(text):
-            return self.whole(text)
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.words.__getitem__, rest))
+        return np.array(self.ids(text), dtype=self.dtype).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.encoding.decode([int(i) for i in ids if i != self.end])
-
-
-class _Words(dict):
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.tokenizer.whole(" " + word)
-        return ids
+        return self.text([int(i) for i in ids if i != self.end])
 
 
 def permuted(numbers: np.ndarray, count: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -139,11 +110,11 @@ def _partition() -> int:
 def _counts(key: str, ranks, length: int):
     def rows(batches):
         tokenizer = built("tokenizer", key, lambda: Tokenizer(ranks.value))
-        width, count = length * tokenizer.dtype.itemsize, 0
+        count = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    count += -(-(len(tokenizer.encode(text)) + tokenizer.dtype.itemsize) // width)
+                    count += -(-(len(tokenizer.ids(text)) + 1) // length)
         yield pa.RecordBatch.from_arrays(
             [pa.array([_partition()], pa.int32()), pa.array([count], pa.int64())], ["part", "n"]
         )
