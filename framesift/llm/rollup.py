@@ -165,7 +165,7 @@ def op8_token_rollup(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumnRenamed("doc_id", "labelled")
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.regexp_count(text, F.lit(WORD))
-    low = docs.join(labels.where(F.col("quality") == 0), F.col("doc_id") == F.col("labelled"), "left_semi")
+    low = labels.where(F.col("quality") == 0).select("labelled").distinct()
     toxic = labels.where(F.col("toxic") == 1).select(
         F.col("labelled").alias("doc_id"), F.lit(None).cast("string").alias("source"),
         F.lit(None).cast("string").alias("lang"), F.lit("").alias("text"),
@@ -173,7 +173,10 @@ def op8_token_rollup(spark, sf_dir):
     rollup = TokenRollup(spark, new_path(spark, "token-rollup"))
     batches = {
         "1-insert": counts(docs, {WORDS: words, BYTES: F.octet_length(text)}),
-        "2-revise": counts(low, {WORDS: F.regexp_count(text, F.lit("(?i)" + ALNUM))}),
+        # counted first: an inner join moves ids and counts, not texts
+        "2-revise": counts(docs, {WORDS: F.regexp_count(text, F.lit("(?i)" + ALNUM))}).join(
+            low, F.col("doc_id") == F.col("labelled")
+        ),
         "3-delete": counts(toxic, {WORDS: F.lit(0), BYTES: F.lit(0)}, op="delete"),
     }
     for name, changes in batches.items():
