@@ -31,16 +31,13 @@ def _packed(positions: pd.Series) -> pd.Series:
     return positions.map(page)
 
 
-def _place(key: Column | str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BITS))
-
-
 class Filter:
-    """Bitmap of the values of one long column."""
+    """Bitmap of the values of one long column, which must be hashes: their low bits are
+    the place in the bitmap."""
 
     def __init__(self, keys: DataFrame, column: str):
         ship_package(keys.sparkSession)
-        place = keys.select(_place(column).alias("place"))
+        place = keys.select(F.pmod(F.col(column), F.lit(BITS)).alias("place"))
         pages = (
             place.select((F.col("place") / PAGE).cast("int").alias("page"), (F.col("place") % PAGE).cast("int").alias("at"))
             .distinct()
@@ -54,14 +51,17 @@ class Filter:
         self.shared = keys.sparkSession.sparkContext.broadcast(bits)
         self.key = uuid.uuid4().hex
 
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """False for no hash that is among the keys. For use in tasks."""
+        bits = built(f"filter-{self.key}", self.key, lambda: self.shared.value)
+        at = hashes.view(np.int64) & np.int64(BITS - 1)
+        return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
     def may_have(self, column: Column | str) -> Column:
-        """False for no row whose value is among the keys."""
-        shared, key = self.shared, self.key
+        """False for no row whose hash is among the keys."""
 
         @F.pandas_udf("boolean")
-        def test(places: pd.Series) -> pd.Series:
-            bits = built(f"filter-{key}", key, lambda: shared.value)
-            at = places.to_numpy(dtype=np.int64)
-            return pd.Series((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+        def test(hashes: pd.Series) -> pd.Series:
+            return pd.Series(self.has(hashes.to_numpy(dtype=np.int64)))
 
-        return test(_place(column))
+        return test(column)
