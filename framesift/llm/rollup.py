@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framesift.llm.text import ALNUM, WORD
-from framesift.workspace import _hadoop_path, exists, new_path
+from framesift.workspace import _hadoop_path, exists, new_path, read_text
 
 GROUP = ["source", "lang", "tokenizer"]
 _LOG = "doc_id string, source string, lang string, tokenizer string, docs bigint, tokens bigint"
@@ -99,7 +99,7 @@ class TokenRollup:
         )
         marker = f"{self.root}/commits/{batch}"
         if exists(spark, marker):
-            if json.loads(_text(spark, marker)) != self._digest(one):
+            if json.loads(read_text(spark, marker)) != self._digest(one):
                 raise Conflict(f"batch {batch} is committed with other changes")
             return False
         one.write.mode("overwrite").parquet(staged)
@@ -138,10 +138,6 @@ class TokenRollup:
             raise Conflict(f"{path} was committed meanwhile")
 
 
-def _text(spark: SparkSession, path: str) -> str:
-    return "".join(row["value"] for row in spark.read.text(path).collect())
-
-
 def counts(docs: DataFrame, tokenizers: dict, op: str = "put") -> DataFrame:
     """Changes that put the count of every tokenizer (name to column over ``docs``)."""
     pairs = F.array(
