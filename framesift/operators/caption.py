@@ -221,12 +221,16 @@ def caption_assets(
             return row
         try:
             data = row.pop("bytes") if "bytes" in row else _read(opener, path)
+        except MemoryError:
+            raise  # says nothing about the asset
         except Exception as problem:
             if on_fetch_error == "fail":
                 raise RuntimeError(f"cannot fetch {path!r}") from problem
             return row | {"error_type": "fetch_failed:" + type(problem).__name__}
         try:
             frames, total, duration = sample_asset(reader, data, num_samples)
+        except MemoryError:
+            raise  # says nothing about the asset
         except Exception as problem:
             if on_error == "fail":
                 raise RuntimeError(f"cannot decode {path!r}") from problem

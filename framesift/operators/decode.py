@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from framesift.config import NUM_UNITS
 from framesift.functions.assets import asset_id
 from framesift.operators.readers import error_type, get_reader, sample_asset
 from framesift.sources.fetch import BATCH_BYTES
+from framesift.sources.storage import open_uri
 from framesift.workspace import ship_package
 
 _ARROW_UNITS = {"string": pa.string(), "binary": pa.binary()}
@@ -21,10 +24,14 @@ def decode_assets(
     num_samples: int = NUM_UNITS,
     on_error: str = "drop",
     profile=None,
+    opener: Callable = open_uri,
+    on_fetch_error: str = "fail",
 ) -> DataFrame:
     """Sampled units of every asset: ``path, video_id, frames, num_frames,
     duration_sec, error_type``.
 
+    Without a column ``bytes`` the task opens the path itself, so that an asset of any
+    size is read, and ``on_fetch_error`` says what becomes of one that can't be opened.
     Unreadable assets keep their row, with an error type and null units, or stop the
     job if ``on_error`` is ``fail``. A row with an ``error_type`` from the fetch passes
     through unread. Frames are large; where
@@ -43,19 +50,37 @@ def decode_assets(
         ]
     )
 
+    given = "bytes" in fetched.columns
+
+    def content(batch, i, path):
+        if given:
+            return batch.column(2)[i].as_py(), None
+        try:
+            with opener(path) as stream:
+                return stream.read(), None
+        except MemoryError:
+            raise  # says nothing about the asset
+        except Exception as problem:
+            if on_fetch_error == "fail":
+                raise RuntimeError(f"cannot fetch {path!r}") from problem
+            return None, "fetch_failed:" + type(problem).__name__
+
     def decode(batches):
         rows, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 row = dict.fromkeys(schema.names)
                 row["path"] = batch.column(0)[i].as_py()
-                row["error_type"] = batch.column(2)[i].as_py()
+                row["error_type"] = batch.column(1)[i].as_py()
+                if row["error_type"] is None:
+                    data, row["error_type"] = content(batch, i, row["path"])
                 if row["error_type"] is None:
                     try:
-                        data = batch.column(1)[i].as_py()
                         units, total, duration = sample_asset(reader, data, num_samples)
                         row.update(frames=units, num_frames=total, duration_sec=duration)
                         size += sum(map(len, units))
+                    except MemoryError:
+                        raise  # says nothing about the asset
                     except Exception as problem:
                         if on_error == "fail":
                             raise RuntimeError(f"cannot decode {row['path']!r}") from problem
@@ -70,7 +95,7 @@ def decode_assets(
     if "error_type" not in fetched.columns:
         fetched = fetched.withColumn("error_type", F.lit(None).cast("string"))
     return (
-        fetched.select("path", "bytes", "error_type")
+        fetched.select("path", "error_type", *(["bytes"] if given else []))
         .mapInArrow(
             decode,
             f"path string, frames array<{unit}>, num_frames bigint, duration_sec double, "

@@ -7,26 +7,35 @@ answers must not depend on how rows are batched.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-# Models of this worker process. Tasks of one worker share it.
-_loaded: dict[str, Callable] = {}
+from pyspark import cloudpickle
+
+# Models of this worker process, one version of each name. Tasks of one worker share it.
+_loaded: dict[str, tuple[str | None, Callable]] = {}
 
 
 @dataclass(frozen=True)
 class Model:
     name: str
-    """Tells models apart within a worker, so no two may share one."""
+    """A worker keeps one model of a name."""
 
     load: Callable[[], Callable]
-    """Builds the model; runs once per Python worker."""
+    """Builds the model; runs once per Python worker and version."""
+
+    version: str | None = None
+    """Tells models of one name apart; ``get_model`` takes it from ``load`` itself."""
 
 
 def loaded(model: Model) -> Callable:
-    if model.name not in _loaded:
-        _loaded[model.name] = model.load()
-    return _loaded[model.name]
+    """The model of this worker. Another version of the name replaces the one held."""
+    held = _loaded.get(model.name)
+    if held is None or held[0] != model.version:
+        _loaded.pop(model.name, None)
+        _loaded[model.name] = held = (model.version, model.load())
+    return held[1]
 
 
 class FirstLastModel:
@@ -58,8 +67,12 @@ def register_model(model: Model) -> None:
 
 
 def get_model(model: str | Model) -> Model:
-    if isinstance(model, Model):
-        return model
-    if model not in MODELS:
-        raise ValueError(f"unknown model: {model!r}")
-    return MODELS[model]
+    """The model as it is sent to the workers: with a digest of its ``load``, so that
+    workers that outlive a job don't answer with an older model of the same name."""
+    if not isinstance(model, Model):
+        if model not in MODELS:
+            raise ValueError(f"unknown model: {model!r}")
+        model = MODELS[model]
+    if model.version is None:
+        model = replace(model, version=hashlib.sha256(cloudpickle.dumps(model.load)).hexdigest())
+    return model

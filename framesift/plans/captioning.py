@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import time
 import uuid
@@ -17,7 +18,7 @@ from framesift.operators.models import get_model
 from framesift.operators.placement import caption_profile, decode_profile
 from framesift.operators.readers import get_reader
 from framesift.sinks.captions import write_captions, write_preview
-from framesift.sources.fetch import check_error_mode, fetch_from_store, fetch_uris
+from framesift.sources.fetch import check_error_mode, fetch_from_store
 from framesift.sources.manifest import (
     URI,
     limit_manifest,
@@ -27,7 +28,7 @@ from framesift.sources.manifest import (
     write_shards,
 )
 from framesift.sources.storage import open_uri
-from framesift.workspace import exists, stage
+from framesift.workspace import exists, read_text, stage, write_text
 
 # Assets of one task: little enough to redo when an executor is lost.
 ASSETS_PER_TASK = 1_000
@@ -87,10 +88,14 @@ def caption_manifest(
             on_error=config.on_error,
             profile=profile,
         )
-    if store is None:
-        assets = fetch_uris(manifest, opener, on_error=config.on_fetch_error)
     decoded = decode_assets(
-        assets, config.reader, config.num_units, config.on_error, decode_profile(config)
+        assets,
+        config.reader,
+        config.num_units,
+        config.on_error,
+        decode_profile(config),
+        opener,
+        config.on_fetch_error,
     )
     if config.placement == "staged":
         decoded = stage(decoded, "samples")
@@ -123,22 +128,28 @@ def run(
     captions, the dead letters in ``<output>_rejected`` and the preview.
 
     A run that crashed and is started again under its ``run_id`` keeps the shards
-    it has finished, with the manifest it had read. Only an ``append`` that broke
-    off within the last, small write can then repeat rows.
+    it has finished. It must ask for the same: another manifest, limit, reader, model
+    name, backend or output under the id raises, and so does the id of a finished run.
+    What stands at ``output`` is replaced only if this run had begun to write it. Only
+    an ``append`` that broke off within the last, small write can repeat rows.
     """
     check_config(config)
     output = output.rstrip("/")
     ledger = f"{output}_ledger/{run_id or uuid.uuid4().hex}"
-    continued = exists(spark, f"{ledger}/manifest/_SUCCESS")
+    listed = _limited(spark, manifest, limit)
     mode = config.write_mode
-    if mode == "errorifexists" and not continued and exists(spark, output):
-        raise FileExistsError(f"{output} exists")
-    if mode == "errorifexists" and continued:
-        # It did not exist when the run began, so what is there is this run's.
-        mode = "overwrite"
+    if mode == "errorifexists":
+        if exists(spark, f"{ledger}/_WRITING"):
+            mode = "overwrite"
+        else:
+            for target in (output, f"{output}_rejected"):
+                if exists(spark, target):
+                    raise FileExistsError(f"{target} exists")
+    if run_id is not None:
+        _claim(spark, ledger, _record(listed, config, limit, output))
     started = time.time()
-    if not continued:
-        write_shards(_limited(spark, manifest, limit), f"{ledger}/manifest", shards, "overwrite")
+    if not exists(spark, f"{ledger}/manifest/_SUCCESS"):
+        write_shards(listed, f"{ledger}/manifest", shards, "overwrite")
     for shard in _shard_numbers(spark, f"{ledger}/manifest"):
         finished = f"{ledger}/captions/shard={shard}"
         if exists(spark, f"{finished}/_SUCCESS"):
@@ -148,11 +159,13 @@ def run(
             part = spread(part, config.partitions or task_count(spark, part.count()))
         write_ledger(caption_manifest(part, config, store, opener), finished)
     rows = read_ledger(spark, f"{ledger}/captions")
+    write_text(spark, f"{ledger}/_WRITING", "")
     write_captions(rows.where(F.col("error_type").isNull()), output, mode)
     bad = rows.where(F.col("error_type").isNotNull()).select("path", "video_id", "error_type")
     bad.write.mode(mode).parquet(f"{output}_rejected")
     elapsed = time.time() - started
     write_preview(spark, output)
+    write_text(spark, f"{ledger}/_DONE", "")
     return {
         "backend": config.backend,
         "elapsed_sec": elapsed,
@@ -163,6 +176,37 @@ def run(
     }
 
 
+def _record(manifest: DataFrame, config: RunConfig, limit: int | None, output: str) -> str:
+    """What a run was asked for. The manifest counts by its URIs, in any order."""
+    rows, urls = manifest.agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64(URI).cast("decimal(38,0)"))
+    ).first()
+    reader = get_reader(config.reader)
+    asked = {
+        "rows": rows,
+        "uris": str(urls),
+        "limit": limit,
+        "reader": f"{type(reader).__module__}.{type(reader).__qualname__}",
+        "model": get_model(config.model).name,
+        "backend": config.backend,
+        "units": config.num_units,
+        "output": output,
+    }
+    return json.dumps(asked, sort_keys=True)
+
+
+def _claim(spark: SparkSession, ledger: str, record: str) -> None:
+    """Begin or go on with a run; raise if its id stands for another or a finished one."""
+    if exists(spark, f"{ledger}/_DONE"):
+        raise ValueError(f"{ledger} is the ledger of a finished run")
+    if not exists(spark, f"{ledger}/_RECORD"):
+        write_text(spark, f"{ledger}/_RECORD", record)
+        return
+    known = read_text(spark, f"{ledger}/_RECORD")
+    if known != record:
+        raise ValueError(f"{ledger} is the ledger of another run: {known}, not {record}")
+
+
 def _limited(spark, manifest, limit):
     if isinstance(manifest, str):
         return read_manifest(spark, manifest, limit)

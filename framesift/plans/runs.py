@@ -158,7 +158,7 @@ def compare(
 
 
 def sweep_cells(runs: DataFrame) -> DataFrame:
-    """Sweep report as text cells; unknown numbers are dashes, errors are cut."""
+    """Sweep report as text cells; unknown numbers are dashes."""
     return runs.select(
         "backend",
         "batch_size",
@@ -166,7 +166,7 @@ def sweep_cells(runs: DataFrame) -> DataFrame:
         format_cell("elapsed_sec", 1).alias("wall"),
         format_cell("throughput", 2).alias("throughput"),
         format_cell("rows").alias("rows"),
-        F.left(F.coalesce("error", F.lit("")), F.lit(40)).alias("error"),
+        F.coalesce("error", F.lit("")).alias("error"),
     )
 
 

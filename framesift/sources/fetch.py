@@ -52,6 +52,8 @@ def fetch_uris(
                 try:
                     with opener(uri) as stream:
                         data, error = column_sized(stream.read()), None
+                except MemoryError:
+                    raise  # says nothing about the asset
                 except Exception as problem:
                     if failing:
                         raise RuntimeError(f"cannot fetch {uri!r}") from problem

@@ -20,6 +20,9 @@ _LIST_ROWS = 5_000
 _LISTING = pa.schema([("path", pa.string()), ("length", pa.int64()), ("is_folder", pa.bool_())])
 _LISTING_DDL = "path string, length bigint, is_folder boolean"
 
+# Rows of one file of a shard.
+SHARD_FILE_ROWS = 100_000
+
 # Copies that are made from one fetched row in place. Their content is not shuffled;
 # of a URI with more of them, one row per so many copies is.
 HOT_COPIES = 32
@@ -133,9 +136,14 @@ def write_shards(
     """Split a manifest into ``shards`` even parts, ``path/shard=<i>``.
 
     A shard is whatever was written for it, so runs over single shards never
-    disagree on their rows, and copies of one URI spread over all shards.
+    disagree on their rows, and copies of one URI spread over all shards. A shard has
+    a file, and a task that writes it, for every ``SHARD_FILE_ROWS`` rows. Counts the
+    manifest first.
     """
-    even = manifest.select(URI).repartition(shards).withColumn("shard", F.spark_partition_id())
+    files = max(1, -(-manifest.count() // (shards * SHARD_FILE_ROWS)))
+    even = manifest.select(URI).repartition(shards * files).withColumn(
+        "shard", F.spark_partition_id() % shards
+    )
     even.write.mode(mode).partitionBy("shard").parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from framesift.plans.captioning import (
 from framesift.sources.manifest import CSV_OPTIONS, URI, spread
 from framesift.sources.results import CAPTION_COLUMNS
 from framesift.sources.storage import open_uri
+from framesift.workspace import exists, read_text, write_text
 
 
 def caption_arrivals(
@@ -36,15 +38,18 @@ def caption_arrivals(
     Manifests are CSV files with the single column ``video_uri``. The query ends
     when all present files are done; started again with the same ``checkpoint`` it
     takes only new ones. Each micro-batch writes its own folder of ``output`` and
-    writes it whole, so a batch repeated after a crash adds no rows.
+    writes it whole, so a batch repeated after a crash adds no rows. The folder is named
+    after the checkpoint too, by an id kept in it: a new checkpoint counts its batches
+    from 0 again and adds to what is in ``output``.
     """
     check_config(config)
+    mine = f"{output}/stream={_stream_id(spark, checkpoint)}"
 
     def caption(batch: DataFrame, number: int) -> None:
         if store is None:
             batch = spread(batch, config.partitions or task_count(spark, batch.count()))
         captioned = caption_manifest(batch, config, store, opener)
-        write_ledger(captioned, f"{output}/batch={number}")
+        write_ledger(captioned, f"{mine}/batch={number}")
 
     arrivals = (
         spark.readStream.schema(f"{URI} string")
@@ -59,6 +64,13 @@ def caption_arrivals(
     )
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    path = f"{checkpoint.rstrip('/')}/captions_id"
+    if not exists(spark, path):
+        write_text(spark, path, uuid.uuid4().hex)
+    return read_text(spark, path)
+
+
 def arrived_captions(spark: SparkSession, output: str) -> DataFrame:
     """The captions of all micro-batches so far."""
     rows = read_ledger(spark, output).where(F.col("error_type").isNull())

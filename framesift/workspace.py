@@ -79,6 +79,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     write_bytes(spark, path, text.encode("utf-8"))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """One small file, whatever its name; Spark's readers skip names with ``_``."""
+    filesystem, target = _hadoop_path(spark, path)
+    stream = filesystem.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, so that models cached in
     its modules outlive single tasks."""

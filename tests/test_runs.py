@@ -246,3 +246,114 @@ def test_arriving_manifests(spark, folder, manifest):
     assert arrive("2.csv", lines[6:]) == EXPECTED
     caption_arrivals(spark, arrivals, folder + "/out", folder + "/progress", CONFIG).awaitTermination()
     assert arrived_captions(spark, folder + "/out").count() == 12
+
+
+def fixed_model(text):
+    def load():
+        return lambda batch: [text] * len(batch["video_id"])
+
+    return load
+
+
+def test_another_model_of_a_name_replaces_the_one_held(spark, folder, manifest):
+    for text in ("ONE", "TWO", "ONE"):
+        config = RunConfig(model=Model("same", fixed_model(text)), partitions=2, on_fetch_error="quarantine")
+        captioning.run(spark, manifest, f"{folder}/{text}{os.urandom(4).hex()}", config)
+    found = {
+        (name[:3], r.caption)
+        for name in os.listdir(folder) if name[:3] in ("ONE", "TWO") and len(name) == 11
+        for r in spark.read.parquet(f"{folder}/{name}").collect()
+    }
+    assert found == {("ONE", "ONE"), ("TWO", "TWO")}
+
+
+def test_a_run_id_stands_for_one_run(spark, folder, manifest):
+    captioning.run(spark, manifest, folder + "/out", CONFIG, run_id="r")
+    with pytest.raises(ValueError, match="finished"):
+        captioning.run(spark, manifest, folder + "/out", CONFIG, run_id="r")
+    broken = folder + "/broken"
+    open(broken, "w").close()
+    register_model(Model(folder, counting_model(folder, broken)))
+    config = RunConfig(model=folder, batch_size=1, partitions=1, on_fetch_error="quarantine")
+    with pytest.raises(Exception, match="model crashed"):
+        captioning.run(spark, manifest, folder + "/two", config, run_id="x")
+    with pytest.raises(ValueError, match="another run"):
+        captioning.run(spark, manifest, folder + "/two", config, limit=3, run_id="x")
+    os.rename(broken, folder + "/repaired")
+    captioning.run(spark, manifest, folder + "/two", config, run_id="y")
+    with pytest.raises(FileExistsError):  # what y wrote stays
+        captioning.run(spark, manifest, folder + "/two", config, run_id="x")
+    assert spark.read.parquet(folder + "/two").count() == len(EXPECTED)
+
+
+def test_left_over_rejected_folder_stops_a_run_at_once(spark, folder, manifest):
+    os.makedirs(folder + "/out_rejected")
+    with pytest.raises(FileExistsError):
+        captioning.run(spark, manifest, folder + "/out", CONFIG)
+    assert not os.path.exists(folder + "/out_ledger")
+
+
+def test_a_new_checkpoint_adds_to_the_output(spark, folder, manifest):
+    lines = open(manifest).read().splitlines(keepends=True)
+    for number, part in enumerate((lines[1:6], lines[6:])):
+        os.makedirs(f"{folder}/arrivals{number}")
+        with open(f"{folder}/arrivals{number}/m.csv", "w") as out:
+            out.writelines(lines[:1] + part)
+        caption_arrivals(
+            spark, f"{folder}/arrivals{number}", folder + "/out", f"{folder}/progress{number}", CONFIG
+        ).awaitTermination()
+    found = sorted((r.video_id, r.caption) for r in arrived_captions(spark, folder + "/out").collect())
+    assert found == EXPECTED
+
+
+class Enormous(bytes):
+    """Bytes that report a length no column holds."""
+
+    def __len__(self):
+        return 3_000_000_000
+
+
+class EnormousStream:
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        pass
+
+    def read(self):
+        return Enormous(b"a b c")
+
+
+@pytest.mark.parametrize("settings", [{}, {"placement": "staged"}, {"backend": "request"}])
+def test_an_asset_of_any_size_is_read_in_every_form(spark, folder, settings):
+    listed = spark.createDataFrame([("/big/one.txt",)], "video_uri string")
+    captioning.run(
+        spark, listed, folder + "/out", RunConfig(partitions=1, **settings), opener=lambda path: EnormousStream()
+    )
+    assert [r.caption for r in spark.read.parquet(folder + "/out").collect()] == ["3 a c"]
+
+
+def test_memory_errors_are_not_dead_letters(spark, folder, manifest):
+    def opener(path):
+        raise MemoryError
+
+    with pytest.raises(Exception, match="MemoryError"):
+        captioning.run(spark, manifest, folder + "/out", CONFIG, opener=opener)
+
+
+def test_a_shard_of_many_rows_has_several_files(spark, folder):
+    from framesift.sources import manifest as M
+
+    rows = spark.range(250_000, numPartitions=4).selectExpr("concat('/a/', id) AS video_uri")
+    M.write_shards(rows, folder + "/shards", 1)
+    files = [f for f in os.listdir(folder + "/shards/shard=0") if f.endswith(".parquet")]
+    assert len(files) == 3
+    assert M.read_shard(spark, folder + "/shards", 0).distinct().count() == 250_000
+
+
+def test_sweep_cells_show_whole_errors(spark):
+    row = ("b", 1.0, "o", 1, 1, None, "x" * 200, None, None)
+    table = spark.createDataFrame(
+        [row], "backend string, elapsed_sec double, output string, batch_size int, gpu_concurrency int,"
+        " limit int, error string, rows bigint, throughput double")
+    assert runs.sweep_cells(table).first().error == "x" * 200
