@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from framesift.llm.components import components
 from framesift.llm.membership import Filter
-from framesift.llm.text import free_name, map_arrow, mixed, word_hashes
+from framesift.llm.text import ROWS, free_name, map_arrow, mixed, word_hashes
 from framesift.workspace import stage
 
 SIZE = 5
@@ -63,6 +63,11 @@ _MULTIPLIERS = np.array([pow(0xA24BAED4963EE407, k + 1, 1 << 64) for k in range(
 
 def shingle_sets(texts: pa.Array, size: int = SIZE):
     """The sorted shingle set of every text."""
+    for at in range(0, len(texts), ROWS):
+        yield from _shingle_sets(texts.slice(at, ROWS), size)
+
+
+def _shingle_sets(texts: pa.Array, size: int):
     words, offsets = word_hashes(texts)
     rolled = np.zeros(max(len(words) - size + 1, 0), dtype=np.uint64)
     for k in range(size):

@@ -1,6 +1,6 @@
 """A bounded filter for the rows that a join will keep, so that the others aren't moved.
 
-The filter is a bitmap of ``BITS`` bits, 16 MB, whatever the number of keys: it is built in
+The filter is a bitmap of ``BITS`` bits, 4 MB, whatever the number of keys: it is built in
 pages on the executors and is the only thing that is broadcast. It lets every wanted row
 pass and few others while there are far fewer keys than bits; with more keys it lets more
 rows pass and the join that follows does the work alone. It never decides a result.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from framesift.llm.text import built
 from framesift.workspace import ship_package
 
-BITS = 1 << 27
+BITS = 1 << 25
 PAGE = 1 << 16
 
 
@@ -53,7 +53,7 @@ class Filter:
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         """False for no hash that is among the keys. For use in tasks."""
-        bits = built(f"filter-{self.key}", self.key, lambda: self.shared.value)
+        bits = built("filter", self.key, lambda: self.shared.value)
         at = hashes.view(np.int64) & np.int64(BITS - 1)
         return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 

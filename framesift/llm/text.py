@@ -31,7 +31,9 @@ _ALNUM_BYTES = set(b"0123456789" + LOWER.encode()) | set(range(128, 256))
 TO_ALNUM = bytes(b if b in _ALNUM_BYTES else 32 for b in TO_LOWER)
 
 #: Bytes hashed in one go, so that a text of any length needs bounded memory.
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Rows of one step over an Arrow batch, for the same reason.
+ROWS = 512
 
 _BETWEEN = {WORD: np.zeros(256, dtype=bool), ALNUM: np.ones(256, dtype=bool)}
 _BETWEEN[WORD][[0x20, *range(0x09, 0x0E)]] = True
@@ -61,6 +63,13 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def slices(batches) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``ROWS``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each row starts; nulls are empty."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
