@@ -43,7 +43,7 @@ WEIGHTS = (1, 2, 3)
 REPEATS = 3
 BLOCK_WORDS = 64
 LEAST_BLOCKS = 16
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 SEED = 20240229
 
 _WORD = re.compile(WORD)
@@ -288,14 +288,15 @@ def mixed(df: DataFrame, source: str = "source", text: str = "text", n_chars: st
                 for first, last in runs(end - count, end, times, block):
                     places.append(row)
                     texts.append(cut(content[row].as_py(), first, last, count))
-        found = table.select(columns).take(pa.array(places, pa.int64()))
-        new = {text: pa.array(texts, found.schema.field(text).type)}
-        if n_chars in columns:
-            new[n_chars] = pa.array([len(t) for t in texts], pa.int64()).cast(found.schema.field(n_chars).type)
-        for name, values in new.items():
-            at = columns.index(name)
-            found = found.set_column(at, found.schema.field(at), values)
-        return found
+        at = pa.array(places, pa.int64())
+        new = {text: texts, n_chars: [len(t) for t in texts]}
+        return pa.Table.from_arrays(
+            [
+                pa.array(new[c], table.schema.field(c).type) if c in new else table[c].take(at)
+                for c in columns
+            ],
+            columns,
+        )
 
     return plan.grouped(rows, df.schema)
 
