@@ -289,10 +289,10 @@ def mixed(df: DataFrame, source: str = "source", text: str = "text", n_chars: st
                     places.append(row)
                     texts.append(cut(content[row].as_py(), first, last, count))
         at = pa.array(places, pa.int64())
-        new = {text: texts, n_chars: [len(t) for t in texts]}
+        new = {text: pa.array(texts, pa.string()), n_chars: pa.array([len(t) for t in texts], pa.int64())}
         return pa.Table.from_arrays(
             [
-                pa.array(new[c], table.schema.field(c).type) if c in new else table[c].take(at)
+                new[c].cast(table.schema.field(c).type) if c in new else table[c].take(at)
                 for c in columns
             ],
             columns,
