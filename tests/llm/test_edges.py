@@ -252,8 +252,8 @@ def test_search_equals_brute_force(spark, edges, nothing):
         df = sum(word in r for r in rows)
         return math.log(1 + (len(rows) - df + 0.5) / (df + 0.5))
     queries = spark.createDataFrame([(q, hashed[w], idf(w)) for q, w in asked], "query bigint, word bigint, idf double")
-    for shard_docs in (2, 1000):
-        found = search.top_k(docs, queries, statistics, k=3, shard_docs=shard_docs).collect()
+    for shard_words in (50, 10**6):
+        found = search.top_k(docs, queries, statistics, k=3, shard_words=shard_words).collect()
         for query in (7, 8, 9):
             want = []
             for (key, *_), row in zip(EDGES, rows):
@@ -271,6 +271,22 @@ def test_search_equals_brute_force(spark, edges, nothing):
     assert search.top_k(nothing.select(F.col("doc_id").alias("id"), "text"), queries, none).count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 7, 64, 4096])
+def test_pruned_shard_equals_all_scores(monkeypatch, block):
+    monkeypatch.setattr(search, "BLOCK", block)
+    random = np.random.default_rng(block)
+    held = random.random((2000, 30)) < np.linspace(0.002, 0.9, 30)
+    gains = np.round(random.random(held.shape), 1) * held  # many ties
+    docs, words = np.nonzero(gains)
+    shard = search.Shard(docs.astype(np.int32), words, gains[docs, words])
+    for _ in range(100):
+        terms = [(int(w), float(i)) for w, i in zip(random.integers(0, 32, 8), random.random(8) * 9)]
+        every = np.round(sum(gains[:, w] * i for w, i in terms if w < 30) + np.zeros(2000), 6)
+        want = [d for d in np.lexsort((np.arange(2000), -every))[:10] if every[d]]
+        found, scores = shard.best(terms, 10)
+        assert found.tolist() == want and scores.tolist() == every[want].tolist()
+
+
 def test_scoring_edges(spark, edges, nothing):
     docs = edges.select(F.col("doc_id").alias("id"), "text")
     target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "id bigint")
