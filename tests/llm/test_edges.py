@@ -271,6 +271,30 @@ def test_search_equals_brute_force(spark, edges, nothing):
     assert search.top_k(nothing.select(F.col("doc_id").alias("id"), "text"), queries, none).count() == 0
 
 
+def test_search_asks_with_every_word(spark, tmp_path):
+    draw = random.Random(8)
+    common = [f"c{i}" for i in range(40)]
+    rows = [(i, " ".join(draw.choices(common, k=60) + [f"r{i // 2}x{j}" for j in range(9)])) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    split = [content.split() for _, content in rows]
+    mean = sum(map(len, split)) / len(split)
+    df = {w: sum(w in row for row in split) for row in split for w in row}
+    idf = {w: math.log(1 + (len(rows) - n + 0.5) / (n + 0.5)) for w, n in df.items() if n >= search.LEAST_DF}
+    found = {}
+    for r in search.op7_top_k_search(spark, str(tmp_path)).collect():
+        found.setdefault(r.query_id, {})[r["rank"]] = (r.doc_id, r.score)
+    assert sorted(found) == [0, 20, 40]
+    for query, hits in found.items():
+        scores = []
+        for i, row in enumerate(split):
+            norm = search.K1 * (1 - search.B + search.B * len(row) / mean)
+            tf = {w: row.count(w) for w in set(split[query]) & set(row) & set(idf)}
+            scores.append((-sum(idf[w] * n * (search.K1 + 1) / (n + norm) for w, n in tf.items()), i))
+        want = sorted(scores)[: search.TOP]
+        assert [hits[k + 1][0] for k in range(len(want))] == [i for _, i in want]
+        assert [hits[k + 1][1] for k in range(len(want))] == pytest.approx([-s for s, _ in want], abs=1e-5)
+
+
 @pytest.mark.parametrize("block", [1, 7, 64, 4096])
 def test_pruned_shard_equals_all_scores(monkeypatch, block):
     monkeypatch.setattr(search, "BLOCK", block)
