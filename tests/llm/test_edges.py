@@ -295,6 +295,13 @@ def test_search_asks_with_every_word(spark, tmp_path):
         assert [hits[k + 1][1] for k in range(len(want))] == pytest.approx([-s for s, _ in want], abs=1e-5)
 
 
+def test_repeated_words_win_over_rare_ones(spark):
+    rows = [(1, "often " * 30 + "rare"), (2, "rare")] + [(i, "often" if i < 12 else "other") for i in range(3, 21)]
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    (best,) = search.by_example(docs.where("id = 1"), search.Statistics(docs), terms=1).collect()
+    assert best.word == int(text.word_hashes(pa.array(["often"]), text.ALNUM)[0].view(np.int64)[0])
+
+
 @pytest.mark.parametrize("block", [1, 7, 64, 4096])
 def test_pruned_shard_equals_all_scores(monkeypatch, block):
     monkeypatch.setattr(search, "BLOCK", block)
