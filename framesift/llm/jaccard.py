@@ -460,11 +460,12 @@ def _joined(keys, copies, blocks, sets, threshold):
 
 
 def _join_tasks(threshold: int):
-    """Rows come sorted by task; a task's rows are joined as soon as the next one begins."""
+    """Rows come sorted by task; a task's rows are joined as soon as the next one begins. A task
+    of two blocks of which one is empty has nothing to join: the other one has its own task."""
 
     def run(held):
         keys, copies, blocks, sets = [], [], [], []
-        for key, count, block, data in held:
+        for key, count, block, _, data in held:
             keys.append(key)
             copies.append(count)
             blocks.append(block)
@@ -474,18 +475,22 @@ def _join_tasks(threshold: int):
             [pa.array(column, pa.int64()) for column in found], ["set_key", "root", "links"]
         )
 
+    def whole(held):
+        wanted = {block for _, _, *pair, _ in held for block in pair}
+        return len(held) > 1 and len({block for _, _, block, _, _ in held}) == len(wanted)
+
     def rows(batches):
         current, held, seen = None, [], set()
         for batch in batches:
-            for task, key, count, block, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for task, key, count, block, other, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if task != current:
-                    if len(held) > 1:
+                    if whole(held):
                         yield run(held)
                     current, held, seen = task, [], set()
                 if key not in seen:
                     seen.add(key)
-                    held.append((key, count, block, data))
-        if len(held) > 1:
+                    held.append((key, count, block, other, data))
+        if whole(held):
             yield run(held)
 
     return rows
@@ -613,6 +618,7 @@ def linked_documents(
             "set_key",
             "copies",
             "block",
+            "other",
             "shingles",
         )
     )

@@ -87,6 +87,16 @@ def test_jaccard_join_equals_brute_force(spark, blocks):
         assert (row.n, row.component_id, row.links) == (len(sets[i]), ids[min(reach)], len(links[i]))
 
 
+def test_jaccard_links_count_once_beside_an_empty_block(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 40)  # two blocks for each pair, filled by a hash
+    rows = []
+    for pair in range(12):
+        words = [f"p{pair}w{i}" for i in range(40)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words + ["more"]))]
+    found = jaccard.linked_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.id: (r.component_id, r.links) for r in found} == {i: (i // 2 * 2, 1) for i, _ in rows}
+
+
 def test_one_of_each(edges):
     kept = jaccard.one_of_each(edges)
     assert kept.columns == edges.columns
