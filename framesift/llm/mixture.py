@@ -6,16 +6,17 @@ at ``REPEATS`` times its size and the excess is shared by weight among the other
 is above.
 
 Targets are apportioned in blocks of equal size: the highest quotients ``target / (2k + 1)``
-get the blocks. A source is cut into shards of about ``SHARD_WORDS`` words by a hash of its
+get the blocks. Sources of fewer than ``LEAST_BLOCKS`` blocks have finer blocks of their own, as
+many as come nearest to their target, so that only their texts are cut finer. A source is cut into shards of about ``SHARD_WORDS`` words by a hash of its
 rows, so that a source of any size is many shards; its blocks are apportioned to its shards by
 their sizes in the same way. Inside a shard the rows stand on one line in the order of a
 seeded hash, the line is cut into blocks, and the quota takes every block equally often, the
 remainder being drawn by a seeded permutation. A block is taken ``REPEATS`` times at most, so
 no text is.
 
-Blocks have ``BLOCK_WORDS`` words, fewer if the smallest source has less than
-``LEAST_BLOCKS`` blocks; the last block of a shard may be shorter. What is taken of a source
-differs from its target by less than ``REPEATS`` blocks for each shard.
+Blocks have ``BLOCK_WORDS`` words, those of a small source a ``LEAST_BLOCKS``-th of its words;
+the last block of a shard may be shorter. What is taken of a source differs from its target by
+less than ``REPEATS`` blocks for each shard.
 
 Null texts and texts without words have size 0 and are taken 0 times. Null sources are a
 source of their own. Repeated rows are rows of their own. An empty table gives no rows. Other
@@ -102,9 +103,23 @@ def apportion(seats: int, votes: list[float], most: list[int]) -> list[int]:
     return given
 
 
-def block_size(sizes: dict) -> int:
-    least = min((size for size in sizes.values() if size > 0), default=0)
-    return max(1, min(BLOCK_WORDS, least // LEAST_BLOCKS))
+def block_size(words: int) -> int:
+    """Words in a block of a source of so many words."""
+    return max(1, min(BLOCK_WORDS, words // LEAST_BLOCKS))
+
+
+def quotas(sizes: dict, wanted: dict, blocks: dict) -> dict:
+    """How many of its ``blocks`` every source gives: small ones by themselves, the others
+    apportioned together."""
+    names = sorted(sizes, key=lambda name: (name is None, name or ""))
+    large = [n for n in names if blocks[n] == BLOCK_WORDS]
+    quota = {}
+    for some in [large, *([n] for n in names if blocks[n] != BLOCK_WORDS)]:
+        votes = [wanted[n] for n in some]
+        most = [REPEATS * -(-sizes[n] // blocks[n]) for n in some]
+        seats = round(sum(votes) / blocks[some[0]]) if some else 0
+        quota |= zip(some, apportion(seats, votes, most))
+    return quota
 
 
 def block_times(words: int, quota: int, block: int, seed: int) -> np.ndarray:
@@ -179,7 +194,7 @@ class Plan:
         by_source = sized.groupBy(self.source).agg(F.sum(self.size)).collect()
         self.sizes = {name: size for name, size in by_source}
         self.targets = targets(self.sizes, weights)
-        self.block = block = block_size(self.sizes)
+        self.blocks = {name: block_size(size) for name, size in self.sizes.items()}
         shards = {name: max(1, -(-size // shard_words)) for name, size in self.sizes.items()}
         table = spark.createDataFrame(
             [(name, count) for name, count in shards.items()] or [(None, 1)],
@@ -194,24 +209,20 @@ class Plan:
             .withColumn(self.shard, F.pmod(F.shiftright(self.place, 20), F.col(count)))
             .drop(count, free_name(df, "_name"))
         )
-        names = sorted(self.sizes, key=lambda name: (name is None, name or ""))
-        most = [REPEATS * -(-self.sizes[n] // block) for n in names]
-        wanted = [self.targets[n] for n in names]
-        given = apportion(round(sum(wanted) / block), wanted, most)
-        self.quota = dict(zip(names, given))
+        self.quota = quotas(self.sizes, self.targets, self.blocks)
 
     def quotas(self) -> DataFrame:
         """(source, shard, quota) for every shard; a source's shards are apportioned in one
         group of one row for each shard."""
-        block, quota = self.block, self.quota
+        blocks, quota = self.blocks, self.quota
         sizes = self.rows.groupBy(self.source, self.shard).agg(F.sum(self.size).alias("words"))
         source, shard = self.source, self.shard
 
         def give(table: pa.Table) -> pa.Table:
             table = table.sort_by(shard)
-            words = table["words"].to_pylist()
-            most = [REPEATS * -(-w // block) for w in words]
-            given = apportion(quota[table[source][0].as_py()], [float(w) for w in words], most)
+            words, name = table["words"].to_pylist(), table[source][0].as_py()
+            most = [REPEATS * -(-w // blocks[name]) for w in words]
+            given = apportion(quota[name], [float(w) for w in words], most)
             return table.select([source, shard]).append_column("quota", pa.array(given, pa.int64()))
 
         return sizes.groupBy(source).applyInArrow(
@@ -220,7 +231,7 @@ class Plan:
 
     def grouped(self, function, schema) -> DataFrame:
         """``function(rows in line order, times of the blocks, source)`` for every shard."""
-        block, seed = self.block, self.seed
+        blocks, seed = self.blocks, self.seed
         source, shard, place, size = self.source, self.shard, self.place, self.size
         names = free_name(self.rows, "_source"), free_name(self.rows, "_shard")
         quota = free_name(self.rows, "_quota")
@@ -238,7 +249,7 @@ class Plan:
             table, sizes = table.take(pa.array(order)), sizes[order]
             name = table[source][0].as_py()
             draw = seed + 7919 * table[shard][0].as_py() + _code(name)
-            times = block_times(int(sizes.sum()), table[quota][0].as_py(), block, draw)
+            times = block_times(int(sizes.sum()), table[quota][0].as_py(), blocks[name], draw)
             return function(table, sizes, times, name)
 
         return rows.groupBy(source, shard).applyInArrow(run, schema)
@@ -254,7 +265,7 @@ def taken(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
     the mix takes from it. Runs jobs for the sizes of the sources and shards."""
     docs = df.select(F.col(key).alias("id"), F.col(source).alias("source"), F.col(text).alias("text"))
     plan = Plan(docs, "source", "text", ["id"], seed, shard_words, weights)
-    block, sizes, wanted = plan.block, plan.sizes, plan.targets
+    blocks, sizes, wanted = plan.blocks, plan.sizes, plan.targets
     id_type = docs.schema["id"].dataType.simpleString()
 
     def rows(table, words, times, name):
@@ -263,7 +274,7 @@ def taken(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
             pa.array(words, pa.int64()),
             pa.array([sizes[name]] * len(words), pa.int64()),
             pa.array([wanted[name]] * len(words), pa.float64()),
-            pa.array(taken_words(words, times, block), pa.int64()),
+            pa.array(taken_words(words, times, blocks[name]), pa.int64()),
         ]
         return pa.Table.from_arrays(columns, ["id", "size", "source_size", "target", "taken"])
 
@@ -278,14 +289,14 @@ def mixed(df: DataFrame, source: str = "source", text: str = "text", n_chars: st
     it is taken, with the columns of ``df``. ``text`` is the stretch, ``n_chars`` (if ``df``
     has it) its length. Texts without words are not taken."""
     plan = Plan(df, source, text, df.columns, seed, shard_words, weights)
-    columns, block = df.columns, plan.block
+    columns, blocks = df.columns, plan.blocks
 
-    def rows(table, words, times, _):
+    def rows(table, words, times, name):
         ends, places, texts = np.cumsum(words).tolist(), [], []
         content = table[text]
         for row, (end, count) in enumerate(zip(ends, words.tolist())):
             if count:
-                for first, last in runs(end - count, end, times, block):
+                for first, last in runs(end - count, end, times, blocks[name]):
                     places.append(row)
                     texts.append(cut(content[row].as_py(), first, last, count))
         at = pa.array(places, pa.int64())

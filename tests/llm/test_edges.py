@@ -218,6 +218,23 @@ def test_mixture_edges(edges, nothing):
     assert mixture.taken(nothing).count() == 0 and mixture.mixed(nothing).count() == 0
 
 
+def test_a_tiny_source_leaves_the_others_whole(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(100)), "en", "ab"[i % 2]) for i in range(120)]
+    rows.append((999, "just three words", "en", "c"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    sizes, times = {}, {}
+    for r in mixture.mixed(frame).collect():
+        sizes.setdefault(r.source, []).append(len(r.text.split()))
+    source = {i: name for i, _, _, name in rows}
+    for r in mixture.taken(frame).collect():
+        name = source[r.doc_id]
+        times[name] = times.get(name, 0) + r.taken
+        assert name != "c" or abs(r.taken - r.target) < 1
+    assert {n: sum(s) for n, s in sizes.items()} == times
+    for name in "ab":  # three repeats of a line of 6,000 words in blocks of 64, cut where rows end
+        assert len(sizes[name]) <= 3 * (6000 / 64 + 60) and sum(sizes[name]) / len(sizes[name]) > 20
+
+
 def test_apportionment_is_sainte_lague():
     draw = random.Random(9)
     for _ in range(200):
