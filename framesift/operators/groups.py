@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framesift.functions.sampling import position, slots_at
 from framesift.operators.ordering import join_groups, sorted_segments
@@ -25,14 +26,16 @@ def sample_groups(
     """Per group the rows at ``num_samples`` even positions of ``order``.
 
     Adds ``slot`` (0-based) and ``num_units`` (size of the group). Short groups
-    repeat rows, so every group gives exactly ``num_samples`` rows. ``order`` must
-    be unique within a group.
+    repeat rows, so every group gives exactly ``num_samples`` rows. Ties of ``order``
+    are broken by the other columns, as far as they can be ordered, from left to right.
 
     Groups of up to ``hot_rows`` rows are ranked by a window, one shuffle on the
-    group. Larger ones are never gathered: their keys are range-sorted over many
-    tasks and only the rows at the wanted positions are looked up. Group sizes
-    are counted first, which reads the group column alone.
+    group. Larger ones are never gathered: their rows are range-sorted over many
+    tasks, written once and picked by position. Group sizes are counted first,
+    which reads the group column alone.
     """
+    rest_of = [f.name for f in df.schema if f.name not in (group, *order) and _orderable(f.dataType)]
+    order = [*order, *rest_of]
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("num_units"))
     hot = stage(sizes.where(F.col("num_units") > hot_rows), "hot-groups")
     if hot.isEmpty():
@@ -44,6 +47,14 @@ def sample_groups(
     return cold.unionByName(large)
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
 def _sample_by_window(df, group, order, num_samples):
     per_group = Window.partitionBy(group)
     ranked = df.withColumns(
@@ -57,9 +68,8 @@ def _sample_by_window(df, group, order, num_samples):
 
 
 def _sample_by_range(df, hot, group, order, num_samples):
-    keys = [group, *order]
     size = hot.agg(F.sum("num_units")).first()[0]
-    rows, segments = sorted_segments(df.select(*keys), order, [group], size)
+    rows, segments = sorted_segments(df, order, [group], size)
     sized = join_groups(segments, hot, [group])
     slots = F.array(
         *[
@@ -73,9 +83,6 @@ def _sample_by_range(df, hot, group, order, num_samples):
         .where((offset >= 0) & (offset < F.col("_rows")))
         .select((F.col("_first") + offset).alias("_row"), "num_units", "target.slot")
     )
-    # Staged, both are small tables of known size: Spark broadcasts them instead of
-    # shuffling the keys, and then the rows, of the hot groups once more.
-    wanted = rows.join(stage(targets, "targets"), "_row").drop("_row")
-    found = join_groups(df, stage(wanted, "wanted-rows"), keys)
-    # One row per slot even where the order has ties.
-    return found.dropDuplicates([group, "slot"])
+    # Staged, the targets are a small table of known size: Spark broadcasts them instead of
+    # shuffling the rows of the hot groups once more.
+    return rows.join(stage(targets, "targets"), "_row").drop("_row")

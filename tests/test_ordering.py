@@ -48,6 +48,17 @@ def test_ties_still_fill_every_slot(spark):
     assert sorted(r.slot for r in found.collect()) == list(range(16))
 
 
+def test_ties_give_the_same_rows_by_both_methods(spark):
+    rows = spark.range(64, numPartitions=5).selectExpr(
+        "IF(id % 4 = 0, NULL, 1) AS g", "id DIV 4 AS o", "IF(id % 3 = 0, NULL, id) AS a", "id", "map(id, 1) AS m"
+    )
+    plain, ranged = (
+        sorted(map(repr, sample_groups(rows, "g", ["o"], 16, hot_rows=hot).drop("m").collect())) for hot in (1000, 10)
+    )
+    assert ranged == plain and len(plain) == 32
+    assert len({r.id for r in sample_groups(rows, "g", ["o"], 16, hot_rows=10).collect()}) == 32
+
+
 def test_hot_rows_never_meet_in_one_window(spark, skewed):
     plan = sample_groups(skewed, "g", ["o", "t"], 4, hot_rows=0)._jdf.queryExecution().toString()
     assert "row_number" in plan  # the branch of the other groups
