@@ -91,9 +91,8 @@ def test_hot_rows_are_looked_up_without_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(ordering, "ROWS_PER_TASK", 100)
     events = entry.table(spark, SF_DIR, "events").select("user_id", "ts", "event_id", "value")
     plan = plan_of(sample_groups(events, "user_id", ["ts", "event_id"], 4, hot_rows=0))
-    # One shuffle is that of the other groups. Of the hot rows only those found are
-    # shuffled, to drop ties.
-    assert exchanges(plan) == 2 and "SortMergeJoin" not in plan
+    # The one shuffle is that of the other groups; hot rows are picked by position.
+    assert exchanges(plan) == 1 and "SortMergeJoin" not in plan
 
 
 def test_first_rows_by_range_are_not_shuffled_again(spark, monkeypatch):
