@@ -96,7 +96,7 @@ def test_token_slots_round_trip(spark, documents, tmp_path):
     assert all((a == b).all() for a, b in zip(resumed, records[150:270], strict=True))
     tokenizer = slots.Tokenizer(open(slots.VOCABULARY, "rb").read())
     texts = dict(zip(documents.doc_id, documents.text))
-    for doc, some in rows.groupby("doc_id"):
+    for doc, some in rows.groupby("id"):
         ids = np.concatenate([records[s] for s in some.sort_values("part").slot])
         assert tokenizer.decode(ids) == texts[doc]
         assert some.n_tokens.sum() == len(tokenizer.ids(texts[doc]))
