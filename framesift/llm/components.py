@@ -2,7 +2,7 @@
 
 Every round is one aggregation and one join per star over the edges alone and is written to
 shared storage, so lineage stays short and lost executors cost one round. Nothing is
-collected but a checksum of the edges.
+collected but whether the edges are stars already.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from framesift.workspace import stage
 
 
-def _round(edges: DataFrame) -> DataFrame:
+def _round(edges: DataFrame, least: DataFrame) -> DataFrame:
     """Large star: the smaller end of every edge gives way to its own smallest neighbour.
-    Small star: all smaller neighbours of a node move to the smallest one."""
-    least = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    Small star: all smaller neighbours of a node move to the smallest one. ``least`` is a
+    written table, so that Spark may broadcast it or split the rows of a hot end."""
     edges = edges.join(least, edges["b"] == least["node"], "left").select(
         "a", F.coalesce("m", "b").alias("b")
     )
@@ -29,14 +29,6 @@ def _round(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-    )
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``root``) for every node of ``edges`` (``a``, ``b``: any integers) that is
     linked with another one; the root is the smallest node of its component and has no row
@@ -47,8 +39,12 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = None
-    while (now := _state(edges)) != before:
-        before = now
-        edges = stage(_round(edges), "edges")
+    while True:
+        least = stage(
+            edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("ends")),
+            "least",
+        )
+        if least.where("ends > 1").isEmpty() and edges.join(least, F.col("b") == F.col("node"), "left_semi").isEmpty():
+            break  # every node has one edge, to a node that has none
+        edges = stage(_round(edges, least.drop("ends")), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

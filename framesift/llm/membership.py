@@ -46,7 +46,7 @@ class Filter:
             .select("page", F.pandas_udf(_packed, "binary")("at").alias("bits"))
         )
         bits = np.zeros(BITS // 8, dtype=np.uint8)
-        for page, packed in pages.toLocalIterator():
+        for page, packed in pages.collect():  # 4 MB at most
             bits[page * PAGE // 8 : (page + 1) * PAGE // 8] = np.frombuffer(packed, np.uint8)
         self.shared = keys.sparkSession.sparkContext.broadcast(bits)
         self.key = uuid.uuid4().hex
