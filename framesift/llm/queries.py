@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from framesift.llm import (
-    decontaminate, jaccard, language, mixture, quality, rollup, scoring, search, secrets, slots,
+    centroids, decontaminate, divergence, jaccard, language, mixture, quality, rollup, scoring, search, secrets,
+    sketches, slots,
 )
 
 QUERIES = {
@@ -19,6 +20,9 @@ QUERIES = {
         rollup.op8_token_rollup,
         jaccard.op9_jaccard_join,
         quality.op10_quality_classifier,
+        sketches.op11_near_duplicates,
+        centroids.op12_centroid_clustering,
+        divergence.op13_source_divergence,
     )
 }
 
@@ -28,4 +32,7 @@ ORACLE_SQL = {
     "op7_top_k_search": search.OP7_SQL,
     "op8_token_rollup": rollup.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
+    "op11_near_duplicates": sketches.OP11_SQL,
+    "op12_centroid_clustering": centroids.OP12_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }

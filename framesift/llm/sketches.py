@@ -268,7 +268,8 @@ def connected(keys: list[int], roots: list[int], foreign: list[bool], packed: li
     shingles = [np.frombuffer(data, np.uint64) for data in sets]
     sizes = np.array([len(s) for s in shingles])
     own = np.flatnonzero(~np.array(foreign))
-    found = [
+    found = [(np.zeros(0, np.int16), own[:0], own[:0])]
+    found += [
         (alike, own[a], b)
         for alike, a, b in likely_pairs(matrix[own], matrix, sizes[own], sizes, threshold)
     ]
@@ -414,7 +415,7 @@ def _connected_sets(ready: DataFrame, threshold: int, block_sets: int, block_shi
         F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks")
     )
     blocks = stage(blocks, "rest-blocks")
-    block = F.pmod(F.xxhash64("set_key", F.lit(2)), F.col("blocks"))
+    block = F.pmod(F.xxhash64("set_key", F.lit(2)), F.col("blocks")).cast("int")
     rest = stage(
         rest.join(blocks, "cluster").select("set_key", F.col("part").alias("before"), "blocks", block.alias("block")),
         "rest",

@@ -24,7 +24,7 @@ def documents(spark):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
