@@ -9,14 +9,16 @@ its first ``width`` bytes, or for itself if it is no longer, and a prefix that f
 doubles the width and counts only what is left, until no term is cut any more. As a document
 with a term has all of its prefixes, nothing that should be kept is discarded.
 
-1. Every document gives its distinct terms with their counts, written once.
+1. Of every batch of documents and language the distinct terms, and which documents have
+   them how often, are written once.
 2. A level is one pass over them: tasks drop terms below discarded prefixes by a bitmap of
    bounded size (``membership.py``), count the documents of each prefix, combined on the map
    side, and only (64-bit hash of language and prefix, count) is shuffled. Neither the bitmap
    nor equal hashes discard a prefix wrongly; they only let rare ones pass.
-3. The terms left are counted by language, source and term as strings, and the threshold is
-   applied to exact document counts. So the rare terms, most of all terms, are never shuffled
-   as strings, and no task or driver holds a vocabulary.
+3. The terms left are counted by language, source and hash, and the threshold is applied to
+   exact document counts. A last pass brings the kept terms themselves; should two of a
+   language have one hash, the job fails. So the rare terms, most of all terms, are never
+   shuffled, and no task or driver holds a vocabulary.
 4. Divergences of two sources are summed over the terms both have; terms that one or neither
    has come in by the histogram of the counts, as their share depends on the count alone.
 
@@ -33,16 +35,16 @@ its length; it holds no more than a batch of texts and a buffer of ``BUFFER`` co
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.llm.membership import Filter
-from framesift.llm.text import LOWER, TO_LOWER, map_arrow, slices
+from framesift.llm.text import LOWER, TO_LOWER, map_arrow, mixed, slices
 from framesift.workspace import stage
 
 #: Documents of a language that a kept term must have.
@@ -50,9 +52,11 @@ LEAST = 3
 #: Ranks of part ``term``.
 RANKS = 200
 UNIT = 1_000_000_000
-FIRST_WIDTH = 2
+FIRST_WIDTH = 4
 #: Counts that a task combines before it sends them on.
 BUFFER = 1_000_000
+#: Longer prefixes are hashed one by one.
+SHORT = 32
 
 _LETTERS = set(LOWER.encode()) | set(range(128, 256))
 #: Bytes to lower case, and all that is not part of a term to spaces.
@@ -64,134 +68,205 @@ def term_counts(text: bytes | None) -> Counter:
     return Counter((text or b"").translate(_TO_TERMS).split())
 
 
-def _document_terms(batches):
-    for whole in batches:
-        for batch in slices([whole]):
-            texts = batch.column(2).cast(pa.large_binary())
-            terms, counts = [], []
-            for text in texts:
-                found = term_counts(text.as_py())
-                terms.append(b" ".join(found))
-                counts.append(np.fromiter(found.values(), np.int64, len(found)).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(terms, pa.binary()), pa.array(counts, pa.binary())],
-                ["lang", "source", "terms", "counts"],
-            )
-
-
-def prefix_hashes(lang: str, terms: list[bytes], width: int) -> np.ndarray:
-    """64-bit hashes of the language and the first ``width`` bytes of every term."""
-    start = lang.encode() + b" "
-    cut = np.empty(len(terms), dtype=object)
-    cut[:] = [start + term[:width] for term in terms]
-    return pd.util.hash_array(cut, categorize=False)
-
+def _packed(values: list[int]) -> bytes:
+    """Numbers in the fewest bytes that hold them, after a byte that says how many."""
+    array = np.array(values, dtype=np.int64)
+    kind = np.min_scalar_type(int(array.max()) if len(array) else 0)
+    return bytes([kind.itemsize]) + array.astype(kind).tobytes()
 
-class _Prefixes:
-    """Hashes of terms at one width, each computed once in a batch."""
 
-    def __init__(self, width: int):
-        self.width = width
-        self.known: dict[tuple[str, bytes], int] = {}
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.dtype(f"u{data[0]}"), offset=1).astype(np.int64)
 
-    def of(self, lang: str, terms: list[bytes]) -> np.ndarray:
-        fresh = [term for term in terms if (lang, term) not in self.known]
-        if fresh:
-            self.known.update(
-                ((lang, term), value) for term, value in zip(fresh, prefix_hashes(lang, fresh, self.width).tolist())
-            )
-        return np.fromiter((self.known[lang, term] for term in terms), np.uint64, len(terms))
 
-
-def _left(lang: str, terms: list[bytes], above) -> np.ndarray:
-    """True for the terms that no level has discarded; ``above`` has its widths and filters."""
-    left = np.ones(len(terms), dtype=bool)
-    for prefixes, kept in above:
-        left &= kept.has(prefixes.of(lang, terms))
-    return left
+def _document_terms(batches):
+    """A row for each language of ``ROWS`` documents: its distinct terms; the source of each
+    document and its number of distinct terms; the numbers and counts of these."""
+    names = ["lang", "sources", "terms", "lengths", "numbers", "counts"]
+    for batch in slices(batches):
+        langs, sources = (batch.column(i).to_pylist() for i in range(2))
+        texts = batch.column(2).cast(pa.large_binary())
+        rows = []
+        for lang in dict.fromkeys(langs):
+            mine = [row for row, other in enumerate(langs) if other == lang]
+            known: dict[bytes, int] = {}
+            lengths, numbers, counts = [], [], []
+            for row in mine:
+                found = term_counts(texts[row].as_py())
+                lengths.append(len(found))
+                numbers += [known.setdefault(term, len(known)) for term in found]
+                counts += found.values()
+            packed = [_packed(column) for column in (lengths, numbers, counts)]
+            rows.append((lang, [sources[row] for row in mine], b" ".join(known), *packed))
+        kinds = [pa.string(), pa.list_(pa.string()), *[pa.binary()] * 4]
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+        if rows:
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _level_counts(width: int, levels):
+def prefix_hashes(lang: str, terms: list[bytes], width: int) -> np.ndarray:
+    """64-bit hashes of the language and the first ``width`` bytes of every term."""
+    seed = int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
+    size = -(-min(width, SHORT) // 8) * 8
+    # no term has a zero byte, so filling up with them keeps prefixes apart
+    cut = np.array([term[:width] for term in terms] if width < size else terms, dtype=f"S{size}")
+    columns = cut.view(np.uint64).reshape(len(terms), -1)
+    hashes = np.full(len(terms), seed, dtype=np.uint64)
+    for k in range(columns.shape[1]):
+        hashes = mixed(hashes + columns[:, k]) + np.uint64(k)
+    if width > SHORT:
+        for row, term in enumerate(terms):
+            if len(term) > SHORT:
+                data = term[:width] + seed.to_bytes(8, "little")
+                hashes[row] = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+    return hashes
+
+
+class _Terms:
+    """What one row of ``document_terms`` has left. ``level`` is the last one's width and
+    filter, or None."""
+
+    def __init__(self, lang: str, terms: bytes, lengths: bytes, numbers: bytes, level):
+        self.lang, terms = lang, terms.split()
+        left = np.ones(len(terms), dtype=bool)
+        if level is not None and terms:
+            left = level[1].has(prefix_hashes(lang, terms, level[0]))
+        self.terms = [terms[i] for i in np.flatnonzero(left).tolist()]
+        number = np.cumsum(left) - 1
+        numbers, lengths = _unpacked(numbers), _unpacked(lengths)
+        #: which entries of the row are left; their documents and terms
+        self.kept = left[numbers] if len(numbers) else np.zeros(0, dtype=bool)
+        self.docs = np.repeat(np.arange(len(lengths)), lengths)[self.kept]
+        self.numbers = number[numbers[self.kept]] if len(numbers) else numbers
+
+    def hashes(self, width: int) -> np.ndarray:
+        return prefix_hashes(self.lang, self.terms, width)
+
+    def longer(self, width: int) -> np.ndarray:
+        return np.fromiter(map(len, self.terms), np.int64, len(self.terms)) > width
+
+
+def _level_counts(width: int, level):
     """(hash of a prefix, documents that have it, whether it is cut) of what is left."""
 
-    def combined(hashes, cut):
-        hashes, cut = np.concatenate(hashes), np.concatenate(cut)
-        names, place, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    def combined(hashes, docs, cut):
+        names, place = np.unique(np.concatenate(hashes), return_inverse=True)
         longer = np.zeros(len(names), dtype=bool)
-        longer[place[cut]] = True
+        longer[place[np.concatenate(cut)]] = True
+        counts = np.bincount(place, np.concatenate(docs)).astype(np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(names.view(np.int64)), pa.array(counts), pa.array(longer)], ["prefix", "docs", "cut"]
         )
 
     def rows(batches):
-        hashes, cuts, held = [], [], 0
-        for whole in batches:
-            for batch in slices([whole]):
-                above = [(_Prefixes(w), kept) for w, kept in levels[-1:]]
-                own = _Prefixes(width)
-                for lang, joined in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    terms = joined.split()
-                    left = _left(lang, terms, above)
-                    terms = [term for term, stays in zip(terms, left) if stays]
-                    found, first = np.unique(own.of(lang, terms), return_index=True)
-                    longer = np.fromiter((len(term) > width for term in terms), bool, len(terms))
-                    hashes.append(found)
-                    cuts.append(longer[first])
-                    held += len(found)
-                    if held >= BUFFER:
-                        yield combined(hashes, cuts)
-                        hashes, cuts, held = [], [], 0
+        hashes, docs, cuts, held = [], [], [], 0
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                some = _Terms(*row, level)
+                if not some.terms:
+                    continue
+                longer = some.longer(width)
+                found, place = np.unique(some.hashes(width), return_inverse=True)
+                pairs = some.docs * len(found) + place[some.numbers]
+                pairs = np.unique(pairs)  # a document counts once for all its terms of a prefix
+                cut = np.zeros(len(found), dtype=bool)
+                cut[place[longer]] = True
+                hashes.append(found)
+                docs.append(np.bincount(pairs % len(found), minlength=len(found)))
+                cuts.append(cut)
+                held += len(found)
+                if held >= BUFFER:
+                    yield combined(hashes, docs, cuts)
+                    hashes, docs, cuts, held = [], [], [], 0
         if held:
-            yield combined(hashes, cuts)
+            yield combined(hashes, docs, cuts)
 
     return rows
 
 
-def _left_terms(levels):
-    """(lang, source, term, documents, occurrences) of the terms left, combined in the task."""
+def _left_counts(level):
+    """(lang, source, hash of a term, documents, occurrences) of the terms left, combined in
+    the task. Terms that the last level cuts are none of them."""
+    names = ["lang", "source", "hash", "docs", "count"]
 
-    def combined(found):
-        keys = list(found)
-        columns = [pa.array([key[i] for key in keys]) for i in range(2)]
+    def combined(groups, hashes, codes, counts):
+        hashes, codes, counts = (np.concatenate(c) for c in (hashes, codes, counts))
+        order = np.lexsort((codes, hashes))
+        hashes, codes, counts = hashes[order], codes[order], counts[order]
+        first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (codes[1:] != codes[:-1])])
+        pairs = list(groups)
+        of = pa.array(codes[first])
         return pa.RecordBatch.from_arrays(
             [
-                *(column.cast(pa.string()) for column in columns),
-                pa.array([key[2].decode("utf-8", "replace") for key in keys], pa.string()),
-                pa.array([value[0] for value in found.values()], pa.int64()),
-                pa.array([value[1] for value in found.values()], pa.int64()),
+                *(pa.array([pair[i] for pair in pairs], pa.string()).take(of) for i in range(2)),
+                pa.array(hashes[first].view(np.int64)),
+                pa.array(np.diff(np.r_[first, len(hashes)])),
+                pa.array(np.add.reduceat(counts, first)),
             ],
-            ["lang", "source", "term", "docs", "count"],
+            names,
         )
 
     def rows(batches):
-        found: dict[tuple, list[int]] = {}
-        for whole in batches:
-            for batch in slices([whole]):
-                above = [(_Prefixes(w), kept) for w, kept in levels[-1:]]
-                for lang, source, joined, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                    terms = joined.split()
-                    left = np.flatnonzero(_left(lang, terms, above))
-                    counts = np.frombuffer(packed, np.int64)[left].tolist()
-                    for at, count in zip(left.tolist(), counts):
-                        sums = found.setdefault((lang, source, terms[at]), [0, 0])
-                        sums[0] += 1
-                        sums[1] += count
-                    if len(found) >= BUFFER // 4:
-                        yield combined(found)
-                        found = {}
-        if found:
-            yield combined(found)
+        groups: dict[tuple[str, str], int] = {}
+        hashes, codes, counts, held = [], [], [], 0
+        for batch in batches:
+            columns = [column.to_pylist() for column in batch.columns]
+            for lang, sources, terms, lengths, numbers, times in zip(*columns):
+                some = _Terms(lang, terms, lengths, numbers, level)
+                whole = ~some.longer(level[0])[some.numbers]
+                if not whole.any():
+                    continue
+                of = np.array([groups.setdefault((lang, source), len(groups)) for source in sources])
+                hashes.append(some.hashes(level[0])[some.numbers[whole]])
+                codes.append(of[some.docs[whole]])
+                counts.append(_unpacked(times)[some.kept][whole])
+                held += int(whole.sum())
+                if held >= 2 * BUFFER:
+                    yield combined(groups, hashes, codes, counts)
+                    hashes, codes, counts, held = [], [], [], 0
+        if held:
+            yield combined(groups, hashes, codes, counts)
+
+    return rows
+
+
+def _names(width: int, wanted: Filter):
+    """(lang, hash, term) of the terms that ``wanted`` may have, once in a task or so."""
+
+    def rows(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            for lang, terms, lengths, numbers in zip(*(column.to_pylist() for column in batch.columns)):
+                some = _Terms(lang, terms, lengths, numbers, (width, wanted))
+                if not some.terms:
+                    continue
+                hashes = some.hashes(width).view(np.int64).tolist()
+                fresh = [i for i, h in enumerate(hashes) if h not in seen and len(some.terms[i]) <= width]
+                seen.update(hashes[i] for i in fresh)
+                if len(seen) > BUFFER:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(fresh), pa.string()),
+                        pa.array([hashes[i] for i in fresh], pa.int64()),
+                        pa.array([some.terms[i].decode("utf-8", "replace") for i in fresh], pa.string()),
+                    ],
+                    ["lang", "hash", "term"],
+                )
 
     return rows
 
 
+_TERMS = ["lang", "terms", "lengths", "numbers"]
+
+
 def document_terms(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(``lang``, ``source``, ``terms``, ``counts``) of every document, packed."""
+    """The terms of all documents, packed."""
     whole = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (lang, source)]
     return map_arrow(
         df.select(*whole, F.col(text)),
         _document_terms,
-        "lang string, source string, terms binary, counts binary",
+        "lang string, sources array<string>, terms binary, lengths binary, numbers binary, counts binary",
     )
 
 
@@ -200,8 +275,8 @@ def refined(docs: DataFrame, least: int = LEAST, width: int = FIRST_WIDTH) -> li
     levels: list[tuple[int, Filter]] = []
     while True:
         counted = map_arrow(
-            docs.select("lang", "terms"),
-            _level_counts(width, list(levels)),
+            docs.select(*_TERMS),
+            _level_counts(width, levels[-1] if levels else None),
             "prefix bigint, docs bigint, cut boolean",
         )
         kept = stage(
@@ -217,18 +292,38 @@ def refined(docs: DataFrame, least: int = LEAST, width: int = FIRST_WIDTH) -> li
         width *= 2
 
 
-def kept_terms(docs: DataFrame, least: int = LEAST, levels: list | None = None) -> DataFrame:
-    """(``lang``, ``source``, ``term``, ``count``) of the kept terms that a source has; ``docs``
-    is what ``document_terms`` gives."""
-    levels = refined(docs, least) if levels is None else levels
+def kept_terms(docs: DataFrame, least: int = LEAST, levels: list | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``lang``, ``source``, ``hash``, ``count``) of the kept terms that a source has, and
+    (``lang``, ``hash``, ``term``); ``docs`` is what ``document_terms`` gives."""
+    width, left = (refined(docs, least) if levels is None else levels)[-1]
     counted = stage(
-        map_arrow(docs, _left_terms(levels), "lang string, source string, term string, docs bigint, count bigint")
-        .groupBy("lang", "source", "term")
+        map_arrow(
+            docs.select("lang", "sources", "terms", "lengths", "numbers", "counts"),
+            _left_counts((width, left)),
+            "lang string, source string, hash bigint, docs bigint, count bigint",
+        )
+        .groupBy("lang", "source", "hash")
         .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count")),
         "terms",
     )
-    enough = counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
-    return counted.drop("docs").join(enough.drop("docs"), ["lang", "term"]).select("lang", "source", "term", "count")
+    enough = stage(
+        counted.groupBy("lang", "hash").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs"),
+        "enough",
+    )
+    kept = counted.drop("docs").join(enough, ["lang", "hash"]).select("lang", "source", "hash", "count")
+    named = map_arrow(
+        docs.select(*_TERMS), _names(width, Filter(enough, "hash")), "lang string, hash bigint, term string"
+    )
+    alone = F.when(
+        F.count("*") > 1, F.raise_error(F.lit("two terms of one language have the same hash")).cast("string")
+    )
+    terms = (
+        named.distinct()
+        .join(enough, ["lang", "hash"])
+        .groupBy("lang", "hash")
+        .agg(F.coalesce(alone, F.first("term")).alias("term"))
+    )
+    return kept, terms
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -248,12 +343,12 @@ def divergence(p: Column, q: Column) -> Column:
 
 def _source_pairs(terms: DataFrame, groups: DataFrame, histogram: DataFrame) -> DataFrame:
     """Sum of the divergences of every source from every other one of its language."""
-    mine = terms.select("lang", "term", "source", "p", "zero")
+    mine = terms.select("lang", "hash", "source", "p", "zero")
     other = terms.select(
-        "lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("zero").alias("q_zero")
+        "lang", "hash", F.col("source").alias("item"), F.col("p").alias("q"), F.col("zero").alias("q_zero")
     )
     both = (
-        mine.join(other, ["lang", "term"])
+        mine.join(other, ["lang", "hash"])
         .where(F.col("source") != F.col("item"))
         .select(
             "lang",
@@ -308,13 +403,15 @@ def source_divergence(
     sources of its language by falling divergence (part ``pair``), and the ``ranks`` terms that
     it has most above the language's share (part ``term``). Runs several jobs."""
     docs = stage(document_terms(df, text, lang, source), "document-terms")
-    counted = stage(kept_terms(docs, least), "kept-terms")
-    whole = stage(counted.groupBy("lang", "term").agg(F.sum("count").alias("lang_count")), "language-terms")
+    counted, names = kept_terms(docs, least)
+    counted = stage(counted, "kept-terms")
+    whole = counted.groupBy("lang", "hash").agg(F.sum("count").alias("lang_count"))
+    whole = stage(whole.join(names, ["lang", "hash"]), "language-terms")
     langs = whole.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_count").alias("lang_total"))
     totals = counted.groupBy("lang", "source").agg(F.count("*").alias("distinct"), F.sum("count").alias("total"))
     nothing = F.lit(0).cast("bigint")
     groups = (
-        docs.select("lang", "source")
+        docs.select("lang", F.explode("sources").alias("source"))
         .distinct()
         .join(langs, "lang", "left")
         .join(totals, ["lang", "source"], "left")
@@ -324,12 +421,12 @@ def source_divergence(
     groups = stage(groups, "groups")
     sized = groups.select("lang", "source", "kept", "total", "lang_total", "zero")
     terms = counted.join(sized, ["lang", "source"]).withColumn("p", share(F.col("count"), F.col("total"), F.col("kept")))
-    terms = stage(terms.select("lang", "source", "term", "p", "zero", "kept", "lang_total"), "shares")
+    terms = stage(terms.select("lang", "source", "hash", "p", "zero", "kept", "lang_total"), "shares")
     histogram = stage(terms.groupBy("lang", "source", "p").agg(F.count("*").alias("terms")), "histogram")
 
     pairs = _source_pairs(terms, groups, histogram)
     above = (
-        terms.join(whole, ["lang", "term"])
+        terms.join(whole, ["lang", "hash"])
         .withColumn("q", share(F.col("lang_count"), F.col("lang_total"), F.col("kept")))
         .where(F.col("p") > F.col("q"))
         .select("lang", "source", F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
