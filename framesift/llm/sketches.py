@@ -146,13 +146,21 @@ def _matrix(packed: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.uint16).reshape(len(packed), COORDINATES)
 
 
-def _band_rows(batches):
-    for batch in batches:
-        keys = batch.column(0)
-        found = bands(_matrix(batch.column(1).to_pylist())) if len(keys) else np.zeros((0, 1), np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [_long(found.reshape(-1)), pa.array(np.repeat(np.asarray(keys), found.shape[1]))], ["band", "set_key"]
-        )
+def _band_rows(kept: Filter | None = None):
+    """(band, set) of every band, or of those that ``kept`` may have."""
+
+    def rows(batches):
+        for batch in batches:
+            keys = np.asarray(batch.column(0))
+            packed = batch.column(1).to_pylist()
+            found = bands(_matrix(packed)) if packed else np.zeros((0, 1), np.uint64)
+            names, found = np.repeat(keys, found.shape[1]), found.reshape(-1)
+            if kept is not None:
+                wanted = kept.has(found)
+                names, found = names[wanted], found[wanted]
+            yield pa.RecordBatch.from_arrays([_long(found), pa.array(names)], ["band", "set_key"])
+
+    return rows
 
 
 def likely_pairs(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, threshold: int):
@@ -315,9 +323,10 @@ def _verified(tasks: DataFrame, threshold: int, name: str) -> DataFrame:
 def candidate_clusters(sets: DataFrame, threshold: int, block_sets: int) -> DataFrame:
     """(``node``, ``root``): every set that is a candidate of another one, the smallest set of a
     cluster being its root, with a row of its own. ``sets`` has set_key, n and sketch."""
-    banded = map_arrow(sets.select("set_key", "sketch"), _band_rows, "band bigint, set_key bigint")
+    packed, row = sets.select("set_key", "sketch"), "band bigint, set_key bigint"
     several = (
-        banded.groupBy("band")
+        map_arrow(packed, _band_rows(), row)
+        .groupBy("band")
         .agg(
             F.count("*").alias("sets"),
             F.min("set_key").alias("first"),
@@ -328,7 +337,9 @@ def candidate_clusters(sets: DataFrame, threshold: int, block_sets: int) -> Data
         .agg(F.min("band").alias("band"))
     )
     several = stage(several.select("band", "sets", "first"), "bands")
-    members = stage(banded.join(several, "band"), "members")
+    # the bitmap only keeps bands of one set from being moved again
+    likely = map_arrow(packed, _band_rows(Filter(several, "band")), row)
+    members = stage(likely.join(several, "band"), "members")
     small = (
         members.where(F.col("sets") <= block_sets)
         .select("band", "set_key")
