@@ -25,6 +25,7 @@ not read. Ids that would not fit 4 bytes don't occur.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,6 +42,11 @@ from framesift.workspace import new_path, ship_package
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the pattern the rank files' vocabularies were made with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same pieces where no white space follows white space; without looking ahead it takes
+#: two thirds of the time.
+SINGLE_PATTERN = PATTERN.replace(r"|\s+(?!\S)|\s+", r"|\s")
+#: White space after white space, of any kind the patterns know.
+_SPACES = re.compile(r"\s\s")
 LENGTH = 256
 PER_SHARD = 1 << 14
 #: A task writes several shards, one after the other, beyond this many.
@@ -58,8 +64,15 @@ class Tokenizer:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.end = max(table.values()) + 1
         self.dtype = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
-        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-        self.ids, self.text = encoding.encode_ordinary, encoding.decode
+        self._any, self._single = (
+            tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+            for pattern in (PATTERN, SINGLE_PATTERN)
+        )
+        self.text = self._any.decode
+
+    def ids(self, text: str) -> list[int]:
+        encoding = self._any if _SPACES.search(text) else self._single
+        return encoding.encode_ordinary(text)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.ids(text), dtype=self.dtype).tobytes()
