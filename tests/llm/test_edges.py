@@ -292,7 +292,8 @@ def test_search_equals_brute_force(spark, edges, nothing):
                     want.append((-round(score, 6), key is None, key or 0))
             got = [(-r.score, r.id is None, r.id or 0) for r in sorted(found, key=lambda r: r.rank) if r["query"] == query]
             assert got == sorted(want)[:3]
-    assert search.by_example(docs, statistics, least_df=1).where("query = 6").count() == search.TERMS
+    assert search.by_example(docs, statistics, terms=8, least_df=1).where("query = 6").count() == 8
+    assert search.by_example(docs, statistics, least_df=1).where("query = 6").count() == len(set(rows[8]))
     none = search.Statistics(nothing.select(F.col("doc_id").alias("id"), "text"))
     assert (none.documents, none.mean) == (0, 1.0)
     assert search.top_k(nothing.select(F.col("doc_id").alias("id"), "text"), queries, none).count() == 0

@@ -107,3 +107,15 @@ def test_permutation(count):
     found = slots.permuted(np.arange(count), count, 5)
     assert sorted(found) == list(range(count))
     assert count < 100 or list(found) != list(slots.permuted(np.arange(count), count, 6))
+
+
+def test_tokens_are_those_of_the_full_pattern():
+    import random
+
+    tokenizer = slots.Tokenizer(open(slots.VOCABULARY, "rb").read())
+    draw, parts = random.Random(3), ["a", "don't", " ", "\n", "\t", " ", " ", "12", "é", "!?", "日本", "'s", "\x1c", "\r\n"]
+    for length in (1, 2, 3, 5, 9, 40):
+        for _ in range(200):
+            text = "".join(draw.choice(parts) for _ in range(length))
+            assert tokenizer.ids(text) == tokenizer._any.encode_ordinary(text)
+            assert tokenizer.decode(np.array(tokenizer.ids(text))) == text
