@@ -37,11 +37,18 @@ from framesift.operators.readers import RawFrameReader  # noqa: E402
 from framesift.operators.units import unit_rows  # noqa: E402
 from framesift.plans import captioning, runs  # noqa: E402
 from framesift.sinks import captions as sink  # noqa: E402
+from framesift.operators.models import FirstLastModel, Model  # noqa: E402
 from framesift.sources import archives, fetch  # noqa: E402
 from framesift.sources import manifest as M  # noqa: E402
-from framesift.sources.results import read_captions  # noqa: E402
-from framesift.streaming.incremental import arrived_captions, caption_arrivals  # noqa: E402
-from framesift.workspace import new_path, ship_package, write_text  # noqa: E402
+from framesift.sources import store as stores  # noqa: E402
+from framesift.sources.results import count_rows, read_captions  # noqa: E402
+from framesift.sources.storage import resolve  # noqa: E402
+from framesift.streaming.incremental import (  # noqa: E402
+    arrived_captions,
+    arrived_rejected,
+    caption_arrivals,
+)
+from framesift.workspace import new_path, ship_package, stage, write_text  # noqa: E402
 
 LIMIT = 100
 BATCH = 256
@@ -135,6 +142,36 @@ def list_labels(spark, sf_dir):
     ).distinct()
 
 
+def document_tree(spark, sf_dir):
+    """Documents in a folder for each source and language."""
+    root = new_path(spark, "tree")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    documents.write.partitionBy("source", "lang").parquet(root)
+    return root
+
+
+def listing_count(spark, sf_dir):
+    """Files of a written tree counted by label, beside the rows they hold."""
+    root = document_tree(spark, sf_dir)
+    files = M.list_assets(spark, root, ".parquet")
+    labelled = files.groupBy(A.class_label("path").alias("label")).agg(
+        F.count(F.lit(1)).alias("files"), F.min("length").alias("least")
+    )
+    rows = spark.read.parquet(root).groupBy(F.concat(F.lit("lang="), "lang").alias("label")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    return labelled.join(rows, "label").select("label", "rows", (F.col("least") > 0).alias("filled"))
+
+
+def listing_first(spark, sf_dir):
+    """The folder that the first file of a tree is in; the others needn't be listed."""
+    files = M.list_assets(spark, document_tree(spark, sf_dir), ".parquet", limit=1)
+    parents = F.regexp_extract("path", "source=([^/]*)/lang=([^/]*)/", 1)
+    return files.select(
+        parents.alias("source"), F.substring_index(A.class_label("path"), "=", -1).alias("lang")
+    )
+
+
 def manifest_scan(spark, sf_dir):
     path = new_path(spark, "manifest")
     M.write_manifest(page_manifest(spark, sf_dir), path)
@@ -169,6 +206,18 @@ def fetch_store_quarantine(spark, sf_dir):
     return described(fetch.fetch_from_store(manifest, *store, on_error="quarantine"), "error_type")
 
 
+def laid_out_pages(spark, sf_dir):
+    return stores.write_store(*secure_store(spark, sf_dir), new_path(spark, "store"), parts=4, buckets=2)
+
+
+def fetch_laid_out(spark, sf_dir):
+    """Pages from a store laid out by key: its content is neither shuffled nor sorted."""
+    store = laid_out_pages(spark, sf_dir)
+    counted = stage(M.count_copies(page_manifest(spark, sf_dir)), "wanted")
+    fetched = stores.fetch_from_parts(counted, store, range(store.parts), on_error="quarantine")
+    return described(fetched, "error_type")
+
+
 def fetch_store_copies(spark, sf_dir):
     """A manifest that lists every customer once per event of that user."""
     events = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias(M.URI))
@@ -240,6 +289,43 @@ def archive_members(spark, sf_dir):
     )
 
 
+def written_archives(spark, sf_dir):
+    """Pages in plain tar archives on shared storage, one per Arrow batch."""
+    ship_package(spark)
+    root = new_path(spark, "archives")
+
+    def pack(batches):
+        from pyspark import TaskContext
+
+        for number, batch in enumerate(batches):
+            name = f"{root}/{TaskContext.get().partitionId():05}-{number:05}.tar"
+            filesystem, path, _ = resolve(name)
+            filesystem.create_dir(path.rpartition("/")[0], recursive=True)
+            with filesystem.open_output_stream(path) as out:
+                with tarfile.open(fileobj=out, mode="w|") as archive:
+                    for member, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                        entry = tarfile.TarInfo(member)
+                        entry.size = len(data)
+                        archive.addfile(entry, io.BytesIO(data))
+            yield pa.record_batch({"path": [name]})
+
+    contents = table(spark, sf_dir, "pages").select(
+        member_name().alias("name"), F.col("html").cast("binary").alias("data")
+    )
+    return stage(contents.mapInArrow(pack, "path string"), "archive-names")
+
+
+def archive_ranges(spark, sf_dir):
+    """Archives read by the places of their members, in pieces of 64 KB."""
+    index = stage(archives.index_members(written_archives(spark, sf_dir), ".html"), "member-index")
+    members = archives.read_members(index, task_bytes=1 << 16)
+    return members.select(
+        "member",
+        F.octet_length("bytes").cast("bigint").alias("n_bytes"),
+        F.md5("bytes").alias("md5"),
+    )
+
+
 def archive_target(spark, sf_dir):
     """Sources of documents as archives, taken until enough members exist."""
     counts = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("archive")).agg(
@@ -376,6 +462,33 @@ def decode_text_assets(spark, sf_dir):
     )
 
 
+def written_documents(spark, sf_dir):
+    """Documents in files of their own on shared storage, and the paths of these."""
+    ship_package(spark)
+    root = new_path(spark, "texts")
+
+    def write(batches):
+        filesystem, folder, _ = resolve(root)
+        filesystem.create_dir(folder, recursive=True)
+        for batch in batches:
+            names = [f"{number}.txt" for number in batch.column(0).to_pylist()]
+            for name, text in zip(names, batch.column(1).to_pylist()):
+                with filesystem.open_output_stream(f"{folder}/{name}") as out:
+                    out.write(text.encode("utf-8"))
+            yield pa.record_batch({"path": [f"{root}/{name}" for name in names]})
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return stage(documents.mapInArrow(write, "path string"), "document-paths")
+
+
+def decode_opened(spark, sf_dir):
+    """Assets opened by path in the task that decodes them, and read by ranges."""
+    decoded = readable(decode_assets(written_documents(spark, sf_dir)))
+    return decoded.select(
+        "video_id", F.array_join("frames", "|").alias("units"), "num_frames", "duration_sec"
+    )
+
+
 def decode_frames(spark, sf_dir):
     """Embeddings as raw video: 16 frames of 2 by 2 grey pixels. Labels below 5
     declare no frame count; label 9 declares twice the frames there are."""
@@ -438,6 +551,22 @@ def caption_request(spark, sf_dir):
     return caption_requests(word_assets(spark, sf_dir).drop("doc_id"), batch_size=BATCH)
 
 
+class BusyEngine:
+    """A stand-in engine that answers several lists of requests at a time."""
+
+    in_flight = 4
+
+    def generate(self, requests):
+        units = [r["multi_modal_data"]["image"] for r in requests]
+        return FirstLastModel()({"num_frames": [r["num_frames"] for r in requests], "frames": units})
+
+
+def caption_in_flight(spark, sf_dir):
+    """Requests that an engine answers out of order, with four calls at work."""
+    assets = word_assets(spark, sf_dir).drop("doc_id")
+    return caption_requests(assets, Model("busy", BusyEngine), batch_size=BATCH)
+
+
 def build_request(spark, sf_dir):
     return build_requests(word_assets(spark, sf_dir)).select(
         "doc_id",
@@ -488,7 +617,7 @@ def preview_rows(spark, sf_dir):
 def result_count(spark, sf_dir):
     path = new_path(spark, "captions")
     sink.write_captions(caption_batch(spark, sf_dir), path)
-    return read_captions(spark, path).agg(F.count(F.lit(1)).alias("rows"))
+    return spark.createDataFrame([(count_rows(spark, path),)], "rows bigint")
 
 
 def whole_run(spark, sf_dir, **settings):
@@ -511,6 +640,46 @@ def run_captions_staged(spark, sf_dir):
     return read_captions(spark, whole_run(spark, sf_dir, placement="staged"))
 
 
+def run_captions_laid_out(spark, sf_dir):
+    """Every shard reads its own parts of a store that was laid out before."""
+    output = new_path(spark, "run")
+    store, manifest = laid_out_pages(spark, sf_dir), page_manifest(spark, sf_dir)
+    captioning.run(spark, manifest, output, RUN, store=store, shards=2)
+    return read_captions(spark, output)
+
+
+def run_statistics(spark, sf_dir):
+    """What the shards of a run counted while they were written."""
+    output = new_path(spark, "run")
+    manifest, store = page_manifest(spark, sf_dir), secure_store(spark, sf_dir)
+    stats = captioning.run(spark, manifest, output, RUN, store=store, shards=3)
+    counted = captioning.read_statistics(spark, stats["ledger"])
+    sums = [F.sum(c).alias(c) for c in ("rows", "captioned", "rejected", "units", "caption_chars")]
+    return counted.agg(*sums, F.round(F.sum("asset_sec"), 3).alias("asset_sec"))
+
+
+def resumed_run(spark, sf_dir):
+    """A run that stops at the first page that isn't in the store, begun again so that such
+    pages are set aside. The shards that it had finished are kept."""
+    output, manifest = new_path(spark, "run"), page_manifest(spark, sf_dir)
+    store = secure_store(spark, sf_dir)
+    strict = replace(RUN, on_fetch_error="fail")
+    try:
+        captioning.run(spark, manifest, output, strict, store=store, shards=3, run_id="again")
+    except Exception as problem:
+        if "not in the store" not in str(problem):
+            raise
+    captioning.run(spark, manifest, output, replace(RUN, write_mode="overwrite"), store=store, shards=3, run_id="again")
+    return read_captions(spark, output)
+
+
+def variety_gate(spark, sf_dir):
+    """Languages whose captions are too much alike, by sketches of their sources."""
+    shown = F.when(F.col("lang") == "en", F.lit("a person")).otherwise(F.concat_ws(" ", "video_id", "source"))
+    captions = word_assets(spark, sf_dir, "lang", "source").select("lang", "source", shown.alias("caption"))
+    return quality.variety_gate(captions, ["source"], ["lang"])
+
+
 def run_rejected(spark, sf_dir):
     return spark.read.parquet(whole_run(spark, sf_dir) + "_rejected")
 
@@ -526,6 +695,41 @@ def incremental_captions(spark, sf_dir):
     return arrived_captions(spark, output)
 
 
+def arriving(spark, manifests, store, kind="csv", **settings):
+    """Frames written one after the other as manifests, each followed by a start of the
+    stream; the folder of the results."""
+    folder, output, checkpoint = (new_path(spark, n) for n in ("arrivals", "captions", "progress"))
+    for manifest in manifests:
+        writer = manifest.write.mode("append")
+        writer.parquet(folder) if kind == "parquet" else writer.csv(folder, **M.CSV_OPTIONS)
+        caption_arrivals(spark, folder, output, checkpoint, RUN, store, kind=kind, **settings).awaitTermination()
+    return output
+
+
+def incremental_rejected(spark, sf_dir):
+    manifest = page_manifest(spark, sf_dir)
+    return arrived_rejected(spark, arriving(spark, [manifest], secure_store(spark, sf_dir)))
+
+
+def incremental_wide_manifest(spark, sf_dir):
+    """Manifests with a label and a number beside the URI, as CSV and as Parquet."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias(M.URI), F.lit("x").alias("label"))
+    even, store = F.col("page_id") % 2 == 0, page_store(spark, sf_dir)
+    outputs = [
+        arriving(spark, [pages.where(even)], store),
+        arriving(spark, [pages.where(~even)], store, "parquet"),
+    ]
+    return arrived_captions(spark, outputs[0]).unionByName(arrived_captions(spark, outputs[1]))
+
+
+def incremental_repeats(spark, sf_dir):
+    """Secure pages arrive twice, once by themselves and once with all others, and are
+    captioned once."""
+    manifest = page_manifest(spark, sf_dir)
+    secure = manifest.where(F.startswith(M.URI, F.lit("https:")))
+    return arrived_captions(spark, arriving(spark, [secure, manifest], page_store(spark, sf_dir), repeats="skip"))
+
+
 def remaining_manifest(spark, sf_dir):
     done = secure_store(spark, sf_dir)[0].select(F.col("url").alias("path"))
     return M.remaining(page_manifest(spark, sf_dir), done)
@@ -614,18 +818,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
-        manifest_from_listing, list_labels, manifest_scan, manifest_scan_limit, limit_first_n,
-        fetch_from_store, fetch_store_quarantine, fetch_store_copies, fetch_binary,
-        fetch_quarantine, archive_members, archive_target, result_readback,
+        manifest_from_listing, list_labels, listing_count, listing_first, manifest_scan, manifest_scan_limit, limit_first_n,
+        fetch_from_store, fetch_laid_out, fetch_store_quarantine, fetch_store_copies, fetch_binary,
+        fetch_quarantine, archive_members, archive_ranges, archive_target, result_readback,
         asset_id, even_positions, position_gaps, pad_array, pick_even_items, pick_truncated,
         frame_count_fallback, asset_probe, strip_text, final_projection,
-        drop_failed, dead_letters, decode_text_assets, decode_frames, sample_words,
+        drop_failed, dead_letters, decode_text_assets, decode_opened, decode_frames,
+        sample_words,
         sample_word_rows, sample_turns, sample_events, sample_events_hot,
-        caption_batch, caption_request, build_request, backend_agreement, caption_documents,
+        caption_batch, caption_request, caption_in_flight, build_request, backend_agreement, caption_documents,
         caption_fetched, write_and_read, preview_rows, result_count, run_captions,
-        run_captions_request, run_captions_staged, run_rejected, incremental_captions, remaining_manifest,
+        run_captions_request, run_captions_staged, run_captions_laid_out, run_rejected, run_statistics,
+        resumed_run, incremental_captions, incremental_rejected, incremental_wide_manifest,
+        incremental_repeats, remaining_manifest,
         shard_and_merge, run_throughput, backend_pivot, sweep_grid, sweep_best,
-        caption_variety, caption_bleu, caption_cider,
+        caption_variety, variety_gate, caption_bleu, caption_cider,
     ]
     found = {query.__name__: query for query in registered}
     if _LLM:
@@ -792,6 +999,9 @@ def oracle_sql() -> dict[str, str]:
     counts = {
         "manifest_from_listing": "SELECT url AS video_uri FROM pages WHERE lower(url) LIKE '%.html'",
         "list_labels": "SELECT DISTINCT 'lang=' || lang AS label, true AS matches FROM documents",
+        "listing_count": """
+            SELECT 'lang=' || lang AS label, count(*) AS rows, true AS filled FROM documents GROUP BY lang""",
+        "listing_first": "SELECT source, lang FROM documents ORDER BY 'source=' || source || '/', lang LIMIT 1",
         "manifest_scan": "SELECT url AS video_uri FROM pages",
         "limit_first_n": f"SELECT url AS video_uri FROM pages ORDER BY url LIMIT {LIMIT}",
         "fetch_from_store": f"SELECT url AS path, {fetched} FROM pages",
@@ -867,6 +1077,8 @@ def oracle_sql() -> dict[str, str]:
                    {text_duration} AS duration_sec
             FROM ({_WORDS}) JOIN (SELECT doc_id, text FROM documents) USING (doc_id)
             WHERE {fits}""",
+        "decode_opened": f"""
+            SELECT video_id, array_to_string(frames, '|') AS units, num_frames, duration_sec FROM ({_WORDS})""",
         "decode_frames": f"""
             SELECT CAST(vec_id AS VARCHAR) AS video_id, {frames}::BIGINT AS num_frames,
                    2.0::DOUBLE AS duration_sec, CAST(slot AS INTEGER) AS slot,
@@ -907,6 +1119,18 @@ def oracle_sql() -> dict[str, str]:
         "run_captions": f"""
             SELECT video_id, {_CAPTION} AS caption, num_frames, duration_sec
             FROM ({_PAGES}) WHERE url LIKE 'https:%'""",
+        "run_statistics": f"""
+            SELECT count(*) AS rows, count(*) FILTER (url LIKE 'https:%') AS captioned,
+                   count(*) FILTER (url NOT LIKE 'https:%') AS rejected,
+                   CAST(sum(num_frames) FILTER (url LIKE 'https:%') AS BIGINT) AS units,
+                   CAST(sum(length({_CAPTION})) FILTER (url LIKE 'https:%') AS BIGINT) AS caption_chars,
+                   round(sum(duration_sec) FILTER (url LIKE 'https:%'), 3) AS asset_sec
+            FROM ({_PAGES})""",
+        "variety_gate": """
+            SELECT lang, count(*) AS captions, count(DISTINCT caption)::DOUBLE / count(*) < 0.5 AS degenerate
+            FROM (SELECT lang, CASE WHEN lang = 'en' THEN 'a person'
+                                    ELSE concat_ws(' ', doc_id, source) END AS caption FROM documents)
+            GROUP BY lang""",
         "run_rejected": f"""
             SELECT url AS path, video_id, 'not_found' AS error_type
             FROM ({_PAGES}) WHERE url NOT LIKE 'https:%'""",
@@ -945,6 +1169,14 @@ def oracle_sql() -> dict[str, str]:
         "sample_events_hot": "sample_events",
         "caption_request": "caption_batch",
         "caption_documents": "caption_batch",
+        "fetch_laid_out": "fetch_store_quarantine",
+        "archive_ranges": "archive_members",
+        "caption_in_flight": "caption_batch",
+        "run_captions_laid_out": "run_captions",
+        "resumed_run": "run_captions",
+        "incremental_rejected": "run_rejected",
+        "incremental_wide_manifest": "incremental_captions",
+        "incremental_repeats": "incremental_captions",
         "run_captions_request": "run_captions",
         "run_captions_staged": "run_captions",
     }

@@ -62,6 +62,10 @@ class RunConfig:
     """``fail``: an asset that cannot be fetched stops the job.
     ``quarantine``: it goes to the rejected table."""
 
+    min_variety: float = 0.0
+    """Least share of distinct captions among a run's captions. A run below it is held
+    back: nothing is published and ``HeldBack`` says why. 0 lets every run pass."""
+
     write_mode: str = "errorifexists"
     output_subdir: str = "captions"
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from framesift.config import MAX_NEW_TOKENS, NUM_UNITS, PROMPT
 from framesift.functions.assets import asset_id, strip_text
 from framesift.operators.models import Model, get_model, loaded
-from framesift.operators.readers import error_type, get_reader, sample_asset
+from framesift.operators.readers import attempt_sample, get_reader
 from framesift.sources.results import CAPTION_COLUMNS
 from framesift.sources.storage import open_uri
 from framesift.workspace import ship_package
@@ -79,21 +80,31 @@ def _captioned(
     units: Callable[[pa.Table], pa.ChunkedArray],
     ask: Callable,
     profile,
+    at_once: Callable = lambda answer: 1,
 ) -> DataFrame:
     """Captions of the rows ``shown`` to the model, beside what ``decoded`` holds but
     its units. ``units`` finds these in a table; ``ask`` makes of the loaded model a
-    function from a table to its texts."""
+    function from a table to its texts; ``at_once`` says how many tables it takes at a time."""
     ship_package(decoded.sparkSession)
     kept = [field for field in decoded.schema.fields if field.name != "frames"]
     names = [field.name for field in kept]
 
     def caption(batches):
         answer = None
+
+        def finish(table):
+            return table.select(names).append_column("caption", _answer_readable(table, units(table), answer))
+
+        def finished():
+            nonlocal answer
+            tables = rebatch(batches, batch_size)
+            for table in tables:
+                answer = ask(loaded(model))
+                yield from in_flight(finish, itertools.chain([table], tables), at_once(loaded(model)))
+
         done: list[pa.Table] = []
-        for table in rebatch(batches, batch_size):
-            answer = answer or ask(loaded(model))
-            texts = _answer_readable(table, units(table), answer)
-            done.append(table.select(names).append_column("caption", texts))
+        for part in finished():
+            done.append(part)
             if sum(part.num_rows for part in done) >= _OUT_ROWS:
                 yield from pa.concat_tables(done).combine_chunks().to_batches()
                 done = []
@@ -106,6 +117,28 @@ def _captioned(
     return captioned.withColumn("caption", strip_text("caption")).select(*extra, *CAPTION_COLUMNS)
 
 
+def in_flight(function: Callable, items: Iterable, window: int) -> Iterator:
+    """Results in order of completion, with ``window`` calls at work as long as items are left.
+
+    A slow call keeps none of the others waiting: whenever one ends, the next item is
+    taken before the result is handed on. No more than ``window`` items are held.
+    """
+    if window <= 1:
+        yield from map(function, items)
+        return
+    items = iter(items)
+    pool = ThreadPoolExecutor(max_workers=window)
+    try:
+        waiting = {pool.submit(function, item) for item in itertools.islice(items, window)}
+        while waiting:
+            done, waiting = wait(waiting, return_when=FIRST_COMPLETED)
+            waiting |= {pool.submit(function, item) for item in itertools.islice(items, len(done))}
+            for call in done:
+                yield call.result()
+    finally:
+        pool.shutdown(wait=False, cancel_futures=True)
+
+
 def _answer_readable(table: pa.Table, units: pa.ChunkedArray, answer: Callable) -> pa.Array:
     """One text per row of ``table``, null where there are no units to show the model."""
     readable = units.is_valid()
@@ -152,7 +185,9 @@ def caption_requests(
     """Request backend: rows become requests, an engine answers them, and the result
     columns are projected back. Same result as ``caption_batches``.
 
-    An engine has ``generate`` and gets lists of request dicts. A plain model gets its
+    An engine has ``generate`` and gets lists of request dicts. If it has ``in_flight``, it
+    takes that many lists at a time, from threads of their own, and is given the next one as
+    soon as any is answered; rows then come as they are answered. A plain model gets its
     usual batch, with the units taken out of the requests.
     """
     requests = build_requests(decoded, num_units, prompt)
@@ -171,7 +206,10 @@ def caption_requests(
 
         return ask_model
 
-    return _captioned(decoded, requests, get_model(model), batch_size, units, ask, profile)
+    def at_once(answer):
+        return getattr(answer, "in_flight", 1) if hasattr(answer, "generate") else 1
+
+    return _captioned(decoded, requests, get_model(model), batch_size, units, ask, profile, at_once)
 
 
 def read_ahead(function: Callable, items: Iterable, threads: int) -> Iterator:
@@ -214,28 +252,16 @@ def caption_assets(
     assets = assets.withColumn("video_id", asset_id("path"))
     columns = [c for c in ("path", "video_id", "bytes", "error_type") if c in assets.columns]
 
+    opening = None if "bytes" in columns else opener
+
     def sample(row):
         """The row as the model wants it, or with an error type."""
-        path = row["path"]
         if row.get("error_type") is not None:
             return row
-        try:
-            data = row.pop("bytes") if "bytes" in row else _read(opener, path)
-        except MemoryError:
-            raise  # says nothing about the asset
-        except Exception as problem:
-            if on_fetch_error == "fail":
-                raise RuntimeError(f"cannot fetch {path!r}") from problem
-            return row | {"error_type": "fetch_failed:" + type(problem).__name__}
-        try:
-            frames, total, duration = sample_asset(reader, data, num_samples)
-        except MemoryError:
-            raise  # says nothing about the asset
-        except Exception as problem:
-            if on_error == "fail":
-                raise RuntimeError(f"cannot decode {path!r}") from problem
-            return row | {"error_type": error_type(problem)}
-        return row | {"frames": frames, "num_frames": total, "duration_sec": duration}
+        data = row.pop("bytes", None)
+        return row | attempt_sample(
+            reader, row["path"], data, opening, num_samples, on_fetch_error, on_error
+        )
 
     def caption(batches):
         rows = (
@@ -262,11 +288,6 @@ def caption_assets(
     return captioned.withColumn("caption", strip_text("caption"))
 
 
-def _read(opener: Callable, path: str) -> bytes:
-    with opener(path) as stream:
-        return stream.read()
-
-
 def _answered(answer: Callable, rows: list[dict]) -> Iterator[dict]:
     """The rows with their captions and without their units."""
     fields = ("video_id", "frames", "num_frames", "duration_sec")

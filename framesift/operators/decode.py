@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from framesift.config import NUM_UNITS
 from framesift.functions.assets import asset_id
-from framesift.operators.readers import error_type, get_reader, sample_asset
+from framesift.operators.readers import attempt_sample, get_reader
 from framesift.sources.fetch import BATCH_BYTES
 from framesift.sources.storage import open_uri
 from framesift.workspace import ship_package
@@ -31,7 +31,8 @@ def decode_assets(
     duration_sec, error_type``.
 
     Without a column ``bytes`` the task opens the path itself, so that an asset of any
-    size is read, and ``on_fetch_error`` says what becomes of one that can't be opened.
+    size is read, of which a ranged reader reads no more than it needs, and
+    ``on_fetch_error`` says what becomes of one that can't be opened or read.
     Unreadable assets keep their row, with an error type and null units, or stop the
     job if ``on_error`` is ``fail``. A row with an ``error_type`` from the fetch passes
     through unread. Frames are large; where
@@ -51,40 +52,19 @@ def decode_assets(
     )
 
     given = "bytes" in fetched.columns
-
-    def content(batch, i, path):
-        if given:
-            return batch.column(2)[i].as_py(), None
-        try:
-            with opener(path) as stream:
-                return stream.read(), None
-        except MemoryError:
-            raise  # says nothing about the asset
-        except Exception as problem:
-            if on_fetch_error == "fail":
-                raise RuntimeError(f"cannot fetch {path!r}") from problem
-            return None, "fetch_failed:" + type(problem).__name__
+    opening = None if given else opener
 
     def decode(batches):
         rows, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 row = dict.fromkeys(schema.names)
-                row["path"] = batch.column(0)[i].as_py()
+                row["path"] = path = batch.column(0)[i].as_py()
                 row["error_type"] = batch.column(1)[i].as_py()
                 if row["error_type"] is None:
-                    data, row["error_type"] = content(batch, i, row["path"])
-                if row["error_type"] is None:
-                    try:
-                        units, total, duration = sample_asset(reader, data, num_samples)
-                        row.update(frames=units, num_frames=total, duration_sec=duration)
-                        size += sum(map(len, units))
-                    except MemoryError:
-                        raise  # says nothing about the asset
-                    except Exception as problem:
-                        if on_error == "fail":
-                            raise RuntimeError(f"cannot decode {row['path']!r}") from problem
-                        row["error_type"] = error_type(problem)
+                    data = batch.column(2)[i].as_py() if given else None
+                    row |= attempt_sample(reader, path, data, opening, num_samples, on_fetch_error, on_error)
+                    size += sum(map(len, row["frames"] or ()))
                 rows.append(row)
                 if size >= BATCH_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)

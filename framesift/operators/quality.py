@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framesift.operators.ordering import join_groups
 from framesift.workspace import stage
 
 
@@ -55,6 +56,52 @@ def caption_variety(captions: DataFrame, by: Sequence[str] = (), least: float =
     )
 
 
+#: Logarithm of a caption sketch's size; its standard error is 1.04 / 2 ** (SKETCH_SIZE / 2).
+SKETCH_SIZE = 14
+#: Standard errors by which an estimate must differ from the threshold to decide alone.
+SURE = 6.0
+
+
+def caption_sketch(caption="caption") -> Column:
+    """Aggregate: a sketch of the distinct captions, mergeable over shards and runs."""
+    return F.hll_sketch_agg(caption, SKETCH_SIZE)
+
+
+def sketched_variety(sketches: DataFrame, by: Sequence[str] = (), least: float = 0.5) -> DataFrame:
+    """Whether captions are degenerate, from the sketches of their parts alone.
+
+    ``sketches`` has ``captions``, a count, and ``sketch``, one row for each part of a group.
+    ``degenerate`` is null where the estimate is too near the threshold to tell.
+    """
+    merged = sketches.groupBy(*by).agg(
+        F.sum("captions").alias("captions"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate"),
+    )
+    error = SURE * 1.04 / 2 ** (SKETCH_SIZE / 2)
+    wanted, found = least * F.col("captions"), F.col("distinct_estimate")
+    degenerate = F.when(found * (1 + error) < wanted, True).when(found * (1 - error) > wanted, False)
+    return merged.withColumn("degenerate", F.when(F.col("captions") == 0, False).otherwise(degenerate))
+
+
+def variety_gate(
+    captions: DataFrame, parts: Sequence[str], by: Sequence[str] = (), least: float = 0.5
+) -> DataFrame:
+    """``captions`` and ``degenerate`` of every group in ``by``, as ``caption_variety`` finds
+    it, but counted exactly only for groups whose sketches can't tell. ``parts`` are the
+    columns that a group's sketches are made by, such as the shard."""
+    sketches = captions.groupBy(*by, *parts).agg(
+        F.count(F.lit(1)).alias("captions"), caption_sketch().alias("sketch")
+    )
+    told = stage(sketched_variety(sketches, by, least), "variety")
+    unsure = told.where(F.col("degenerate").isNull()).select(*by, F.lit(True).alias("_unsure"))
+    sure = told.where(F.col("degenerate").isNotNull()).select(*by, "captions", "degenerate")
+    if unsure.isEmpty():
+        return sure
+    near = join_groups(captions, unsure, by) if by else captions
+    exact = caption_variety(near, by, least).select(*by, "captions", "degenerate")
+    return sure.unionByName(exact)
+
+
 def tokens(text) -> Column:
     """Lower-case words between single spaces."""
     return F.split(F.lower(text), " ")

@@ -9,12 +9,17 @@ A reader is a picklable object with
 * ``units(data)``: the units in order, as a sequence where any can be had at once, or
   as an iterator, which is read up to the last one wanted,
 * ``keep(unit)``: the stored form of a unit that was sampled.
+
+``data`` is the asset's bytes. A reader with a true ``ranged`` gets a
+``sources.ranges.Ranges`` where an asset is opened by path, and reads from it what it needs:
+the last wanted unit ends the reading, and an asset may be longer than memory or a column.
 """
 
 from __future__ import annotations
 
+import codecs
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import islice
@@ -22,6 +27,7 @@ from itertools import islice
 import numpy as np
 
 from framesift.config import FRAME_SIZE
+from framesift.sources.ranges import FetchError, Ranges, ranges_of, read_whole
 
 
 class Unreadable(Exception):
@@ -46,6 +52,43 @@ def sample_asset(reader, data: bytes, num_samples: int):
     return sampled, total, float(duration)
 
 
+def sample_fetched(reader, path: str, data: bytes | None, opener: Callable | None, num_samples: int):
+    """``sample_asset`` of the bytes given, or of what ``opener`` opens at ``path``. A storage
+    that fails raises ``FetchError``, whatever the reader was doing."""
+    if opener is not None:
+        try:
+            stream = opener(path)
+        except MemoryError:
+            raise  # says nothing about the asset
+        except Exception as problem:
+            raise FetchError(type(problem).__name__) from problem
+        with stream:
+            if getattr(reader, "ranged", False):
+                return sample_asset(reader, ranges_of(stream), num_samples)
+            data = read_whole(stream)
+    return sample_asset(reader, data, num_samples)
+
+
+def attempt_sample(
+    reader, path: str, data: bytes | None, opener: Callable | None, num_samples: int, on_fetch_error: str, on_error: str
+) -> dict:
+    """``frames``, ``num_frames`` and ``duration_sec`` of an asset, or its ``error_type``,
+    unless the settings want the job to fail."""
+    try:
+        frames, total, duration = sample_fetched(reader, path, data, opener, num_samples)
+    except MemoryError:
+        raise  # says nothing about the asset
+    except FetchError as problem:
+        if on_fetch_error == "fail":
+            raise RuntimeError(f"cannot fetch {path!r}") from problem
+        return {"error_type": f"fetch_failed:{problem}"}
+    except Exception as problem:
+        if on_error == "fail":
+            raise RuntimeError(f"cannot decode {path!r}") from problem
+        return {"error_type": error_type(problem)}
+    return {"frames": frames, "num_frames": total, "duration_sec": duration}
+
+
 def _found(units, wanted: list[tuple[int, int]]) -> Iterator[tuple]:
     """The wanted units that exist, each with its number of slots."""
     if hasattr(units, "__getitem__"):
@@ -74,20 +117,46 @@ def error_type(problem: Exception) -> str:
 
 @dataclass(frozen=True)
 class TextReader:
-    """UTF-8 text; its units are the words between single spaces."""
+    """UTF-8 text; its units are the words between single spaces. A long text is read twice
+    from the front, to be counted and up to its last wanted word, piece by piece."""
 
     chars_per_second: int = 25
     unit_type = "string"
+    ranged = True
 
-    def probe(self, data: bytes) -> tuple[int, float]:
-        text = data.decode("utf-8")
-        return (text.count(" ") + 1 if text else 0), len(text) / self.chars_per_second
-
-    def count(self, data: bytes) -> int:
+    @staticmethod
+    def _pieces(data: bytes | Ranges) -> Iterator[str]:
+        if not isinstance(data, Ranges):
+            yield data.decode("utf-8")
+            return
+        decoder = codecs.getincrementaldecoder("utf-8")()
+        for piece in data.pieces():
+            yield decoder.decode(piece)
+        yield decoder.decode(b"", final=True)
+
+    def probe(self, data: bytes | Ranges) -> tuple[int, float]:
+        spaces = chars = 0
+        for text in self._pieces(data):
+            spaces += text.count(" ")
+            chars += len(text)
+        return (spaces + 1 if chars else 0), chars / self.chars_per_second
+
+    def count(self, data: bytes | Ranges) -> int:
         return 0
 
-    def units(self, data: bytes) -> list[str]:
-        return data.decode("utf-8").split(" ")
+    def units(self, data: bytes | Ranges) -> list[str] | Iterator[str]:
+        return self._words(data) if isinstance(data, Ranges) else data.decode("utf-8").split(" ")
+
+    def _words(self, data: Ranges) -> Iterator[str]:
+        begun: list[str] = []
+        for text in self._pieces(data):
+            first, *others = text.split(" ")
+            begun.append(first)
+            if others:
+                yield "".join(begun)
+                yield from others[:-1]
+                begun = others[-1:]
+        yield "".join(begun)
 
     def keep(self, unit: str) -> str:
         return unit
@@ -98,6 +167,27 @@ _RAW_HEADER = struct.Struct("<4sIIIIqII")
 _RAW_MAGIC = b"RAWF"
 
 
+def _part(data: bytes | Ranges, start: int, length: int) -> bytes:
+    if isinstance(data, Ranges):
+        return data.read_at(start, length)
+    return data[start : start + length]
+
+
+class RawFrames(Sequence):
+    """The frames of one asset, each read when it is asked for."""
+
+    def __init__(self, data: bytes | Ranges, shape: tuple[int, int, int], count: int):
+        self._data, self._shape, self._count = data, shape, count
+
+    def __len__(self) -> int:
+        return self._count
+
+    def __getitem__(self, at: int) -> np.ndarray:
+        length = int(np.prod(self._shape))
+        frame = _part(self._data, _RAW_HEADER.size + at * length, length)
+        return np.frombuffer(frame, np.uint8).reshape(self._shape)
+
+
 @dataclass(frozen=True)
 class RawFrameReader:
     """Uncompressed 8-bit frames behind a fixed header; kept frames are resized to a
@@ -105,6 +195,7 @@ class RawFrameReader:
 
     size: int = FRAME_SIZE
     unit_type = "binary"
+    ranged = True
 
     @staticmethod
     def pack(frames: np.ndarray, declared: int, ticks: int, num: int = 1, den: int = 1) -> bytes:
@@ -112,24 +203,23 @@ class RawFrameReader:
         header = _RAW_HEADER.pack(_RAW_MAGIC, width, height, channels, declared, ticks, num, den)
         return header + frames.astype(np.uint8).tobytes()
 
-    def _shape(self, data: bytes):
-        magic, width, height, channels, declared, ticks, num, den = _RAW_HEADER.unpack_from(data)
+    def _shape(self, data: bytes | Ranges):
+        header = _part(data, 0, _RAW_HEADER.size)
+        magic, width, height, channels, declared, ticks, num, den = _RAW_HEADER.unpack_from(header)
         if magic != _RAW_MAGIC:
             raise Unreadable("not_raw_frames")
         return (height, width, channels), declared, (ticks * num / den if ticks >= 0 else 0.0)
 
-    def probe(self, data: bytes) -> tuple[int, float]:
+    def probe(self, data: bytes | Ranges) -> tuple[int, float]:
         _, declared, duration = self._shape(data)
         return declared, duration
 
-    def count(self, data: bytes) -> int:
+    def count(self, data: bytes | Ranges) -> int:
         shape, _, _ = self._shape(data)
         return (len(data) - _RAW_HEADER.size) // int(np.prod(shape))
 
-    def units(self, data: bytes) -> np.ndarray:
-        shape, _, _ = self._shape(data)
-        size = self.count(data) * int(np.prod(shape))
-        return np.frombuffer(data, np.uint8, size, _RAW_HEADER.size).reshape(-1, *shape)
+    def units(self, data: bytes | Ranges) -> RawFrames:
+        return RawFrames(data, self._shape(data)[0], self.count(data))
 
     def keep(self, unit: np.ndarray) -> bytes:
         height, width, _ = unit.shape

@@ -39,10 +39,12 @@ def run_once(
 
 
 def runs_table(spark: SparkSession, stats: Iterable[dict]) -> DataFrame:
-    """Statistics as a table, with the rows each run wrote and its throughput."""
+    """Statistics as a table, with the rows each run wrote and its throughput. Runs have
+    counted their rows themselves; of one that failed, what stands in its folder counts."""
     names = ["backend", "elapsed_sec", "output", "batch_size", "gpu_concurrency", "limit", "error"]
     counted = [
-        tuple(one.get(name) for name in names) + (count_rows(spark, one["output"]), None)
+        tuple(one.get(name) for name in names)
+        + (one["rows"] if "rows" in one else count_rows(spark, one["output"]), None)
         for one in stats
     ]
     table = spark.createDataFrame(counted, RUN_SCHEMA)

@@ -97,6 +97,11 @@ def fetch_from_store(
     hot = stage(wanted.where(F.col("copies") > hot_copies), "hot-wanted")
     if not hot.isEmpty():
         found = found.unionByName(repeat_copies(split_copies(looked_up(hot), hot_copies)))
+    return checked_content(found, on_error)
+
+
+def checked_content(found: DataFrame, on_error: str) -> DataFrame:
+    """``path`` and ``bytes`` of looked-up rows; ``_held`` is null for what is not in the store."""
     missing = F.col("_held").isNull()
     if on_error == "quarantine":
         return found.select("path", "bytes", F.when(missing, "not_found").alias("error_type"))

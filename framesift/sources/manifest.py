@@ -7,7 +7,7 @@ import os
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framesift.functions.assets import has_suffix
@@ -43,10 +43,13 @@ def list_assets(
 
     One job per level of the folder tree lists all its folders in parallel, so
     neither the driver nor the task of a big subtree ever holds the listing. A
-    positive ``limit`` keeps the first paths in sorted order; None or 0 keeps all.
+    positive ``limit`` keeps the first paths in sorted order, for which only the folders
+    are listed that may hold one of them; None or 0 keeps all.
     """
     ship_package(spark)
     root = root if "://" in root or root.startswith("file:") else os.path.abspath(root)
+    if limit:
+        return _first_assets(spark, root, suffix, limit)
     tasks = spark.sparkContext.defaultParallelism
     folders = spark.createDataFrame([(root,)], "path string")
     levels = []
@@ -57,8 +60,36 @@ def list_assets(
         if folders.isEmpty():
             break
         folders = folders.repartition(tasks)
-    found = reduce(DataFrame.unionByName, levels).where(has_suffix("path", suffix))
-    return first_n(found, ["path"], limit) if limit else found
+    return reduce(DataFrame.unionByName, levels).where(has_suffix("path", suffix))
+
+
+def _first_assets(spark: SparkSession, root: str, suffix: str, limit: int) -> DataFrame:
+    """The first ``limit`` paths, by opening folders in the order of their paths.
+
+    All paths below a folder begin with its own and a slash, and so come after that. A
+    round lists the first open folders, one for each task, and what turns out to lie beyond
+    the last path wanted is never opened. The paths found and the open folders are written
+    tables; the driver sees only the folders of a round.
+    """
+    tasks = spark.sparkContext.defaultParallelism
+    place = F.concat("path", F.lit("/"))
+    found = spark.createDataFrame([], "path string, length bigint")
+    still_open = spark.createDataFrame([(root,)], "path string")
+    while True:
+        chosen = [row.path for row in still_open.orderBy(place).limit(tasks).collect()]
+        if not chosen:
+            break
+        listed = spark.createDataFrame([(path,) for path in chosen], "path string").repartition(len(chosen))
+        level = stage(listed.mapInArrow(_children, _LISTING_DDL), "listing")
+        files = level.where("not is_folder").select("path", "length").where(has_suffix("path", suffix))
+        found = stage(first_n(found.unionByName(files), ["path"], limit), "first-assets")
+        rest = still_open.where(place > F.lit(chosen[-1] + "/"))
+        still_open = rest.unionByName(level.where("is_folder").select("path"))
+        last = found.agg(F.count(F.lit(1)).alias("rows"), F.max("path").alias("path")).first()
+        if last.rows >= limit:
+            still_open = still_open.where(place < F.lit(last.path))
+        still_open = stage(still_open, "open-folders")
+    return found
 
 
 def _children(batches):
@@ -152,6 +183,21 @@ def read_shard(spark: SparkSession, path: str, shard: int) -> DataFrame:
     return spark.read.schema(schema).parquet(path).where(F.col("shard") == shard).select(URI)
 
 
+def write_counted_shards(manifest: DataFrame, path: str, part: Column, shards: int) -> None:
+    """Every URI once, with its number of copies, in the shard of its ``part`` modulo
+    ``shards``. Files as in ``write_shards``."""
+    counted = count_copies(manifest).withColumn("shard", part % shards)
+    files = max(1, -(-manifest.count() // (shards * SHARD_FILE_ROWS)))
+    spread_out = counted.repartition(shards * files, "shard", F.pmod(F.hash(URI), F.lit(files)))
+    spread_out.write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def read_counted_shard(spark: SparkSession, path: str, shard: int | None = None) -> DataFrame:
+    """``video_uri`` and ``copies`` of one shard; of all of them, with ``shard``, for None."""
+    rows = spark.read.schema(f"{URI} string, copies bigint, shard int").parquet(path)
+    return rows if shard is None else rows.where(F.col("shard") == shard).drop("shard")
+
+
 def count_copies(manifest: DataFrame) -> DataFrame:
     """Every URI once, with its number of copies. Copies merge before the shuffle, so
     joins on the result know no hot URI."""

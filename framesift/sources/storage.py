@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -23,9 +24,12 @@ def resolve(uri: str) -> tuple[fs.FileSystem, str, str]:
 
 
 def open_uri(uri: str):
-    """Binary stream of an asset; ``.gz`` and ``.bz2`` are decompressed on the fly."""
+    """Binary stream of an asset, in which can be sought; ``.gz`` and ``.bz2`` are
+    decompressed on the fly and can only be read on."""
     filesystem, path, _ = resolve(uri)
-    return filesystem.open_input_stream(path)
+    if path.lower().endswith((".gz", ".bz2")):
+        return filesystem.open_input_stream(path)
+    return filesystem.open_input_file(path)
 
 
 def open_raw(uri: str):
@@ -35,7 +39,14 @@ def open_raw(uri: str):
 
 
 def list_folder(uri: str) -> Iterator[tuple[str, int | None, bool]]:
-    """Direct children as (uri, length, is folder)."""
+    """Direct children as (uri, length, is folder). Of a local folder they come one by one;
+    other storage answers with all children of the folder at once."""
     filesystem, path, prefix = resolve(uri)
+    if isinstance(filesystem, fs.LocalFileSystem):
+        with os.scandir(path) as children:
+            for child in children:
+                folder = child.is_dir()
+                yield f"{prefix}{path.rstrip('/')}/{child.name}", None if folder else child.stat().st_size, folder
+        return
     for info in filesystem.get_file_info(fs.FileSelector(path, recursive=False)):
         yield prefix + info.path, info.size, info.type == fs.FileType.Directory

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
@@ -50,13 +51,18 @@ def _hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a file or a folder with all that is in it; False if there is none."""
+    filesystem, target = _hadoop_path(spark, path)
+    return bool(filesystem.delete(target, True))
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this process has staged. Only when no frame built on them is
     needed any more."""
     dropped = 0
     while _staged:
-        filesystem, target = _hadoop_path(spark, _staged.pop())
-        dropped += bool(filesystem.delete(target, True))
+        dropped += delete(spark, _staged.pop())
     return dropped
 
 
@@ -79,6 +85,23 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     write_bytes(spark, path, text.encode("utf-8"))
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; False if there is. Of several that try at
+    once one succeeds, on storage that can create files so."""
+    filesystem, target = _hadoop_path(spark, path)
+    try:
+        stream = filesystem.create(target, False)
+    except Py4JJavaError:
+        if filesystem.exists(target):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """One small file, whatever its name; Spark's readers skip names with ``_``."""
     filesystem, target = _hadoop_path(spark, path)

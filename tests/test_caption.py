@@ -207,3 +207,69 @@ def test_cider_by_hand(spark, hot_pairs):
             size = np.linalg.norm(a) * np.linalg.norm(b)
             total += a @ b / size if size else 0
         assert np.isclose(found[k], total / 2)
+
+
+class Uneven:
+    """Answers in times that differ by request; notes how many calls are at work."""
+
+    in_flight = 4
+
+    def __init__(self, folder):
+        import threading
+
+        self.folder, self.lock, self.now, self.seen = folder, threading.Lock(), 0, []
+
+    def generate(self, requests):
+        import os
+        import time
+
+        with self.lock:
+            self.now += 1
+            self.seen.append(self.now)
+        time.sleep(0.2 if requests[0]["video_id"].endswith("0") else 0.01)
+        with self.lock:
+            self.now -= 1
+            with open(f"{self.folder}/{os.getpid()}", "w") as out:
+                out.write(" ".join(map(str, self.seen)))
+        return [f"{r['num_frames']} {r['multi_modal_data']['image'][0]}" for r in requests]
+
+
+def test_requests_are_kept_in_flight(spark, tmp_path):
+    import os
+
+    folder = str(tmp_path)
+    rows = [(f"v{i}", [f"u{i}"], i, 1.0) for i in range(40)]
+    decoded = spark.createDataFrame(rows, "video_id string, frames array<string>, num_frames bigint, duration_sec double")
+    model = Model("uneven", lambda: Uneven(folder))
+    found = C.caption_requests(decoded.coalesce(1), model, batch_size=1).collect()
+    assert sorted((r.video_id, r.caption) for r in found) == sorted((v, f"{n} {u[0]}") for v, u, n, _ in rows)
+    (path,) = os.listdir(folder)
+    seen = list(map(int, open(f"{folder}/{path}").read().split()))
+    # filled at once, never beyond the window, and filled again after every answer
+    assert max(seen) == 4 and seen[:4] == [1, 2, 3, 4] and sum(n >= 3 for n in seen) >= 34
+
+
+def test_in_flight_never_holds_more_than_the_window():
+    import threading
+    import time
+
+    from framesift.operators.caption import in_flight
+
+    taken, ended, held, lock = [], [], [], threading.Lock()
+
+    def items():
+        for i in range(50):
+            held.append(len(taken) - len(ended))
+            taken.append(i)
+            yield i
+
+    def work(i):
+        time.sleep(0.03 if i % 10 == 0 else 0.001)
+        with lock:
+            ended.append(i)
+        return i
+
+    assert sorted(in_flight(work, items(), 5)) == list(range(50)) and max(held) <= 5
+    with pytest.raises(ZeroDivisionError):
+        list(in_flight(lambda i: 1 // (i - 3), range(20), 3))
+    assert list(in_flight(lambda i: i, iter(()), 3)) == []

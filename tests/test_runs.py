@@ -1,16 +1,18 @@
 import csv
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from framesift.config import RunConfig
 from framesift.operators.models import Model, register_model
+from framesift.operators.readers import TextReader
 from framesift.plans import captioning, runs
 from framesift.sinks.captions import preview_rows, write_captions, write_preview
 from framesift.sources.results import count_rows, read_captions
-from framesift.streaming.incremental import arrived_captions, caption_arrivals
+from framesift.streaming.incremental import arrived_captions, arrived_rejected, caption_arrivals
 
 CONFIG = RunConfig(on_fetch_error="quarantine", partitions=3)
 
@@ -42,7 +44,10 @@ def test_run(spark, folder, manifest, backend, shards):
     output = config.output_path(folder + "/")
     assert output == f"{folder}/captions-{backend}"
     stats = captioning.run(spark, manifest, output, config, shards=shards)
-    assert list(stats) == ["backend", "elapsed_sec", "output", "batch_size", "gpu_concurrency", "limit"]
+    assert list(stats) == [
+        "backend", "elapsed_sec", "output", "batch_size", "gpu_concurrency", "limit", "ledger", "rows", "rejected"
+    ]
+    assert (stats["rows"], stats["rejected"]) == (12, 2)
     assert captions(spark, output) == EXPECTED
     bad = spark.read.parquet(output + "_rejected").collect()
     assert {(r.video_id, r.error_type) for r in bad} == {
@@ -357,3 +362,152 @@ def test_sweep_cells_show_whole_errors(spark):
         [row], "backend string, elapsed_sec double, output string, batch_size int, gpu_concurrency int,"
         " limit int, error string, rows bigint, throughput double")
     assert runs.sweep_cells(table).first().error == "x" * 200
+
+
+class Noted(TextReader):
+    """A text reader that notes every asset that it samples, and when."""
+
+    def __init__(self, folder):
+        super().__init__()
+        object.__setattr__(self, "folder", folder)
+
+    def probe(self, data):
+        with open(self.folder + "/decoded", "a") as out:
+            out.write(f"{time.time()}\n")
+        return super().probe(data)
+
+
+def slow_model(folder, broken):
+    def load():
+        def answer(batch):
+            with open(folder + "/captioned", "a") as out:
+                out.write(f"{time.time()}\n")
+            time.sleep(0.1)
+            if os.path.exists(broken) and len(open(folder + "/captioned").readlines()) > 4:
+                raise RuntimeError("model crashed")
+            return ["x"] * len(batch["video_id"])
+
+        return answer
+
+    return load
+
+
+def test_samples_are_made_ahead_kept_over_a_crash_and_dropped(spark, folder, manifest):
+    broken = folder + "/broken"
+    open(broken, "w").close()
+    config = RunConfig(
+        reader=Noted(folder), model=Model(folder, slow_model(folder, broken)), batch_size=1, partitions=1,
+        on_fetch_error="quarantine", placement="staged",
+    )
+    with pytest.raises(Exception, match="model crashed"):
+        captioning.run(spark, manifest, folder + "/out", config, shards=4, run_id="r")
+    made = os.listdir(folder + "/out_ledger/r/samples")
+    before = len(open(folder + "/decoded").readlines())
+    assert 1 <= len(made) <= 2  # the shard that broke off and the one ahead
+    os.rename(broken, folder + "/repaired")
+    stats = captioning.run(spark, manifest, folder + "/out", config, shards=4, run_id="r")
+    assert (stats["rows"], stats["rejected"]) == (12, 2)
+    assert before < 13 == len(open(folder + "/decoded").readlines())  # one path can't be opened
+    assert not os.path.exists(folder + "/out_ledger/r/samples")
+    decoded, captioned = ([float(t) for t in open(f"{folder}/{n}")] for n in ("decoded", "captioned"))
+    assert min(captioned) < max(decoded)  # a later shard is decoded after the first is captioned
+
+
+def test_statistics_are_counted_as_rows_pass(spark, folder, manifest):
+    stats = captioning.run(spark, manifest, folder + "/out", CONFIG, shards=3, run_id="r")
+    table = captioning.read_statistics(spark, stats["ledger"])
+    sums = table.agg(*(F.sum(c).alias(c) for c in table.columns if c != "shard")).first()
+    assert (sums.rows, sums.captioned, sums.rejected) == (14, 12, 2)
+    rows = read_captions(spark, folder + "/out")
+    again = rows.agg(F.sum("num_frames"), F.sum(F.length("caption"))).first()
+    assert (sums.units, sums.caption_chars) == tuple(again) and sums.elapsed_sec > 0
+    os.remove(f"{stats['ledger']}/stats/shard-1.json")  # as after a crash in between
+    assert sum(one["rows"] for one in captioning._shard_stats(spark, stats["ledger"], [0, 1, 2])) == 14
+
+
+def test_one_of_several_starts_makes_the_record(spark, folder):
+    from framesift.workspace import create_text, read_text
+
+    assert create_text(spark, folder + "/r", "a") and not create_text(spark, folder + "/r", "b")
+    assert read_text(spark, folder + "/r") == "a"
+
+
+def arrive(spark, folder, **settings):
+    config = RunConfig(on_fetch_error="quarantine", partitions=1)
+    caption_arrivals(spark, folder + "/arr", folder + "/out", folder + "/cp", config, **settings).awaitTermination()
+    return sorted(r.video_id for r in arrived_captions(spark, folder + "/out").collect())
+
+
+def test_a_uri_that_arrives_again_is_captioned_once(spark, folder, manifest):
+    os.makedirs(folder + "/arr")
+    lines = open(manifest).read().splitlines()[1:]
+    for number, some in enumerate([lines[:6], lines[3:], lines]):
+        with open(f"{folder}/arr/{number}.csv", "w") as out:
+            out.write("\n".join(["video_uri", *some]) + "\n")
+        found = arrive(spark, folder, repeats="skip")
+        assert found == sorted(set(found))
+    assert found == [f"{i:02}" for i in range(1, 12)]
+    assert {r.video_id for r in arrived_rejected(spark, folder + "/out").collect()} == {"00", "12"}
+    with pytest.raises(ValueError, match="repeats"):
+        arrive(spark, folder, repeats="maybe")
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_manifests_with_other_columns_arrive(spark, folder, manifest, kind):
+    uris = spark.read.csv(manifest, header=True).selectExpr("1 AS n", "video_uri", "'a,b' AS label")
+    for _ in range(2):
+        if kind == "csv":
+            uris.write.mode("append").csv(folder + "/arr", header=True)
+        else:
+            uris.write.mode("append").parquet(folder + "/arr")
+    assert arrive(spark, folder, kind=kind) == sorted(2 * [n for n, _ in EXPECTED])
+    assert len(arrived_rejected(spark, folder + "/out").collect()) == 4
+
+
+def test_a_manifest_with_another_header_stops_the_stream(spark, folder, manifest):
+    os.makedirs(folder + "/arr")
+    for name, header in (("a", "label,video_uri"), ("b", "video_uri,label")):
+        with open(f"{folder}/arr/{name}.csv", "w") as out:
+            out.write(f"{header}\nx,{folder}/in/05.txt\n")
+    with pytest.raises(Exception, match="header"):
+        arrive(spark, folder)
+
+
+def alike_model(name, share):
+    def load():
+        return lambda batch: [v if int(v) < share else "a person" for v in batch["video_id"]]
+
+    return Model(name, load)
+
+
+@pytest.mark.parametrize("share, least, passes", [(12, 0.5, True), (0, 0.5, False), (6, 0.5, True), (6, 0.51, False)])
+def test_a_degenerate_run_is_held_back(spark, folder, manifest, share, least, passes):
+    config = RunConfig(model=alike_model(f"alike{share}", share), min_variety=least, on_fetch_error="quarantine")
+    if passes:  # 12 captions; "a person" counts as one
+        captioning.run(spark, manifest, folder + "/out", config, shards=3, run_id="r")
+        assert count_rows(spark, folder + "/out") == 12
+        return
+    with pytest.raises(captioning.HeldBack, match="distinct captions among 12"):
+        captioning.run(spark, manifest, folder + "/out", config, shards=3, run_id="r")
+    assert not os.path.exists(folder + "/out") and not os.path.exists(folder + "/out_rejected")
+    assert "share" in open(folder + "/out_ledger/r/_HELD").read()
+    held = runs.run_once(spark, manifest, folder + "/two", config)
+    assert held["elapsed_sec"] is None and "distinct captions" in held["error"]
+    lenient = RunConfig(model=config.model, on_fetch_error="quarantine")
+    captioning.run(spark, manifest, folder + "/out", lenient, shards=3, run_id="r")
+    assert count_rows(spark, folder + "/out") == 12
+
+
+def test_sketches_decide_but_near_the_threshold(spark):
+    from framesift.operators import quality
+
+    rows = [(g, p, f"{g}{i % (n or 1)}") for g, n in (("all", 4000), ("half", 2000), ("few", 10)) for p in (0, 1) for i in range(p, 4000, 2)]
+    frame = spark.createDataFrame(rows, "g string, p int, caption string")
+    sketches = frame.groupBy("g", "p").agg(F.count("*").alias("captions"), quality.caption_sketch().alias("sketch"))
+    told = {r.g: r.degenerate for r in quality.sketched_variety(sketches, ["g"], 0.5).collect()}
+    assert told == {"all": False, "half": None, "few": True}
+    for least in (0.5, 0.501):
+        want = {r.g: r.degenerate for r in quality.caption_variety(frame, ["g"], least).collect()}
+        found = {r.g: (r.captions, r.degenerate) for r in quality.variety_gate(frame, ["p"], ["g"], least).collect()}
+        assert found == {g: (4000, d) for g, d in want.items()}
+    assert quality.variety_gate(frame, ["p"], (), 0.5).first().degenerate is False

@@ -7,7 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from framesift.sources import manifest as M
-from framesift.sources.archives import archive_members, archives_until
+from framesift.sources.archives import (
+    archive_members,
+    archives_until,
+    index_members,
+    members_until,
+    read_members,
+)
 from framesift.sources.fetch import fetch_from_store, fetch_uris
 from framesift.sources.results import count_rows
 
@@ -230,3 +236,126 @@ def test_archives(spark, folder):
 
 def test_count_of_missing_result(spark, folder):
     assert count_rows(spark, folder + "/none") == -1
+
+
+def deep_tree(folder, width=30):
+    names = [f"d{i:02}/e{j}/{k}.mp4" for i in range(width) for j in range(3) for k in range(2)]
+    return sorted(make_files(folder, [*names, "d00.mp4", "d05-x.mp4", "a/only.txt", "d03/z.mp4"]))
+
+
+@pytest.mark.parametrize("limit", [1, 5, 7, 40, 1000])
+def test_a_limited_listing_has_the_first_paths(spark, folder, limit):
+    paths = [p for p in deep_tree(folder) if p.endswith(".mp4")]
+    found = M.list_assets(spark, folder, limit=limit).collect()
+    assert sorted(r.path for r in found) == paths[:limit]
+    assert all(r.length == os.path.getsize(r.path) for r in found)
+
+
+def test_a_limited_listing_opens_few_folders(spark, folder, monkeypatch):
+    deep_tree(folder + "/tree", 60)
+    opened = spark.sparkContext.accumulator(0)
+    children = M._children
+
+    def counted(batches):
+        def passing():
+            for batch in batches:
+                opened.add(batch.num_rows)
+                yield batch
+
+        yield from children(passing())
+
+    monkeypatch.setattr(M, "_children", counted)
+    assert M.list_assets(spark, folder + "/tree", limit=3).count() == 3
+    few = opened.value
+    opened.value = 0
+    assert M.list_assets(spark, folder + "/tree").count() == 363
+    assert few <= 20 < 200 < opened.value
+    assert M.list_assets(spark, folder + "/tree", suffix=".none", limit=3).count() == 0
+
+
+def make_tar(path, members, mode="w"):
+    with tarfile.open(path, mode) as archive:
+        for name, data in members.items():
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            archive.addfile(info, io.BytesIO(data))
+    return path
+
+
+@pytest.fixture()
+def tars(spark, folder):
+    first = make_tar(folder + "/a.tar", {f"m{i:02}.mp4": bytes([i]) * (i * 700) for i in range(30)} | {"n.txt": b"no"})
+    second = make_tar(folder + "/b.tar", {"x.MP4": b"x", "y/z.mp4": b"", "dir/é.mp4": b"utf"})
+    empty = make_tar(folder + "/c.tar", {})
+    return spark.createDataFrame([(p,) for p in (first, second, empty)], "path string")
+
+
+def members_of(frame):
+    return sorted((os.path.basename(r.archive), r.member, bytes(r.bytes)) for r in frame.collect())
+
+
+def test_archives_are_read_by_the_places_of_members(spark, folder, tars):
+    index = index_members(tars)
+    index.write.parquet(folder + "/index")
+    index = spark.read.parquet(folder + "/index")
+    assert index.count() == 33 and index.where("error_type is not null").isEmpty()
+    whole = members_of(read_members(index))
+    assert whole == sorted(
+        [("a.tar", f"m{i:02}.mp4", bytes([i]) * (i * 700)) for i in range(30)]
+        + [("b.tar", "x.MP4", b"x"), ("b.tar", "y/z.mp4", b""), ("b.tar", "dir/é.mp4", b"utf")]
+    )
+    split = read_members(index, task_bytes=20_000)
+    assert members_of(split) == whole
+    tasks = split.where(F.endswith("archive", F.lit("a.tar"))).select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1  # one archive, several tasks
+    until = members_until(index, target=32, have=10).orderBy("archive", "offset").collect()
+    assert [r.member for r in until] == [f"m{i:02}.mp4" for i in range(22)]
+
+
+def test_an_index_reads_headers_alone(spark, folder):
+    path = make_tar(folder + "/big.tar", {f"{i}.mp4": bytes(2_000_000) for i in range(5)})
+    read = spark.sparkContext.accumulator(0)
+
+    class Counting(io.FileIO):
+        def read(self, size=-1):
+            data = super().read(size)
+            read.add(len(data))
+            return data
+
+    frame = spark.createDataFrame([(path,)], "path string")
+    assert index_members(frame, opener=lambda p: Counting(p)).count() == 5
+    assert read.value < 100_000
+
+
+def test_broken_archives_are_set_aside(spark, folder, tars):
+    with open(folder + "/b.tar", "rb") as whole, open(folder + "/cut.tar", "wb") as out:
+        out.write(whole.read()[:1600])
+    with open(folder + "/junk.tar", "wb") as out:
+        out.write(b"not a tar" * 200)
+    paths = [folder + "/" + n for n in ("b.tar", "cut.tar", "junk.tar", "none.tar")]
+    frame = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = index_members(frame, on_error="quarantine").collect()
+    by = {os.path.basename(p): [(r.member, r.error_type) for r in found if r.archive == p] for p in paths}
+    assert [m for m, e in by["b.tar"]] == ["x.MP4", "y/z.mp4", "dir/é.mp4"]
+    assert by["cut.tar"][0] == ("x.MP4", None) and by["cut.tar"][-1][1].startswith("unpack_failed:")
+    assert by["junk.tar"] == [(None, "unpack_failed:ReadError")]
+    assert by["none.tar"] == [(None, "unpack_failed:FileNotFoundError")]
+    with pytest.raises(Exception, match="cannot unpack"):
+        index_members(frame).collect()
+    index = spark.createDataFrame(found, "archive string, member string, offset long, length long, error_type string")
+    read = read_members(index, on_error="quarantine").collect()
+    assert sum(r.bytes is not None for r in read) == 4 + len(by["cut.tar"]) - 2
+    assert sum(r.error_type is not None for r in read) == 3
+
+
+def test_broken_gzipped_archives_are_set_aside(spark, folder):
+    good = make_tar(folder + "/g.tar.gz", {f"{i}.mp4": os.urandom(5000) for i in range(4)}, "w:gz")
+    with open(good, "rb") as whole, open(folder + "/cut.tar.gz", "wb") as out:
+        out.write(whole.read()[:12_000])
+    frame = spark.createDataFrame([(good,), (folder + "/cut.tar.gz",)], "path string")
+    found = archive_members(frame, on_error="quarantine").collect()
+    assert sum(r.bytes is not None for r in found if r.archive == good) == 4
+    cut = [r for r in found if r.archive != good]
+    assert sum(r.bytes is not None for r in cut) >= 1 and sum(r.error_type is not None for r in cut) == 1
+    with pytest.raises(Exception, match="cannot unpack"):
+        archive_members(frame).collect()
