@@ -7,6 +7,7 @@ from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from framesift.config import MAX_NEW_TOKENS, NUM_UNITS, PROMPT
 from framesift.functions.assets import asset_id, strip_text
+from framesift.operators.blocks import unpack_units
 from framesift.operators.models import Model, get_model, loaded
 from framesift.operators.readers import attempt_sample, get_reader
 from framesift.sources.results import CAPTION_COLUMNS
@@ -62,14 +64,27 @@ def caption_batches(
     """Batch backend: the model sees dicts of arrays with up to ``batch_size`` rows.
 
     Every column but ``frames`` is kept, so a ``path`` beside the result columns
-    comes through. Rows without units get no caption.
+    comes through. Rows without units get no caption. Packed samples, with ``block`` instead
+    of ``frames``, are unpacked batch by batch as the model asks for them.
     """
+    packed = "block" in decoded.columns
+
+    def units(table):
+        return table.column("block" if packed else "frames")
+
     def ask(answer):
-        return lambda part: answer({c: part.column(c).to_numpy() for c in part.column_names})
+        def ask_model(part):
+            fields = [c for c in part.column_names if c != "block"]
+            batch = {c: part.column(c).to_numpy() for c in fields}
+            if packed:
+                blocks = part.column("block").to_pylist()
+                batch["frames"] = np.empty(len(blocks), dtype=object)
+                batch["frames"][:] = [np.array(unpack_units(block), dtype=object) for block in blocks]
+            return answer(batch)
 
-    return _captioned(
-        decoded, decoded, get_model(model), batch_size, lambda t: t.column("frames"), ask, profile
-    )
+        return ask_model
+
+    return _captioned(decoded, decoded, get_model(model), batch_size, units, ask, profile)
 
 
 def _captioned(
@@ -86,7 +101,7 @@ def _captioned(
     its units. ``units`` finds these in a table; ``ask`` makes of the loaded model a
     function from a table to its texts; ``at_once`` says how many tables it takes at a time."""
     ship_package(decoded.sparkSession)
-    kept = [field for field in decoded.schema.fields if field.name != "frames"]
+    kept = [field for field in decoded.schema.fields if field.name not in ("frames", "block")]
     names = [field.name for field in kept]
 
     def caption(batches):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framesift.operators.ordering import join_groups
-from framesift.workspace import stage
+from framesift.workspace import ship_package, stage
 
 
 def backend_agreement(first: DataFrame, second: DataFrame, key: str = "path") -> DataFrame:
@@ -149,26 +152,50 @@ def pair_ngrams(
     )
 
 
+def _gram_matches(order: int, kept: list[str]):
+    """Columns ``kept`` and, for each order, the candidate's n-grams and how many of them the
+    reference holds too, and the reference's words, of every pair."""
+
+    def counted(words: list[str], n: int) -> Counter:
+        return Counter(zip(*(words[k:] for k in range(n))))
+
+    def rows(batches):
+        for batch in batches:
+            made = np.zeros((2 * order + 1, batch.num_rows), dtype=np.int64)
+            texts = zip(batch.column("_candidate").to_pylist(), batch.column("_reference").to_pylist())
+            for row, (candidate, reference) in enumerate(texts):
+                words, given = ([] if text is None else text.split(" ") for text in (candidate, reference))
+                made[2 * order, row] = len(given)
+                for n in range(1, order + 1):
+                    made[n - 1, row] = max(len(words) - n + 1, 0)
+                    held = counted(given, n)
+                    shared = ((gram, count) for gram, count in counted(words, n).items() if gram in held)
+                    made[order + n - 1, row] = sum(min(count, held[gram]) for gram, count in shared)
+            names = [*kept, *(f"_grams{n}" for n in range(1, order + 1))]
+            names += [*(f"_matches{n}" for n in range(1, order + 1)), "reference_words"]
+            columns = [batch.column(name) for name in kept] + [pa.array(column) for column in made]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows
+
+
 def bleu(
     pairs: DataFrame, key: str, candidate: str, reference: str, by: Sequence[str] = (), order: int = 4
 ) -> DataFrame:
     """Corpus BLEU of the candidates, per ``by`` group: n-gram precisions up to
     ``order``, brevity penalty and score. Within a pair an n-gram matches at most as
-    often as the reference holds it. The score is 0 where some order has no match."""
-    counts = pair_ngrams(pairs, key, candidate, reference, by, order).groupBy(*by, "n").agg(
-        F.sum("made").alias("grams"),
-        F.sum("given").alias("reference_grams"),
-        F.sum(F.least("made", "given")).alias("matches"),
-    )
-
-    def at(n: int, column: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(column))), F.lit(0))
+    often as the reference holds it. The score is 0 where some order has no match.
 
-    wide = counts.groupBy(*by).agg(
-        *[at(n, "grams").alias(f"_grams{n}") for n in range(1, order + 1)],
-        *[at(n, "matches").alias(f"_matches{n}") for n in range(1, order + 1)],
-        at(1, "reference_grams").alias("reference_words"),
-    )
+    N-grams are counted within the row of their pair, where they arise, and only their sums
+    are shuffled, combined on the map side.
+    """
+    ship_package(pairs.sparkSession)
+    texts = [F.lower(candidate).alias("_candidate"), F.lower(reference).alias("_reference")]
+    sums = [f"_{kind}{n}" for kind in ("grams", "matches") for n in range(1, order + 1)] + ["reference_words"]
+    kinds = {field.name: field.dataType.simpleString() for field in pairs.schema.fields}
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in by] + [f"{name} bigint" for name in sums])
+    counts = pairs.select(*by, *texts).mapInArrow(_gram_matches(order, list(by)), schema)
+    wide = counts.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
     precisions = [
         F.when(F.col(f"_grams{n}") > 0, F.col(f"_matches{n}") / F.col(f"_grams{n}")).otherwise(0.0)
         for n in range(1, order + 1)

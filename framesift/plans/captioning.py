@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from framesift.config import RunConfig
 from framesift.operators.caption import caption_assets, get_backend
-from framesift.operators.decode import decode_assets
+from framesift.operators.decode import decode_assets, unpack_samples
 from framesift.operators.models import get_model
 from framesift.operators.placement import caption_profile, decode_profile
 from framesift.operators.quality import caption_sketch, caption_variety, sketched_variety
@@ -83,7 +83,7 @@ def caption_manifest(
     assets = fetched_assets(manifest, config, store)
     if config.placement == "fused":
         return caption_fetched(assets, config, opener)
-    return caption_decoded(stage(decode_fetched(assets, config, opener), "samples"), config)
+    return caption_decoded(stage(decode_fetched(assets, config, opener, packed=True), "samples"), config)
 
 
 def fetched_assets(
@@ -120,7 +120,9 @@ def caption_fetched(assets: DataFrame, config: RunConfig, opener: Callable) -> D
     )
 
 
-def decode_fetched(assets: DataFrame, config: RunConfig, opener: Callable) -> DataFrame:
+def decode_fetched(
+    assets: DataFrame, config: RunConfig, opener: Callable, packed: bool = False
+) -> DataFrame:
     return decode_assets(
         assets,
         config.reader,
@@ -129,10 +131,13 @@ def decode_fetched(assets: DataFrame, config: RunConfig, opener: Callable) -> Da
         decode_profile(config),
         opener,
         config.on_fetch_error,
+        packed,
     )
 
 
 def caption_decoded(decoded: DataFrame, config: RunConfig) -> DataFrame:
+    if "block" in decoded.columns and config.backend != "batch":
+        decoded = unpack_samples(decoded, config.reader)
     return get_backend(config.backend)(
         decoded, model=config.model, batch_size=config.batch_size, profile=caption_profile(config)
     ).select("path", "video_id", "caption", "num_frames", "duration_sec", "error_type")
@@ -168,7 +173,7 @@ def run(
 
     With staged placement the samples of the next shard are made while one shard is
     captioned, by two jobs at a time in scheduler pools of their own. Samples stand
-    beside the ledger until their shard is captioned.
+    beside the ledger, packed, until their shard is captioned.
 
     A run that crashed and is started again under its ``run_id`` keeps the shards
     it has finished and the samples it has written. It must ask for the same: another
@@ -208,7 +213,7 @@ def run(
 
         def decode(shard: int) -> None:
             if not exists(spark, f"{samples}/shard={shard}/_SUCCESS"):
-                decoded = decode_fetched(assets(shard), config, opener)
+                decoded = decode_fetched(assets(shard), config, opener, packed=True)
                 decoded.write.mode("overwrite").parquet(f"{samples}/shard={shard}")
 
         def caption(shard: int) -> None:
