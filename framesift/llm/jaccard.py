@@ -186,8 +186,10 @@ def _shared_counts(batches):
         yield counted(*kept)
 
 
-def _may_link(shared: Column, looked_up: Column, threshold: int) -> Column:
-    least = threshold / 100 - F.sqrt(F.lit(-math.log(DOUBT) / 2) / looked_up)
+def _may_link(shared: Column, looked_up: Column, threshold: int, doubt: float) -> Column:
+    if not doubt:
+        return F.lit(True)
+    least = threshold / 100 - F.sqrt(F.lit(-math.log(doubt) / 2) / looked_up)
     return (looked_up == 0) | (shared / looked_up >= least)
 
 
@@ -284,7 +286,9 @@ def _prefix_rows(threshold: int, shared_hot):
 
 def _cluster_edges(batches):
     """Edges between sets that share a shingle and are at most one size class apart; the
-    rows of a shingle come together, by class. Only the last row is remembered."""
+    rows of a shingle come together, by class. Sets of a class are linked with its first one,
+    and the first ones of neighbouring classes with each other: stars, not chains. Only the
+    first set of the last class is remembered."""
     last = None
     for batch in batches:
         shingle, size_class, key, first = (batch.column(i) for i in range(4))
@@ -300,12 +304,17 @@ def _cluster_edges(batches):
                 shingle, size_class, key = (
                     np.r_[[old], new] for old, new in zip(last, (shingle, size_class, key))
                 )
-            last = shingle[-1], size_class[-1], key[-1]
-            near = (shingle[1:] == shingle[:-1]) & (size_class[1:] - size_class[:-1] <= 1)
-            near &= key[1:] != key[:-1]
-            pairs = np.unique(
-                np.stack([key[1:][near], key[:-1][near]], axis=1), axis=0
+            head = np.r_[True, (shingle[1:] != shingle[:-1]) | (size_class[1:] != size_class[:-1])]
+            lead = key[head]
+            near = (shingle[head][1:] == shingle[head][:-1]) & (np.diff(size_class[head]) <= 1)
+            pairs = np.concatenate(
+                [
+                    np.stack([key, lead[np.cumsum(head) - 1]], axis=1)[~head],
+                    np.stack([lead[1:], lead[:-1]], axis=1)[near],
+                ]
             )
+            pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+            last = shingle[-1], size_class[-1], lead[-1]
             edges = pa.concat_tables(
                 [edges, pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])]
             )
@@ -526,10 +535,12 @@ def linked_documents(
     threshold: int = THRESHOLD,
     block_sets: int = BLOCK_SETS,
     hot: int = HOT,
+    doubt: float = DOUBT,
 ) -> DataFrame:
     """For every row of ``df``: ``id``, ``ref`` (a hash of id and text), ``n`` (size of the
     set), ``component`` (null for an empty set), ``component_id`` (smallest id reachable by
-    links, itself included) and ``links`` (number of linked rows). Runs several jobs."""
+    links, itself included) and ``links`` (number of linked rows). With ``doubt=0`` no set is
+    left out by the shingles that are looked up. Runs several jobs."""
     spark = df.sparkSession
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("content"))
     id_type = docs.schema["id"].dataType.simpleString()
@@ -564,7 +575,7 @@ def linked_documents(
         .join(shared.groupBy("set_key").agg(F.sum("shared").alias("shared")), "set_key", "left"),
         "sets",
     )
-    may_link = _may_link(F.coalesce("shared", F.lit(0)), F.col("looked_up"), threshold)
+    may_link = _may_link(F.coalesce("shared", F.lit(0)), F.col("looked_up"), threshold, doubt)
     wanted = per_set.where(may_link).select("wanted_ref", "set_key", "copies", "n")
     likely = docs.where(Filter(wanted, "wanted_ref").may_have("ref"))
     sets = stage(
@@ -601,7 +612,7 @@ def linked_documents(
         ).cast("int").alias("blocks")
     )
     placed = stage(
-        clusters.join(blocks, "root").select(
+        clusters.join(stage(blocks, "block-counts"), "root").select(
             "node",
             F.col("root").alias("cluster"),
             "blocks",
@@ -644,7 +655,8 @@ def linked_documents(
     )
     known = stage(known, "components")
     smallest = known.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = known.join(smallest, "component")
+    # a written table, so that the rows of a large component can be split
+    known = known.join(stage(smallest, "smallest"), "component")
     return rows.join(known, "set_key", "left").select(
         "id",
         "ref",
@@ -657,8 +669,9 @@ def linked_documents(
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``df`` without those that are linked, over any number of links, with a row
-    of a smaller id (nulls last) or, at equal ids, of a smaller hash. Of repeated rows one
-    stays; rows with an empty set all stay. All columns as they are.
+    of a smaller id (nulls last) or, at equal ids, of a smaller hash. Of repeated rows the one
+    stays that is smallest by its other columns, as far as these can be ordered; rows with an
+    empty set all stay. All columns as they are.
 
     Rows that surely stay are not moved: only rows that the filter takes for dropped or
     repeated ones pass the exact join."""
@@ -683,7 +696,14 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **option
     )
     dropped, times = F.col(free_name(df, "_dropped")), F.col(free_name(df, "_times"))
     single = exact.where(dropped.isNull()).select(*rows.columns)
-    repeated = exact.where(~dropped & (times > 1)).select(*rows.columns).dropDuplicates([ref])
+    ordered = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    whole = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
+    repeated = (
+        exact.where(~dropped & (times > 1))
+        .groupBy(F.col(ref).alias(free_name(df, "_of")))
+        .agg(F.min_by(whole, F.struct(*ordered)).alias(free_name(df, "_row")))
+        .select(f"{free_name(df, '_row')}.*")
+    )
     return rows.where(~likely).unionByName(single).unionByName(repeated).select(*df.columns)
 
 
