@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framesift.llm.text import ALNUM, TO_ALNUM, built
+from framesift.llm.text import ALNUM, TO_ALNUM, built, free_name
 from framesift.workspace import ship_package, stage
 
 WIDTH = 10
@@ -167,12 +167,9 @@ def with_hits(
 
 def clean(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` without any hit word, all columns as they are."""
-    columns = df.columns
-    return (
-        with_hits(df, benchmark, out="_benchmark_hits", **options)
-        .where(F.col("_benchmark_hits")["n_hit"] == 0)
-        .select(*columns)
-    )
+    hits = free_name(df, "_benchmark_hits")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return with_hits(df, benchmark, out=hits, **options).where(F.col(hits)["n_hit"] == 0).select(*columns)
 
 
 def op3_benchmark_decontamination(spark, sf_dir):

@@ -13,8 +13,8 @@ wins, ties go to the first code in code point order. The score is the runner-up'
 over the sum of both, 1 where only one language is known.
 
 Samples are bounded: for each language the ``rows`` documents with the smallest hash of
-their id outside the held-out fold, of 1 to ``MAX_CHARS`` characters, cut after ``letters``
-bytes. With very many languages ``letters`` falls so that all automata together stay below
+their id outside the held-out fold, of each the first ``MAX_CHARS`` characters, cut after
+``letters`` bytes together. With very many languages ``letters`` falls so that all automata together stay below
 ``CELLS`` table cells of 4 bytes.
 
 Null texts, texts without a letter, and all texts while no language is known, are ``und``
@@ -161,7 +161,7 @@ def fit(
     spread = [F.xxhash64("key"), F.col("key"), F.xxhash64("code")]
     first = Window.partitionBy("code").orderBy(*spread)
     chosen = (
-        known.where(F.length("content").between(1, MAX_CHARS))
+        known.where(F.length("content") > 0)
         .select("key", "code")
         .withColumn("_place", F.row_number().over(first))
         .where(F.col("_place") <= rows)
@@ -169,7 +169,9 @@ def fit(
     )
     found: dict[str, list[bytes]] = {}
     sized: dict[str, int] = {}
-    some = known.where(F.length("content").between(1, MAX_CHARS)).join(chosen, ["key", "code"])
+    # ``chosen`` has at most ``rows`` ids a language; of a long text its beginning is enough
+    some = known.where(F.length("content") > 0).join(F.broadcast(chosen), ["key", "code"])
+    some = some.withColumn("content", F.substring("content", 1, MAX_CHARS))
     for code, content in some.orderBy("code", "_place").select("code", "content").toLocalIterator():
         if sized.get(code, 0) < letters:
             found.setdefault(code, []).append(folded(content))

@@ -9,8 +9,8 @@ have not seen. A short text is weak evidence: the logit of a text of ``n`` bytes
 curve's with weight ``n / (n + EVIDENCE)`` and that of the share of label 1 for the rest.
 
 The classifier is fitted on a bounded sample: for each label the ``rows`` documents with the
-smallest hash of their id among the labelled ones outside the held-out fold, of at most
-``max_bytes`` bytes each. Every second one goes into a dictionary, the others fit the curve;
+smallest hash of their id among the labelled ones with a text outside the held-out fold, of
+each the first ``MAX_CHARS`` characters. Every second one goes into a dictionary, the others fit the curve;
 the shares of the two labels are counted over all labelled documents outside the fold.
 
 Null and empty texts have nothing to compress and score the share of label 1. The same
@@ -34,7 +34,7 @@ from framesift.llm.text import built, fold
 from framesift.workspace import ship_package
 
 ROWS = 2000
-MAX_BYTES = 16 * 1024
+MAX_CHARS = 16 * 1024
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 PIECE = 512
@@ -148,22 +148,21 @@ def labelled(labels: DataFrame, label: str = "quality", key: str = "doc_id") ->
 
 
 def sample(docs: DataFrame, known: DataFrame, rows: int, text: str = "text", key: str = "doc_id"):
-    """(label, text) of at most ``rows`` documents for each label, in the order of a hash."""
+    """(label, text) of at most ``rows`` documents for each label that have a text, in the order
+    of a hash; of a long text the first ``MAX_CHARS`` characters."""
     spread = F.xxhash64("key")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("content")).where(F.octet_length("content") > 0)
+    learnable = texts.select("key").join(known, "key").distinct()
     chosen = None
     for good in (0, 1):
-        some = known.where(F.col("good") == good).orderBy(spread, "key").limit(rows)
+        some = learnable.where(F.col("good") == good).orderBy(spread, "key").limit(rows)
         chosen = some if chosen is None else chosen.unionByName(some)
-    content = F.col(text)
-    texts = docs.select(F.col(key).alias("key"), content.alias("content")).where(
-        (F.octet_length("content") > 0) & (F.octet_length("content") <= MAX_BYTES)
-    )
     # ``chosen`` has at most 2 * rows ids
     return (
         texts.join(F.broadcast(chosen), "key")
         .orderBy(spread, "key", F.xxhash64("content"))
         .limit(2 * rows)
-        .select("good", "content")
+        .select("good", F.substring("content", 1, MAX_CHARS).alias("content"))
     )
 
 
