@@ -424,3 +424,68 @@ def test_pipeline_stages(spark):
     index = corpus_pipeline.run(spark, folder).collect()
     assert sorted(r.slot for r in index) == list(range(len(index)))
     assert {r.doc_id for r in index} <= kept
+
+
+def test_one_of_repeated_rows_is_chosen_by_its_columns(spark):
+    rows = [(1, "same text here", f"k{i}", {"a": i}) for i in range(6)] + [(2, "another text", "z", None)]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "doc_id bigint, text string, _row string, m map<string,int>")
+        kept = jaccard.one_of_each(frame.repartition(3))
+        assert sorted((r.doc_id, r["_row"]) for r in kept.collect()) == [(1, "k0"), (2, "z")]
+
+
+def test_no_set_is_left_out_without_doubt(spark):
+    rows = near_copies()
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    found = [
+        sorted((r.id, r.component_id, r.links) for r in jaccard.linked_documents(frame, doubt=doubt).collect())
+        for doubt in (jaccard.DOUBT, 0)
+    ]
+    assert found[0] == found[1]
+
+
+def test_cluster_edges_are_stars_over_batches():
+    rows = [(5, 1, 10), (5, 1, 11), (5, 1, 12), (5, 2, 13), (5, 4, 14), (6, 1, 15), (6, 1, 16)]
+    for cut in range(len(rows) + 1):
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.int32()),
+                 pa.array([r[2] for r in some], pa.int64()), pa.nulls(len(some), pa.int64())],
+                ["shingle", "size_class", "set_key", "first"],
+            )
+            for some in (rows[:cut], rows[cut:])
+        ]
+        found = {(a, b) for batch in jaccard._cluster_edges(iter(batches)) for a, b in zip(*(c.to_pylist() for c in batch.columns))}
+        assert found == {(11, 10), (12, 10), (13, 10), (16, 15)}
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    french = "le chat dort sur la table et la nuit tombe sur les toits de paris "
+    english = "the cat sleeps on the table and the night falls over the roofs of london "
+    rows = [(i, french * 500, "fr") for i in range(20)] + [(i, english * 2, "en") for i in range(20, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    samples = language.fit(docs)
+    assert set(samples) == {"fr", "en"}
+    asked = spark.createDataFrame([("la nuit sur les toits",), ("the night over the roofs",)], "text string")
+    found = asked.select(language.prediction(samples, "text", spark)["lang"].alias("lang")).collect()
+    assert [r.lang for r in found] == ["fr", "en"]
+
+
+def test_labelled_texts_that_are_all_long_are_learned(spark):
+    good, bad = "a careful account of the work that was done ", "BUY NOW!!! click $$$ here "
+    rows = [(i, (good if i % 2 else bad) * 1000) for i in range(40)] + [(100 + i, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(140)], "doc_id bigint, quality int")
+    model = quality.fit(docs, known, rows=10)
+    assert model.good and model.bad
+    found = docs.where("doc_id < 2").select("doc_id", quality.scores(model, "text", spark).alias("score"))
+    scores = {r.doc_id: r.score for r in found.collect()}
+    assert scores[1] > 0.5 > scores[0]
+
+
+def test_clean_leaves_columns_of_any_name_alone(spark):
+    rows = [(1, "some clean text", "keep me"), (2, "one two three four five six seven eight nine ten", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _benchmark_hits string")
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id bigint, text string")
+    (kept,) = decontaminate.clean(docs, bench).collect()
+    assert tuple(kept) == rows[0]
