@@ -436,19 +436,16 @@ def final_projection(spark, sf_dir):
 # --- Row-multiplying and row-dropping operators ------------------------------
 
 
-def parsed_events(spark, sf_dir):
-    """Properties of error events lose their last character before parsing."""
-    props = F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)"))
-    events = table(spark, sf_dir, "events").select(
-        "event_id", F.coalesce(props, "props").alias("props")
-    )
-    parsed = F.from_json("props", "k bigint")
-    valid = F.expr("try_parse_json(props)").isNotNull()
-    return events.select("event_id", parsed["k"].alias("k"), valid.alias("valid"))
-
-
 def drop_failed(spark, sf_dir):
-    return parsed_events(spark, sf_dir).where("valid").select("event_id", "k")
+    """Properties of events, parsed once; those of error events lose their last character
+    before, and can't be read."""
+    props = F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)"))
+    events = table(spark, sf_dir, "events").select("event_id", F.coalesce(props, "props").alias("props"))
+    marked = {"columnNameOfCorruptRecord": "broken"}
+    parsed = events.select("event_id", F.from_json("props", "k bigint, broken string", marked).alias("parsed"))
+    failed = F.col("parsed").isNull() | F.col("parsed.broken").isNotNull()
+    decoded = parsed.select("event_id", "parsed.k", F.when(failed, "parse_failed").alias("error_type"))
+    return readable(decoded)
 
 
 def dead_letters(spark, sf_dir):
@@ -551,6 +548,21 @@ def caption_request(spark, sf_dir):
     return caption_requests(word_assets(spark, sf_dir).drop("doc_id"), batch_size=BATCH)
 
 
+def last_first(batch):
+    """A stand-in model with the words the other way round."""
+    rows = zip(batch["num_frames"], batch["frames"])
+    return [f"{units[-1]} {units[0]} {total}" for total, units in rows]
+
+
+def caption_models(spark, sf_dir):
+    """Two models that have one name, each asked for half of the documents."""
+    assets = word_assets(spark, sf_dir)
+    even = F.col("doc_id") % 2 == 0
+    parts = [(even, Model("same", FirstLastModel)), (~even, Model("same", lambda: last_first))]
+    first, second = (caption_batches(assets.where(some).drop("doc_id"), model, BATCH) for some, model in parts)
+    return first.unionByName(second)
+
+
 class BusyEngine:
     """A stand-in engine that answers several lists of requests at a time."""
 
@@ -826,7 +838,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         drop_failed, dead_letters, decode_text_assets, decode_opened, decode_frames,
         sample_words,
         sample_word_rows, sample_turns, sample_events, sample_events_hot,
-        caption_batch, caption_request, caption_in_flight, build_request, backend_agreement, caption_documents,
+        caption_batch, caption_request, caption_in_flight, caption_models, build_request, backend_agreement, caption_documents,
         caption_fetched, write_and_read, preview_rows, result_count, run_captions,
         run_captions_request, run_captions_staged, run_captions_laid_out, run_rejected, run_statistics,
         resumed_run, incremental_captions, incremental_rejected, incremental_wide_manifest,
@@ -1113,6 +1125,11 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN {fits} THEN {text_duration} END AS duration_sec,
                    {document_errors} AS error_type
             FROM ({_WORDS}) JOIN (SELECT doc_id, text FROM documents) USING (doc_id)""",
+        "caption_models": f"""
+            SELECT video_id, CASE WHEN doc_id % 2 = 0 THEN {_CAPTION}
+                       ELSE trim(frames[{NUM_UNITS}] || ' ' || frames[1] || ' ' || num_frames, {_WS}) END AS caption,
+                   num_frames, duration_sec
+            FROM ({_WORDS})""",
         "write_and_read": f"SELECT * FROM ({_DOC_CAPTIONS}) UNION ALL SELECT * FROM ({_DOC_CAPTIONS})",
         "preview_rows": f"SELECT * FROM ({_DOC_CAPTIONS}) ORDER BY video_id LIMIT {LIMIT}",
         "result_count": "SELECT count(*) AS rows FROM documents",
