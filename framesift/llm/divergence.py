@@ -80,11 +80,11 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _document_terms(batches):
-    """A row for each language of ``ROWS`` documents: its distinct terms; the source of each
+    """A row for each language of ``ROWS`` documents: its distinct terms; the group of each
     document and its number of distinct terms; the numbers and counts of these."""
-    names = ["lang", "sources", "terms", "lengths", "numbers", "counts"]
+    names = ["lang", "groups", "terms", "lengths", "numbers", "counts"]
     for batch in slices(batches):
-        langs, sources = (batch.column(i).to_pylist() for i in range(2))
+        langs, groups = (batch.column(i).to_pylist() for i in range(2))
         texts = batch.column(2).cast(pa.large_binary())
         rows = []
         for lang in dict.fromkeys(langs):
@@ -97,8 +97,8 @@ def _document_terms(batches):
                 numbers += [known.setdefault(term, len(known)) for term in found]
                 counts += found.values()
             packed = [_packed(column) for column in (lengths, numbers, counts)]
-            rows.append((lang, [sources[row] for row in mine], b" ".join(known), *packed))
-        kinds = [pa.string(), pa.list_(pa.string()), *[pa.binary()] * 4]
+            rows.append((lang, [groups[row] for row in mine], b" ".join(known), *packed))
+        kinds = [pa.string(), pa.list_(pa.int64()), *[pa.binary()] * 4]
         columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
         if rows:
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -185,47 +185,37 @@ def _level_counts(width: int, level):
 
 
 def _left_counts(level):
-    """(lang, source, hash of a term, documents, occurrences) of the terms left, combined in
-    the task. Terms that the last level cuts are none of them."""
-    names = ["lang", "source", "hash", "docs", "count"]
-
-    def combined(groups, hashes, codes, counts):
-        hashes, codes, counts = (np.concatenate(c) for c in (hashes, codes, counts))
-        order = np.lexsort((codes, hashes))
-        hashes, codes, counts = hashes[order], codes[order], counts[order]
-        first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (codes[1:] != codes[:-1])])
-        pairs = list(groups)
-        of = pa.array(codes[first])
-        return pa.RecordBatch.from_arrays(
-            [
-                *(pa.array([pair[i] for pair in pairs], pa.string()).take(of) for i in range(2)),
-                pa.array(hashes[first].view(np.int64)),
-                pa.array(np.diff(np.r_[first, len(hashes)])),
-                pa.array(np.add.reduceat(counts, first)),
-            ],
-            names,
-        )
+    """(group, hash of a term, documents, occurrences) of the terms left, combined in the task.
+    Terms that the last level cuts are none of them."""
+    names = ["group", "hash", "docs", "count"]
+
+    def combined(hashes, groups, counts):
+        hashes, groups, counts = (np.concatenate(c) for c in (hashes, groups, counts))
+        order = np.lexsort((groups, hashes))
+        hashes, groups, counts = hashes[order], groups[order], counts[order]
+        first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (groups[1:] != groups[:-1])])
+        docs = np.diff(np.r_[first, len(hashes)])
+        columns = groups[first], hashes[first].view(np.int64), docs, np.add.reduceat(counts, first)
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
 
     def rows(batches):
-        groups: dict[tuple[str, str], int] = {}
-        hashes, codes, counts, held = [], [], [], 0
+        hashes, groups, counts, held = [], [], [], 0
         for batch in batches:
             columns = [column.to_pylist() for column in batch.columns]
-            for lang, sources, terms, lengths, numbers, times in zip(*columns):
+            for lang, of, terms, lengths, numbers, times in zip(*columns):
                 some = _Terms(lang, terms, lengths, numbers, level)
                 whole = ~some.longer(level[0])[some.numbers]
                 if not whole.any():
                     continue
-                of = np.array([groups.setdefault((lang, source), len(groups)) for source in sources])
                 hashes.append(some.hashes(level[0])[some.numbers[whole]])
-                codes.append(of[some.docs[whole]])
+                groups.append(np.array(of, dtype=np.int64)[some.docs[whole]])
                 counts.append(_unpacked(times)[some.kept][whole])
                 held += int(whole.sum())
-                if held >= 2 * BUFFER:
-                    yield combined(groups, hashes, codes, counts)
-                    hashes, codes, counts, held = [], [], [], 0
+                if held >= 4 * BUFFER:
+                    yield combined(hashes, groups, counts)
+                    hashes, groups, counts, held = [], [], [], 0
         if held:
-            yield combined(groups, hashes, codes, counts)
+            yield combined(hashes, groups, counts)
 
     return rows
 
@@ -260,13 +250,27 @@ def _names(width: int, wanted: Filter):
 _TERMS = ["lang", "terms", "lengths", "numbers"]
 
 
+def _named(df: DataFrame, lang: str, source: str, *more) -> DataFrame:
+    """``lang`` and ``source`` as texts, and ``more``."""
+    return df.select(
+        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"))),
+        *more,
+    )
+
+
+def groups_of(df: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """(``group``, ``lang``, ``source``) of every group; two with the same hash fail the job."""
+    found = _named(df, lang, source).distinct().groupBy(F.xxhash64("lang", "source").alias("group"))
+    clash = F.when(F.count("*") > 1, F.raise_error(F.lit("two groups have the same hash")).cast("string"))
+    return found.agg(F.coalesce(clash, F.first("lang")).alias("lang"), F.first("source").alias("source"))
+
+
 def document_terms(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The terms of all documents, packed."""
-    whole = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (lang, source)]
     return map_arrow(
-        df.select(*whole, F.col(text)),
+        _named(df, lang, source, F.col(text).alias("content")).select("lang", F.xxhash64("lang", "source").alias("group"), "content"),
         _document_terms,
-        "lang string, sources array<string>, terms binary, lengths binary, numbers binary, counts binary",
+        "lang string, groups array<bigint>, terms binary, lengths binary, numbers binary, counts binary",
     )
 
 
@@ -293,35 +297,34 @@ def refined(docs: DataFrame, least: int = LEAST, width: int = FIRST_WIDTH) -> li
 
 
 def kept_terms(docs: DataFrame, least: int = LEAST, levels: list | None = None) -> tuple[DataFrame, DataFrame]:
-    """(``lang``, ``source``, ``hash``, ``count``) of the kept terms that a source has, and
-    (``lang``, ``hash``, ``term``); ``docs`` is what ``document_terms`` gives."""
+    """(``group``, ``hash``, ``count``) of the kept terms that a group has, and (``lang``,
+    ``hash``, ``term``); ``docs`` is what ``document_terms`` gives. A hash is of the language
+    and the term."""
     width, left = (refined(docs, least) if levels is None else levels)[-1]
     counted = stage(
         map_arrow(
-            docs.select("lang", "sources", "terms", "lengths", "numbers", "counts"),
+            docs.select("lang", "groups", "terms", "lengths", "numbers", "counts"),
             _left_counts((width, left)),
-            "lang string, source string, hash bigint, docs bigint, count bigint",
+            "group bigint, hash bigint, docs bigint, count bigint",
         )
-        .groupBy("lang", "source", "hash")
+        .groupBy("hash", "group")
         .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count")),
         "terms",
     )
     enough = stage(
-        counted.groupBy("lang", "hash").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs"),
+        counted.groupBy("hash").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("hash"),
         "enough",
     )
-    kept = counted.drop("docs").join(enough, ["lang", "hash"]).select("lang", "source", "hash", "count")
+    kept = counted.drop("docs").join(enough, "hash").select("group", "hash", "count")
     named = map_arrow(
         docs.select(*_TERMS), _names(width, Filter(enough, "hash")), "lang string, hash bigint, term string"
     )
-    alone = F.when(
-        F.count("*") > 1, F.raise_error(F.lit("two terms of one language have the same hash")).cast("string")
-    )
+    clash = F.when(F.count("*") > 1, F.raise_error(F.lit("two terms have the same hash")).cast("string"))
     terms = (
         named.distinct()
-        .join(enough, ["lang", "hash"])
-        .groupBy("lang", "hash")
-        .agg(F.coalesce(alone, F.first("term")).alias("term"))
+        .join(enough, "hash")
+        .groupBy("hash")
+        .agg(F.coalesce(clash, F.first("lang")).alias("lang"), F.first("term").alias("term"))
     )
     return kept, terms
 
@@ -342,18 +345,16 @@ def divergence(p: Column, q: Column) -> Column:
 
 
 def _source_pairs(terms: DataFrame, groups: DataFrame, histogram: DataFrame) -> DataFrame:
-    """Sum of the divergences of every source from every other one of its language."""
-    mine = terms.select("lang", "hash", "source", "p", "zero")
-    other = terms.select(
-        "lang", "hash", F.col("source").alias("item"), F.col("p").alias("q"), F.col("zero").alias("q_zero")
-    )
+    """(``lang``, ``source``, ``item``, ``value``): the sum of the divergences of every source
+    from every other one of its language."""
+    other = terms.select("hash", F.col("group").alias("of"), F.col("p").alias("q"), F.col("zero").alias("q_zero"))
     both = (
-        mine.join(other, ["lang", "hash"])
-        .where(F.col("source") != F.col("item"))
+        terms.select("hash", "group", "p", "zero")
+        .join(other, "hash")
+        .where(F.col("group") != F.col("of"))
         .select(
-            "lang",
-            "source",
-            "item",
+            "group",
+            "of",
             (
                 divergence(F.col("p"), F.col("q"))
                 - divergence(F.col("p"), F.col("q_zero"))
@@ -362,30 +363,29 @@ def _source_pairs(terms: DataFrame, groups: DataFrame, histogram: DataFrame) ->
             ).alias("part"),
         )
     )
-    left = groups.select("lang", "source", "zero", "kept", F.col("distinct").alias("own"))
+    left = groups.select("lang", "group", "zero", "kept", F.col("distinct").alias("own"))
     right = groups.select(
-        "lang", F.col("source").alias("item"), F.col("zero").alias("q_zero"), F.col("distinct").alias("others")
+        "lang", F.col("group").alias("of"), F.col("zero").alias("q_zero"), F.col("distinct").alias("others")
     )
     # the terms that only one of the two has, by their counts
     alone = (
-        histogram.select("lang", "source", "p", "terms")
+        histogram.select("lang", "group", "p", "terms")
         .join(right, "lang")
-        .where(F.col("source") != F.col("item"))
-        .select("lang", "source", "item", (F.col("terms") * divergence(F.col("p"), F.col("q_zero"))).alias("part"))
+        .where(F.col("group") != F.col("of"))
+        .select("group", "of", (F.col("terms") * divergence(F.col("p"), F.col("q_zero"))).alias("part"))
     )
     against = (
-        histogram.select("lang", F.col("source").alias("item"), F.col("p").alias("q"), "terms")
+        histogram.select("lang", F.col("group").alias("of"), F.col("p").alias("q"), "terms")
         .join(left, "lang")
-        .where(F.col("source") != F.col("item"))
-        .select("lang", "source", "item", (F.col("terms") * divergence(F.col("zero"), F.col("q"))).alias("part"))
+        .where(F.col("group") != F.col("of"))
+        .select("group", "of", (F.col("terms") * divergence(F.col("zero"), F.col("q"))).alias("part"))
     )
     neither = (
         left.join(right, "lang")
-        .where(F.col("source") != F.col("item"))
+        .where(F.col("group") != F.col("of"))
         .select(
-            "lang",
-            "source",
-            "item",
+            "group",
+            "of",
             (
                 (F.col("kept") - F.col("own") - F.col("others"))
                 * divergence(F.col("zero"), F.col("q_zero"))
@@ -393,7 +393,10 @@ def _source_pairs(terms: DataFrame, groups: DataFrame, histogram: DataFrame) ->
         )
     )
     every = both.unionByName(alone).unionByName(against).unionByName(neither)
-    return every.groupBy("lang", "source", "item").agg(F.sum("part").alias("value"))
+    sums = every.groupBy("group", "of").agg(F.sum("part").alias("value"))
+    named = groups.select("group", "lang", "source")
+    items = groups.select(F.col("group").alias("of"), F.col("source").alias("item"))
+    return sums.join(named, "group").join(items, "of").select("lang", "source", "item", "value")
 
 
 def source_divergence(
@@ -405,35 +408,38 @@ def source_divergence(
     docs = stage(document_terms(df, text, lang, source), "document-terms")
     counted, names = kept_terms(docs, least)
     counted = stage(counted, "kept-terms")
-    whole = counted.groupBy("lang", "hash").agg(F.sum("count").alias("lang_count"))
-    whole = stage(whole.join(names, ["lang", "hash"]), "language-terms")
+    whole = counted.groupBy("hash").agg(F.sum("count").alias("lang_count"))
+    whole = stage(whole.join(names, "hash"), "language-terms")
     langs = whole.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_count").alias("lang_total"))
-    totals = counted.groupBy("lang", "source").agg(F.count("*").alias("distinct"), F.sum("count").alias("total"))
+    totals = counted.groupBy("group").agg(F.count("*").alias("distinct"), F.sum("count").alias("total"))
     nothing = F.lit(0).cast("bigint")
     groups = (
-        docs.select("lang", F.explode("sources").alias("source"))
-        .distinct()
+        groups_of(df, lang, source)
         .join(langs, "lang", "left")
-        .join(totals, ["lang", "source"], "left")
-        .select("lang", "source", *(F.coalesce(c, nothing).alias(c) for c in ("kept", "lang_total", "distinct", "total")))
+        .join(totals, "group", "left")
+        .select(
+            "group", "lang", "source",
+            *(F.coalesce(c, nothing).alias(c) for c in ("kept", "lang_total", "distinct", "total")),
+        )
         .withColumn("zero", share(nothing, F.col("total"), F.col("kept")))
     )
     groups = stage(groups, "groups")
-    sized = groups.select("lang", "source", "kept", "total", "lang_total", "zero")
-    terms = counted.join(sized, ["lang", "source"]).withColumn("p", share(F.col("count"), F.col("total"), F.col("kept")))
-    terms = stage(terms.select("lang", "source", "hash", "p", "zero", "kept", "lang_total"), "shares")
-    histogram = stage(terms.groupBy("lang", "source", "p").agg(F.count("*").alias("terms")), "histogram")
+    sized = groups.select("group", "lang", "kept", "total", "lang_total", "zero")
+    terms = counted.join(sized, "group").withColumn("p", share(F.col("count"), F.col("total"), F.col("kept")))
+    terms = stage(terms.select("group", "lang", "hash", "p", "zero", "kept", "lang_total"), "shares")
+    histogram = stage(terms.groupBy("lang", "group", "p").agg(F.count("*").alias("terms")), "histogram")
 
     pairs = _source_pairs(terms, groups, histogram)
     above = (
-        terms.join(whole, ["lang", "hash"])
+        terms.join(whole.select("hash", "term", "lang_count"), "hash")
         .withColumn("q", share(F.col("lang_count"), F.col("lang_total"), F.col("kept")))
         .where(F.col("p") > F.col("q"))
-        .select("lang", "source", F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
+        .select("group", F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
     )
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    ranked = pairs.withColumn("rank", F.row_number().over(order))
-    first = above.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
+    falling = [F.desc("value"), F.col("item")]
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*falling)))
+    first = above.withColumn("rank", F.row_number().over(Window.partitionBy("group").orderBy(*falling)))
+    first = first.where(F.col("rank") <= ranks).join(groups.select("group", "lang", "source"), "group")
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return (
         ranked.withColumn("part", F.lit("pair"))

@@ -76,7 +76,8 @@ def test_small_buffers_and_levels(spark, monkeypatch):
     levels = divergence.refined(packed)
     assert [width for width, _ in levels] == [4, 8, 16, 32, 64]
     kept, names = divergence.kept_terms(packed, levels=levels)
-    found = kept.join(names, ["lang", "hash"]).select("lang", "source", "term", "count")
+    groups = divergence.groups_of(docs).drop("lang")
+    found = kept.join(names, "hash").join(groups, "group").select("lang", "source", "term", "count")
     want = Counter()
     by_lang = defaultdict(Counter)
     for _, text, lang, source in rows:
