@@ -87,10 +87,10 @@ def compare_backends(
 def comparison_cells(compared: DataFrame, first: str, second: str) -> DataFrame:
     """The comparison as text cells, one row per metric, a dash where unknown."""
     shown = [
-        ("Wall clock (s)", "elapsed_sec", 1),
-        ("Output rows", "rows", None),
-        ("Throughput (assets/s)", "throughput", 2),
-        ("Batch size", "batch_size", None),
+        ("Elapsed seconds", "elapsed_sec", 1),
+        ("Captions", "rows", None),
+        ("Assets per second", "throughput", 2),
+        ("Assets per call", "batch_size", None),
     ]
     rows = F.array(
         *[

@@ -208,7 +208,7 @@ def test_comparison_and_sweep(spark, folder, manifest):
     wide = runs.compare_backends(table.withColumn("o", F.lit(1)), "batch", "request", "o")
     assert wide.first().speedup == found["batch"].elapsed_sec / found["request"].elapsed_sec
     cells = {r.metric: r for r in runs.comparison_cells(wide, "batch", "request").collect()}
-    assert cells["Output rows"].request == "12"
+    assert cells["Captions"].request == "12"
 
     swept = runs.sweep(spark, manifest, folder + "/sweep", CONFIG, [1, 2], [1])
     assert {(r.batch_size, r.rows) for r in swept.collect()} == {(1, 12), (2, 12)}
