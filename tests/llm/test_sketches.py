@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from framesift.llm import sketches, text
+from framesift.llm.components import components
 from tests.llm.conftest import EDGES
 from tests.llm.test_edges import near_copies
 
@@ -106,3 +107,24 @@ def test_links_are_not_lost_by_bands_or_agreement():
 def test_linked_is_exact_at_the_threshold():
     x = np.arange(100, dtype=np.uint64)
     assert sketches.linked(x, x[:85], 85) and not sketches.linked(x, x[:84], 85)
+
+
+@pytest.mark.parametrize("rows", [3, 500_000])
+def test_components_of_paths_stars_and_rings(spark, monkeypatch, rows):
+    monkeypatch.setattr("framesift.llm.components.ROWS", rows)
+    draw = random.Random(rows)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(200 + i, 100) for i in range(50)] + [(300 + i, 300 + (i + 1) % 9) for i in range(9)]
+    edges += [(b, a) for a, b in edges[:30]] + [(5, 5), (None, 4), (4, None), (-7, 900), (900, -3)]
+    draw.shuffle(edges)
+    label = {}
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            old, new = label.get(b, b), label.get(a, a)
+            label.setdefault(a, a), label.setdefault(b, b)
+            label = {k: new if v == old else v for k, v in label.items()}
+    least = {}
+    for k, v in label.items():
+        least[v] = min(least.get(v, k), k)
+    frame = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
+    found = {r.node: r.root for r in components(frame).collect()}
+    assert found == {k: least[v] for k, v in label.items() if least[v] != k}
