@@ -55,6 +55,8 @@ UNIT = 1_000_000_000
 FIRST_WIDTH = 4
 #: Counts that a task combines before it sends them on.
 BUFFER = 1_000_000
+#: Cells of documents by prefixes that are counted in a table; more are sorted.
+TABLE = 1 << 25
 #: Longer prefixes are hashed one by one.
 SHORT = 32
 
@@ -142,6 +144,15 @@ class _Terms:
     def hashes(self, width: int) -> np.ndarray:
         return prefix_hashes(self.lang, self.terms, width)
 
+    def documents(self, group: np.ndarray, groups: int) -> np.ndarray:
+        """Of every group of terms the number of documents that have any of it."""
+        entries, size = group[self.numbers], self.docs.max(initial=-1) + 1
+        if size * groups > TABLE:
+            return np.bincount(np.unique(self.docs * groups + entries) % groups, minlength=groups)
+        table = np.zeros((size, groups), dtype=bool)
+        table[self.docs, entries] = True
+        return table.sum(axis=0)
+
     def longer(self, width: int) -> np.ndarray:
         return np.fromiter(map(len, self.terms), np.int64, len(self.terms)) > width
 
@@ -167,12 +178,10 @@ def _level_counts(width: int, level):
                     continue
                 longer = some.longer(width)
                 found, place = np.unique(some.hashes(width), return_inverse=True)
-                pairs = some.docs * len(found) + place[some.numbers]
-                pairs = np.unique(pairs)  # a document counts once for all its terms of a prefix
                 cut = np.zeros(len(found), dtype=bool)
                 cut[place[longer]] = True
                 hashes.append(found)
-                docs.append(np.bincount(pairs % len(found), minlength=len(found)))
+                docs.append(some.documents(place, len(found)))
                 cuts.append(cut)
                 held += len(found)
                 if held >= BUFFER:
