@@ -54,7 +54,7 @@ HOT = 1 << 17
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 4_000_000
 #: Map-side buffer of prefix shingles.
-BUFFER = 1_000_000
+BUFFER = 500_000
 #: Sets of linkable size are at most one class apart.
 CLASS_WIDTH = math.log(100 / THRESHOLD) * 1.0001
 
