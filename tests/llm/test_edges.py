@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from framesift import workspace
 from framesift.llm import (
     components, decontaminate, jaccard, language, mixture, quality, rollup, scoring, search, secrets,
     slots, text,
@@ -121,6 +122,61 @@ def test_components(spark):
     assert found == {i: find(i) for i in root if find(i) != i}
 
 
+@pytest.mark.parametrize("rows, most", [(components.ROWS, 2), (16, 40)])
+def test_few_edges_take_one_round(spark, monkeypatch, rows, most):
+    staged = []
+    monkeypatch.setattr(components, "ROWS", rows)
+    monkeypatch.setattr(components, "stage", lambda df, name: staged.append(name) or workspace.stage(df, name))
+    pairs = [(i, i + 1) for i in range(1000, 1100)] + [(7, 5), (5, 3), (3, 3)]
+    frame = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(8, "b")
+    found = {r.node: r.root for r in components.components(frame).collect()}
+    assert found == {5: 3, 7: 3} | {i: 1000 for i in range(1001, 1101)}
+    assert len(staged) <= most
+
+
+def test_steps_over_sets_hand_on_small_batches():
+    texts = pa.array([f"one two three four five six {i}" for i in range(3 * text.ROWS)])
+    keys = [jaccard.set_digest(found) for found in jaccard.shingle_sets(texts)]
+    numbers = pa.array(range(len(texts)), pa.int64())
+    whole = pa.RecordBatch.from_arrays([texts, pa.array(keys), numbers, numbers], ["content", "set_key", "copies", "n"])
+    found = list(jaccard._wanted_sets(jaccard.SIZE)(iter([whole])))
+    assert sum(batch.num_rows for batch in found) == len(texts)
+    assert max(batch.num_rows for batch in found) <= text.ROWS
+
+
+def test_common_shingles_of_a_batch():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 300, 40, dtype=np.uint64)) for _ in range(30)] + [np.zeros(0, np.uint64)]
+    column = pa.array([b"never"] + [s.tobytes() for s in sets], pa.binary())
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    for some in (column.slice(1), column.slice(31)):
+        (batch,) = jaccard._common([pa.RecordBatch.from_arrays([some], ["shingles"])])
+        want = dict(zip(values[counts > 1].tolist(), counts[counts > 1].tolist())) if len(some) > 1 else {}
+        assert dict(zip(*(c.to_pylist() for c in batch.columns))) == want
+
+
+def test_a_shard_is_built_in_bounded_memory_for_each_posting(monkeypatch):
+    import tracemalloc
+
+    draw = np.random.default_rng(6)
+    docs = np.repeat(np.arange(2000, dtype=np.int32), 200)
+    words = np.concatenate([draw.choice(3000, 200, replace=False) for _ in range(2000)]).astype(np.int64)
+    gains = draw.random(len(docs))
+    monkeypatch.setattr(search, "STEP", 1 << 12, raising=False)
+    tracemalloc.start()
+    shard = search.Shard(docs, words, gains)
+    peak = tracemalloc.get_traced_memory()[1] / len(docs)
+    tracemalloc.stop()
+    assert peak < 38
+    ask = [(w, 1.0 + w / 3000) for w in range(0, 3000, 5)]
+    best = [shard.best(ask, 10) for _ in range(2)]
+    monkeypatch.setattr(search, "KEPT_BYTES", 0, raising=False)
+    best.append(search.Shard(docs, words, gains).best(ask, 10))
+    total = np.bincount(docs, np.where(words % 5 == 0, (1 + words / 3000) * gains, 0))
+    want = np.lexsort((np.arange(2000), -np.round(total, search.DIGITS)))[:10]
+    assert all(found.tolist() == want.tolist() for found, _ in best)
+
+
 def test_decontamination_edges(spark, edges, nothing):
     items = [(1, " ".join(NEAR.split()[5:20]).upper()), (2, "two, WORDS!"), (3, None), (4, "..."), (None, "five six"),
              (1, "four five")]
