@@ -310,27 +310,27 @@ def kept_terms(docs: DataFrame, least: int = LEAST, levels: list | None = None)
     ``hash``, ``term``); ``docs`` is what ``document_terms`` gives. A hash is of the language
     and the term."""
     width, left = (refined(docs, least) if levels is None else levels)[-1]
-    counted = stage(
+    # combined in their tasks, rows move once, by hash, and meet their threshold where they land
+    counted = (
         map_arrow(
             docs.select("lang", "groups", "terms", "lengths", "numbers", "counts"),
             _left_counts((width, left)),
             "group bigint, hash bigint, docs bigint, count bigint",
         )
+        .repartition("hash")
         .groupBy("hash", "group")
-        .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count")),
-        "terms",
+        .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
+        .withColumn("holders", F.sum("docs").over(Window.partitionBy("hash")))
     )
-    enough = stage(
-        counted.groupBy("hash").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("hash"),
-        "enough",
-    )
-    kept = counted.drop("docs").join(enough, "hash").select("group", "hash", "count")
+    kept = stage(counted.where(F.col("holders") >= least).select("group", "hash", "count"), "kept-terms")
+    enough = stage(kept.select("hash").distinct(), "enough")
     named = map_arrow(
         docs.select(*_TERMS), _names(width, Filter(enough, "hash")), "lang string, hash bigint, term string"
     )
     clash = F.when(F.count("*") > 1, F.raise_error(F.lit("two terms have the same hash")).cast("string"))
     terms = (
-        named.distinct()
+        named.repartition("hash")
+        .distinct()
         .join(enough, "hash")
         .groupBy("hash")
         .agg(F.coalesce(clash, F.first("lang")).alias("lang"), F.first("term").alias("term"))
@@ -416,7 +416,6 @@ def source_divergence(
     it has most above the language's share (part ``term``). Runs several jobs."""
     docs = stage(document_terms(df, text, lang, source), "document-terms")
     counted, names = kept_terms(docs, least)
-    counted = stage(counted, "kept-terms")
     whole = counted.groupBy("hash").agg(F.sum("count").alias("lang_count"))
     whole = stage(whole.join(names, "hash"), "language-terms")
     langs = whole.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_count").alias("lang_total"))

@@ -92,3 +92,14 @@ def test_small_buffers_and_levels(spark, monkeypatch):
 def test_empty_table(spark, nothing):
     found = divergence.source_divergence(nothing)
     assert found.columns == ["lang", "source", "part", "item", "value", "rank"] and found.collect() == []
+
+
+def test_counts_are_written_once(spark, monkeypatch):
+    rows = [(i, "a ab abc abcdefg other" + " rare" * (i < 2), "en", f"s{i % 2}") for i in range(6)]
+    docs = divergence.document_terms(spark.createDataFrame(rows, SCHEMA))
+    levels, staged, real = divergence.refined(docs), [], divergence.stage
+    monkeypatch.setattr(divergence, "stage", lambda df, name: staged.append(name) or real(df, name))
+    kept, terms = divergence.kept_terms(docs, levels=levels)
+    assert {r.term for r in terms.collect()} == {"a", "ab", "abc", "abcdefg", "other"}
+    assert sorted(r["count"] for r in kept.collect()) == [3] * 10
+    assert staged == ["kept-terms", "enough"]
