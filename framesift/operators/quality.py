@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Sequence
 
@@ -216,6 +217,89 @@ def bleu(
     )
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values that spreads every bit over all bits."""
+    for _ in range(2):
+        values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
+
+
+def _gram_counts(order: int):
+    """(key, n, two hashes of an n-gram, how often candidate and reference have it) of every key;
+    the rows of a key come together."""
+    factors = _mixed(np.arange(1, 2 * order + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    known: dict[str, tuple[int, int]] = {}
+
+    def word(text: str) -> tuple[int, int]:
+        if text not in known:
+            if len(known) > 500_000:
+                known.clear()
+            digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            known[text] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
+        return known[text]
+
+    def hashed(n: int, words: np.ndarray) -> np.ndarray:
+        count = max(len(words) - n + 1, 0)
+        found = np.full((count, 2), n, dtype=np.uint64)
+        for k in range(n):
+            found = _mixed(found + words[k : k + count] * factors[k])
+        return found
+
+    def counted(pairs):
+        """The n-grams of all texts of one key."""
+        grams, sizes, sides = [], [], []
+        for side, text in ((side, text) for pair in pairs for side, text in enumerate(pair) if text is not None):
+            words = np.array([word(w) for w in text.split(" ")], dtype=np.uint64)
+            for n in range(1, order + 1):
+                grams.append(hashed(n, words))
+                sizes.append(np.full(len(grams[-1]), n, np.int32))
+                sides.append(np.full(len(grams[-1]), side, np.int64))
+        if not grams:
+            return None
+        grams, sizes, sides = map(np.concatenate, (grams, sizes, sides))
+        place = np.lexsort((grams[:, 1], grams[:, 0], sizes))
+        grams, sizes, sides = grams[place], sizes[place], sides[place]
+        first = np.flatnonzero(np.r_[True, (grams[1:] != grams[:-1]).any(axis=1) | (sizes[1:] != sizes[:-1])])
+        given = np.add.reduceat(sides, first)
+        made = np.diff(np.r_[first, len(sides)]) - given
+        return sizes[first], grams[first, 0], grams[first, 1], made, given
+
+    def batch_of(held):
+        keys, columns = zip(*held)
+        lengths = [len(column[0]) for column in columns]
+        sizes, first, second, made, given = (np.concatenate(column) for column in zip(*columns))
+        named = pa.concat_arrays(keys).take(pa.array(np.repeat(np.arange(len(keys)), lengths)))
+        arrays = [sizes, first.view(np.int64), second.view(np.int64), made, given]
+        names = ["_key", "n", "_hash", "_check", "made", "given"]
+        return pa.RecordBatch.from_arrays([named, *map(pa.array, arrays)], names)
+
+    def rows(batches):
+        held, ready, now, texts = [], 0, None, []
+        for batch in batches:
+            keys = batch.column(0)
+            columns = (batch.column(i).to_pylist() for i in range(3))
+            for row, (key, *pair) in enumerate(zip(*columns)):
+                if now is None or key != now[0]:
+                    if now is not None and (found := counted(texts)) is not None:
+                        held.append((now[1], found))
+                        ready += len(found[0])
+                    now, texts = (key, keys.slice(row, 1)), []
+                    if ready >= 200_000:
+                        yield batch_of(held)
+                        held, ready = [], 0
+                texts.append(pair)
+        if now is not None and (found := counted(texts)) is not None:
+            held.append((now[1], found))
+        if held:
+            yield batch_of(held)
+
+    return rows
+
+
+#: Most common n-grams whose numbers are broadcast.
+COMMON_GRAMS = 100_000
+
+
 def cider(
     pairs: DataFrame,
     key: str,
@@ -227,22 +311,31 @@ def cider(
     """CIDEr of every pair: the cosine of both texts' n-gram counts, weighted by how
     rare an n-gram is among the references, as the mean over n-gram lengths.
 
-    An n-gram of more than ``hot_pairs`` references is no join key: there are few of
-    those, and their staged table is small enough for Spark to broadcast.
+    Of the n-grams of more than ``hot_pairs`` references the ``COMMON_GRAMS`` most common ones
+    are no join keys: their numbers are broadcast, and their rows are added up where they are.
+    Others are joined once, with the numbers of those that several references have. Between
+    pairs n-grams are told apart by 128 bits of hashes; only the texts of a pair are moved.
     """
     total = pairs.count()
-    grams = stage(pair_ngrams(pairs, key, candidate, reference, order=order), "ngrams")
+    gram = ["_hash", "_check"]
+    ship_package(pairs.sparkSession)
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = [F.lower(candidate).alias("_candidate"), F.lower(reference).alias("_reference")]
+    placed = pairs.select(F.col(key).alias("_key"), *texts).repartition(tasks, "_key").sortWithinPartitions("_key")
+    kind = pairs.schema[key].dataType.simpleString()
+    schema = f"_key {kind}, n int, _hash bigint, _check bigint, made bigint, given bigint"
+    grams = stage(placed.mapInArrow(_gram_counts(order), schema).withColumnRenamed("_key", key), "ngrams")
     # Partial counts are made before the shuffle, so a common n-gram is no hot key here.
-    seen = grams.where("given > 0").groupBy("n", "gram").agg(F.count(F.lit(1)).alias("pairs"))
-    seen = stage(seen, "ngram-pairs")
-    common = stage(seen.where(F.col("pairs") > hot_pairs), "common-ngrams")
+    seen = grams.where("given > 0").groupBy(*gram).agg(F.count(F.lit(1)).alias("pairs"))
+    seen = stage(seen.where("pairs > 1"), "ngram-pairs")  # one pair weighs as none
+    common = stage(
+        seen.where(F.col("pairs") > hot_pairs).orderBy(F.desc("pairs"), *gram).limit(COMMON_GRAMS), "common-ngrams"
+    )
     if common.isEmpty():
-        weighted = grams.join(seen, ["n", "gram"], "left")
+        weighted = grams.join(seen, gram, "left")
     else:
-        rare = grams.join(common, ["n", "gram"], "left_anti").join(
-            seen.where(F.col("pairs") <= hot_pairs), ["n", "gram"], "left"
-        )
-        weighted = rare.unionByName(grams.join(common, ["n", "gram"]))
+        rest = grams.join(F.broadcast(common), gram, "left_anti")
+        weighted = rest.join(seen, gram, "left").unionByName(grams.join(F.broadcast(common), gram))
     weight = F.ln(F.lit(float(total)) / F.coalesce("pairs", F.lit(1)))
     made, given = F.col("made") * weight, F.col("given") * weight
     sums = weighted.groupBy(key, "n").agg(

@@ -273,3 +273,20 @@ def test_in_flight_never_holds_more_than_the_window():
     with pytest.raises(ZeroDivisionError):
         list(in_flight(lambda i: 1 // (i - 3), range(20), 3))
     assert list(in_flight(lambda i: i, iter(()), 3)) == []
+
+
+def test_cider_stages_no_texts_and_counts_a_key_over_batches(spark, monkeypatch):
+    staged, real = [], Q.stage
+    monkeypatch.setattr(Q, "stage", lambda df, name: staged.append(df) or real(df, name))
+    rows = [(1, "a b", "a b"), (2, "a c", None), (2, "A c", "c"), (None, "b", "b b"), (3, None, None)]
+    pairs = spark.createDataFrame(rows, "k int, c string, r string")
+    assert {r.k for r in Q.cider(pairs, "k", "c", "r", order=2).collect()} == {1, 2, None}
+    assert not any(kind == "string" for df in staged for _, kind in df.dtypes)
+    table = pa.table({"_key": [None, 1, 2, 2, 3], "_candidate": ["b", "a b", "a c", "a c", None],
+                      "_reference": ["b b", "a b", None, "c", None]})
+    for cut in range(6):
+        batches = [b for some in (table.slice(0, cut), table.slice(cut)) for b in some.combine_chunks().to_batches()]
+        found = pa.Table.from_batches(list(Q._gram_counts(2)(iter(batches)))).to_pylist()
+        counts = sorted((r["_key"] or 0, r["n"], r["made"], r["given"]) for r in found)
+        assert counts == [(0, 1, 1, 2), (0, 2, 0, 1), (1, 1, 1, 1), (1, 1, 1, 1), (1, 2, 1, 1),
+                          (2, 1, 2, 0), (2, 1, 2, 1), (2, 2, 2, 0)]
