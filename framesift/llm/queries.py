@@ -36,3 +36,7 @@ ORACLE_SQL = {
     "op12_centroid_clustering": centroids.OP12_SQL,
     "op13_source_divergence": divergence.OP13_SQL,
 }
+
+#: Queries of the same operators beside the numbered ones.
+MORE = {"lm_scoring_all_words": scoring.lm_scoring_all_words}
+MORE_SQL = {"lm_scoring_all_words": scoring.ALL_WORDS_SQL}

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -15,6 +16,7 @@ from framesift.llm import (
     components, decontaminate, jaccard, language, mixture, quality, rollup, scoring, search, secrets,
     slots, text,
 )
+from tests import sqlcheck
 from tests.llm.conftest import EDGES, LONG, NEAR
 
 
@@ -417,6 +419,33 @@ def test_scoring_edges(spark, edges, nothing):
     assert {round(r.target_loss, 4) for r in uniform.collect()} == {round(math.log(21), 4)}
 
 
+def test_scoring_over_all_words(spark, tmp_path):
+    """More words than the vocabulary of a bound has; all of them tell documents apart."""
+    draw = random.Random(5)
+    rare = [f"w{i}" for i in range(scoring.WORDS + 1500)]
+    texts = [" ".join(draw.choices(rare, [1 / (i + 9) for i in range(len(rare))], k=draw.randrange(1, 200))) for _ in range(300)]
+    texts += [None, "", "alone", f"{rare[-1]} {rare[-2]}", f"{rare[-3]} {rare[-4]}", texts[0], "\u00c9t\u00c9 w1 W1"]
+    rows = [(i if i % 17 else None, text) for i, text in enumerate([*texts, *texts[:5]])]
+    rows[40:42] = [rows[39]] * 2
+    marks = [(i, i % 3 % 2) for i in range(0, 330, 2)] + [(None, 1), (4, 1), (4, 1), (999, 1)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    spark.createDataFrame(marks, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/l")
+    docs = spark.read.parquet(f"{tmp_path}/d").withColumnRenamed("doc_id", "id")
+    target = spark.read.parquet(f"{tmp_path}/l").where("quality = 1").selectExpr("doc_id AS id")
+    connection = duckdb.connect()
+    for name in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name[0]}/*.parquet'")
+    for chunk in (scoring.CHUNK, 500):
+        found = scoring.cross_entropy_difference(docs, target, words=None, chunk=chunk)
+        ours, theirs = sqlcheck.compare(connection, found.withColumnRenamed("id", "doc_id"), scoring.ALL_WORDS_SQL)
+        assert ours == theirs
+    none = scoring.cross_entropy_difference(docs, target.limit(0), words=None)
+    known = len({word for _, content in rows for word in words_of(content)})
+    losses = {round(r.target_loss, 4) for r in none.where("n_tokens > 0").collect()}
+    assert losses == {round(math.log(known + 1), 4)}
+    assert scoring.cross_entropy_difference(docs.limit(0), target, words=None).count() == 0
+
+
 def test_rollup(spark, tmp_path):
     book = rollup.TokenRollup(spark, str(tmp_path / "book"))
     schema = "op string, doc_id bigint, tokenizer string, source string, lang string, n_tokens bigint"
