@@ -26,11 +26,11 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framesift.llm.text import built, fold
+from framesift.llm.text import ROWS as SLICE, built, fold
 from framesift.workspace import ship_package
 
 ROWS = 2000
@@ -203,10 +203,13 @@ def scores(model: Classifier, text: Column | str, spark) -> Column:
     key = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY_BYTES
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         compressors = built("quality", key, shared.value.compressors)
-        return pd.Series([shared.value.score(content, compressors) for content in texts], dtype=float)
+        found = []
+        for at in range(0, len(texts), SLICE):  # not all texts of a batch as Python strings at once
+            found += [shared.value.score(content, compressors) for content in texts.slice(at, SLICE).to_pylist()]
+        return pa.array(found, pa.float64())
 
     return score(text)
 

@@ -40,6 +40,26 @@ def test_word_hashes_follow_words(monkeypatch):
         assert len(set(seen.values())) == len(seen)
 
 
+def test_workers_give_memory_back(monkeypatch):
+    """After a task's rows, when none of them is held any more."""
+    seen = []
+
+    class Frame:
+        sparkSession = None
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    class Pool:
+        def release_unused(self):
+            seen.append("released")
+
+    monkeypatch.setattr(text, "ship_package", lambda spark: None)
+    monkeypatch.setattr(text.pa, "default_memory_pool", Pool)
+    task = text.map_arrow(Frame(), lambda batches: (seen.append(batch) or batch for batch in batches), "n int")
+    assert list(task([1, 2])) == [1, 2] and seen == [1, 2, "released"]
+
+
 def shingles(content):
     words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(text.WORD, content or "")]
     if len(words) < 5:
