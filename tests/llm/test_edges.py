@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -424,6 +425,28 @@ def test_pruned_shard_equals_all_scores(monkeypatch, block):
         assert found.tolist() == want and scores.tolist() == every[want].tolist()
 
 
+def test_postings_take_little_memory():
+    """Of a large batch of documents only what is kept, 20 bytes a posting, and a small step."""
+    rows, words = 20_000, 40
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.zeros(rows, np.int32)),
+            pa.array(np.arange(rows)),
+            pa.array(np.full(rows, words)),
+            pa.array([np.arange(words).tobytes()] * rows, pa.binary()),
+            pa.array([np.ones(words, "<u4").tobytes()] * rows, pa.binary()),
+            pa.nulls(rows, pa.binary()),
+        ],
+        ["shard", "id", "length", "words", "counts", "asks"],
+    )
+    tracemalloc.start()
+    try:
+        assert list(search._search(10, 40.0)([batch])) == []
+        assert tracemalloc.get_traced_memory()[1] < 30 * rows * words
+    finally:
+        tracemalloc.stop()
+
+
 def test_scoring_edges(spark, edges, nothing):
     docs = edges.select(F.col("doc_id").alias("id"), "text")
     target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "id bigint")
