@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framesift.llm.text import WORD, free_name
+from framesift.llm.text import WORD, free_name, give_back
 from framesift.workspace import ship_package, stage
 
 WEIGHTS = (1, 2, 3)
@@ -244,6 +244,7 @@ class Plan:
         ).drop(*names)
 
         def run(table: pa.Table) -> pa.Table:
+            give_back()  # what the shard before took
             sizes = table[size].to_numpy()
             order = np.lexsort((sizes, table[place].to_numpy()))
             table, sizes = table.take(pa.array(order)), sizes[order]

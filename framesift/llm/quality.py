@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framesift.llm.text import ROWS as SLICE, built, fold
+from framesift.llm.text import ROWS as SLICE, built, fold, give_back
 from framesift.workspace import ship_package
 
 ROWS = 2000
@@ -209,6 +209,7 @@ def scores(model: Classifier, text: Column | str, spark) -> Column:
         found = []
         for at in range(0, len(texts), SLICE):  # not all texts of a batch as Python strings at once
             found += [shared.value.score(content, compressors) for content in texts.slice(at, SLICE).to_pylist()]
+        give_back()
         return pa.array(found, pa.float64())
 
     return score(text)

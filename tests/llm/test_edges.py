@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import ctypes
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -61,6 +63,34 @@ def test_workers_give_memory_back(monkeypatch):
     assert list(task([1, 2])) == [1, 2] and seen == [1, 2, "released"]
 
 
+def test_workers_give_back_what_malloc_holds(monkeypatch):
+    """Freed arrays below others that are still there, as tasks leave them behind."""
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("libc has no way to")
+
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    class Frame:
+        sparkSession = None
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    kept = []
+
+    def task(batches):
+        arrays = [np.ones(100_000, np.uint8) for _ in range(2000)]
+        kept.extend(np.ones(2000, np.uint8) for _ in range(100))
+        yield resident()
+        del arrays
+
+    monkeypatch.setattr(text, "ship_package", lambda spark: None)
+    before = resident()
+    (most,) = text.map_arrow(Frame(), task, "n int")([])
+    assert most - before > 100 << 20 and resident() - before < 50 << 20
+
+
 def shingles(content):
     words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(text.WORD, content or "")]
     if len(words) < 5:
