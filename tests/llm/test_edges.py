@@ -477,6 +477,62 @@ def test_postings_take_little_memory():
         tracemalloc.stop()
 
 
+def test_shards_are_laid_out_in_little_memory(monkeypatch):
+    """At rest 24 bytes a posting; on the way from parts little more, and the same index."""
+    monkeypatch.setattr(search, "STEP", 1 << 14)
+    rng = np.random.default_rng(3)
+    parts = []
+    for part in range(50):
+        lengths = rng.integers(0, 300, 100)
+        docs = np.repeat(np.arange(100, dtype=np.int32) + 100 * part, lengths)
+        words = np.concatenate([rng.permutation(3000)[:n] for n in lengths]) * 1_000_003
+        parts.append((docs, words, rng.random(len(docs))))
+    postings = sum(len(docs) for docs, _, _ in parts)
+    whole = search.Shard(*(np.concatenate(column) for column in zip(*parts)))
+    tracemalloc.start()
+    try:
+        parts = [tuple(column.copy() for column in part) for part in parts]
+        shard = search.Shard.of_parts(parts)
+        assert not parts and tracemalloc.get_traced_memory()[1] < 40 * postings
+    finally:
+        tracemalloc.stop()
+    for name in ("words", "start", "docs", "gains", "doc_start", "doc_words", "doc_gains", "tie"):
+        assert (getattr(shard, name) == getattr(whole, name)).all()
+    spread = np.lexsort((np.argsort(shard.tie)[np.repeat(np.arange(shard.size), np.diff(shard.doc_start))], shard.doc_words))
+    assert (shard.gains == shard.doc_gains[spread]).all()
+
+
+def test_ids_hold_no_batches():
+    """Columns from Spark are parts of one buffer, the whole batch; of a shard's documents only
+    the ids wait for the queries."""
+    rows, words, seen = 2000, 200, []
+
+    def batch(first):
+        some = pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.zeros(rows, np.int32)),
+                pa.array(np.arange(first, first + rows)),
+                pa.array(np.full(rows, words)),
+                pa.array([np.arange(words).tobytes()] * rows, pa.binary()),
+                pa.array([np.ones(words, "<u4").tobytes()] * rows, pa.binary()),
+                pa.nulls(rows, pa.binary()),
+            ],
+            ["shard", "id", "length", "words", "counts", "asks"],
+        )
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, some.schema) as stream:
+            stream.write_batch(some)
+        return next(pa.ipc.open_stream(sink.getvalue()))
+
+    def batches():
+        for k in range(4):
+            yield batch(k * rows)
+            seen.append(pa.total_allocated_bytes())
+
+    assert list(search._search(10, float(words))(batches())) == []
+    assert max(seen) < seen[0] + 12 * words * rows
+
+
 def test_scoring_edges(spark, edges, nothing):
     docs = edges.select(F.col("doc_id").alias("id"), "text")
     target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "id bigint")
