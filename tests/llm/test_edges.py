@@ -534,6 +534,69 @@ def test_ids_hold_no_batches():
     assert max(seen) < seen[0] + 12 * words * rows
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_shards_leave_few_hits_and_queries_move_once(spark, monkeypatch, kind):
+    """However many shards there are, a query gives at most ``PARTS * k`` rows to the merge, and
+    no shard moves the queries; with the same answers as one shard and as one block of queries."""
+    monkeypatch.setattr(search, "ASK_WORDS", 300, raising=False)
+    draw = random.Random(4)
+    common, rare = [f"c{i}" for i in range(30)], [f"r{i}" for i in range(400)]
+    rows = [(i, " ".join(draw.choices(common, k=25) + draw.choices(rare, k=12))) for i in range(300)]
+    rows += [(i, content) for i, content in rows[:20]] + [(None, rows[40][1]), (None, rows[41][1]), (900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "id bigint, text string").withColumn("id", F.col("id").cast(kind))
+    statistics = search.Statistics(docs)
+    queries = search.by_example(docs.where(F.col("id").cast("int") % 10 == 0), statistics)
+    made, moved, plain = [], [], search.map_arrow
+
+    def noted(df, function, schema):
+        result = plain(df, function, schema)
+        if "score" in schema:
+            made.append(result)
+            moved.append(df)
+        return result
+
+    monkeypatch.setattr(search, "map_arrow", noted)
+    answers = []
+    for shard_words, asked in ((400, 300), (10**6, 300), (400, 10**6)):
+        monkeypatch.setattr(search, "ASK_WORDS", asked, raising=False)
+        answers.append(sorted(map(str, search.top_k(docs, queries, statistics, k=5, shard_words=shard_words).collect())))
+    assert answers[0] == answers[1] == answers[2] and len(answers[0]) == 30 * 5
+    hits = made[0].select(F.expr("sum(size(ids))" if "ids" in made[0].columns else "count(*)")).first()[0]
+    assert 30 * 5 <= hits <= 4 * 30 * 5
+    plan = moved[0]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shard" not in plan and "CartesianProduct" in plan
+
+
+def test_a_shard_that_is_read_back_and_a_threshold_change_no_answer():
+    """Queries in a block meet several shards; sums in single precision decide nothing."""
+    draw = np.random.default_rng(12)
+    held = draw.random((3000, 60)) < np.linspace(0.004, 0.9, 60)
+    gains = np.round(draw.random(held.shape), 2) * held
+    gains[1500:] = gains[:1500] * (1 + 1e-7 * draw.integers(0, 3, (1500, 1)))  # nearly ties
+    idf = np.round(draw.random(60) * 9, 3)
+    queries = [draw.choice(62, 20, replace=False) for _ in range(40)] + [np.array([59]), np.array([61]), np.array([7, 7])]
+    kind = pa.list_(pa.struct([("word", pa.int64()), ("idf", pa.float64())]))
+    terms = [[{"word": int(w), "idf": float(idf[w % 60])} for w in sorted(q)] for q in queries]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(queries)) + 100), pa.array(terms, kind)], ["ask", "terms"])
+    (block,) = search._packed_asks([batch])
+    asked = search.Asked(block.column(0)[0].as_buffer(), 10)
+    for begin in range(0, 3000, 1000):
+        docs, words = np.nonzero(gains[begin : begin + 1000])
+        shard = search.Shard(docs.astype(np.int32), words, gains[begin + docs, words])
+        asked.meet(*search.Shard.read(shard.written(pa.array(np.arange(begin, begin + 1000)))))
+    found = {}
+    for some in asked.answers():
+        for ask, i, score in zip(*(column.to_pylist() for column in some.columns)):
+            found.setdefault(ask, []).append((i, score))
+    for number, query in enumerate(queries):
+        every = np.round(sum(gains[:, w] * idf[w] for w in query if w < 60) + np.zeros(3000), search.DIGITS)
+        want = [i for i in np.lexsort((np.arange(3000), -every))[:10] if every[i]]
+        got = found.get(number + 100, [])
+        assert [score for _, score in got] == pytest.approx(every[want].tolist(), abs=2e-6)
+        assert all(every[i] >= score - 2e-6 for i, score in got)
+        assert len({i for i, _ in got}) == len(want)
+
+
 def test_scoring_edges(spark, edges, nothing):
     docs = edges.select(F.col("doc_id").alias("id"), "text")
     target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "id bigint")
