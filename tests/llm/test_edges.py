@@ -639,6 +639,25 @@ def test_scoring_over_all_words(spark, tmp_path):
     assert scoring.cross_entropy_difference(docs.limit(0), target, words=None).count() == 0
 
 
+def test_op1_tells_rare_words_apart(spark, tmp_path):
+    """Two documents of one rare word each, of which only one is a word of a good document."""
+    many = [" ".join(f"w{i}" for i in range(at, at + 100)) for at in range(0, scoring.WORDS + 100, 100)]
+    texts = [*many * 4, "rare01 rare01", "rare01", "rare02 rare02", "rare02"]
+    good = 4 * len(many)
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(good, 1), (0, 1), (1, 0)], "doc_id bigint, quality int")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    found = scoring.op1_lm_scoring(spark, str(tmp_path))
+    score = {row.doc_id: row.score for row in found.collect()}
+    assert score[good + 1] < score[good + 3]
+    connection = duckdb.connect()
+    for name in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    ours, theirs = sqlcheck.compare(connection, found, scoring.ALL_WORDS_SQL)
+    assert ours == theirs
+
+
 def test_rollup(spark, tmp_path):
     book = rollup.TokenRollup(spark, str(tmp_path / "book"))
     schema = "op string, doc_id bigint, tokenizer string, source string, lang string, n_tokens bigint"
