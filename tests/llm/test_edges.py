@@ -141,6 +141,64 @@ def test_jaccard_join_equals_brute_force(spark, blocks):
         assert (row.n, row.component_id, row.links) == (len(sets[i]), ids[min(reach)], len(links[i]))
 
 
+def by_chance(draw):
+    """Documents that each share a passage with a few others, and near copies of some."""
+    rows = [[] for _ in range(60)]
+    for passage in range(150):
+        for i in draw.sample(range(60), 4):
+            rows[i] += [f"p{passage}w{k}" for k in range(5)] + [f"d{i}s{passage}"]
+    rows = [row + [f"d{i}w{k}" for k in range(20)] for i, row in enumerate(rows)]
+    return [" ".join(row) for row in rows + [row[1:] for row in rows[:5]]]
+
+
+def test_a_cluster_by_chance_is_taken_apart(spark, monkeypatch):
+    """Its sets are not compared with each other, and not copied to every block of it."""
+    rows, staged = by_chance(random.Random(8)), {}
+    stage = jaccard.stage
+
+    def kept(df, name):
+        staged.setdefault(name, []).append(stage(df, name))
+        return staged[name][-1]
+
+    monkeypatch.setattr(jaccard, "stage", kept)
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    found = {r.id: r for r in jaccard.linked_documents(frame, block_sets=12, hot=0).collect()}
+    sets, links = brute_links(rows)
+    assert {i: (r.n, r.links) for i, r in found.items()} == {i: (len(sets[i]), len(links[i])) for i in links}
+    assert [found[60 + i].component_id for i in range(5)] == list(range(5))
+    assert max(r["count"] for r in staged["clusters"][0].groupBy("root").count().collect()) > 24
+    assert {r.blocks for r in staged["blocks"][0].collect()} == {1}
+
+
+@pytest.mark.parametrize("paired, buffer", [(2, 40), (32, 500_000)])
+def test_linked_sets_of_a_large_cluster_meet_often_enough(monkeypatch, paired, buffer):
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    monkeypatch.setattr(jaccard, "BUFFER", buffer)
+    near = list(dict.fromkeys(near_copies()))
+    rows = near + by_chance(random.Random(8))
+    _, links = brute_links(rows)
+    sets = list(jaccard.shingle_sets(pa.array(rows)))
+    class Everything:
+        def has(self, hashes):
+            return np.full(len(hashes), True)
+    class Hot:
+        value = np.sort(sets[3][:20]), np.arange(20)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(sets)), pa.int64()), pa.array([some.tobytes() for some in sets], pa.binary())], ["set_key", "shingles"]
+    )
+    for shared in (1, 8):
+        prefixes = pa.Table.from_batches(jaccard._longer_prefix_rows(75, shared, Hot, Everything())([batch.slice(0, 30), batch.slice(30)]))
+        prefixes = prefixes.sort_by([("shingle", "ascending"), ("n", "ascending")]).combine_chunks()
+        found = pa.Table.from_batches(jaccard._met_often(75, shared)(prefixes.to_batches(max_chunksize=7)))
+        found = found.group_by(["a", "b"]).aggregate([("met", "sum"), ("must", "max")]).to_pylist()
+        kept = [(pair["a"], pair["b"]) for pair in found if pair["met_sum"] >= pair["must_max"]]
+        edges = np.array(kept, np.int64)
+        moved = dict(zip(*(column.tolist() for column in components.contracted(edges[:, 0], edges[:, 1]))))
+        assert all(moved.get(i, i) == moved.get(j, j) for i in links for j in links[i])
+        if paired == 32 and shared == 8:
+            assert {pair for pair in kept if pair[0] >= len(near)} <= {(min(i, j), max(i, j)) for i in links for j in links[i]}
+
+
 def test_jaccard_links_count_once_beside_an_empty_block(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 40)  # two blocks for each pair, filled by a hash
     rows = []
